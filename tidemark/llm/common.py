@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,3 +141,24 @@ def minimizers(h: np.ndarray, span: int, whole: np.ndarray) -> tuple[np.ndarray,
     at = at[i]
     new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (i[1:] != i[:-1] + 1)])
     return at[new], i[new], i[np.r_[new[1:], len(i)] - 1]
+
+
+def ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... (count[0] numbers), first[1], ..."""
+    before = np.cumsum(count) - count
+    return np.repeat(first - before, count) + np.arange(count.sum())
+
+
+def lists(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Lengths and flattened fields of a list<struct> column; a null list counts as empty."""
+    length = np.array(pa.compute.fill_null(pa.compute.list_value_length(column), 0))
+    flat = pa.compute.list_flatten(column)
+    return length, {f.name: flat.field(f.name).to_numpy(zero_copy_only=False) for f in flat.type}
+
+
+def covered(size: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Which of 0..size-1 lie in one of the ranges first..last - 1."""
+    step = np.zeros(size + 1, np.int64)
+    np.add.at(step, first, 1)
+    np.add.at(step, last, -1)
+    return np.cumsum(step[:-1]) > 0

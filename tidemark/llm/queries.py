@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_dedup, mixing, quality, url_filters
+from tidemark.llm import exact_dedup, mixing, quality, substring_dedup, url_filters
 
-MODULES = (quality, url_filters, exact_dedup, mixing)
+MODULES = (quality, url_filters, exact_dedup, mixing, substring_dedup)
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}
