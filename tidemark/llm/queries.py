@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_dedup, mixing, quality, sentencepieces, substring_dedup, suffix_dedup, token_files, url_filters
+from tidemark.llm import exact_dedup, mixing, ngram_join, quality, sentencepieces, substring_dedup, suffix_dedup, token_files, url_filters
 
-MODULES = (sentencepieces, quality, url_filters, suffix_dedup, exact_dedup, token_files, mixing, substring_dedup)
+MODULES = (sentencepieces, quality, ngram_join, url_filters, suffix_dedup, exact_dedup, token_files, mixing, substring_dedup)
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}
