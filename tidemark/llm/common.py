@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 #: Text of about this many bytes is worked on at a time inside a task.
 SLICE_BYTES = 2_000_000
-#: Largest side, in bytes as estimated from a counted table, that is ever broadcast.
-BROADCAST_BYTES = 64 << 20
+#: Largest side, in bytes as estimated from counted rows and list items, that is ever broadcast.
+BROADCAST_BYTES = 16 << 20
 #: Entries that a task's word cache may hold before it starts anew.
 CACHE_WORDS = 400_000
 
@@ -35,12 +35,33 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fits(df: DataFrame, bytes_per_row: int, items: str | None = None, bytes_per_item: int = 0) -> bool:
+    """Whether a staged table's counted rows, and the items of its list column, fit BROADCAST_BYTES."""
+    n = df.agg(F.count("*").alias("n"), (F.coalesce(F.sum(F.size(items)), F.lit(0)) if items else F.lit(0)).alias("m")).collect()[0]
+    return n["n"] * bytes_per_row + n["m"] * bytes_per_item <= BROADCAST_BYTES
+
+
 def small_side(df: DataFrame, bytes_per_row: int) -> DataFrame:
-    """df with a broadcast hint if its counted rows fit BROADCAST_BYTES, else as it is, for a shuffled join.
+    """df with a broadcast hint if it fits, else as it is, for a shuffled join. df should be a staged table, as it is counted."""
+    return F.broadcast(df) if fits(df, bytes_per_row) else df
+
+
+def beside(texts: DataFrame, side: DataFrame, keys: list[str], items: str, bytes_per_item: int, every: bool) -> DataFrame:
+    """texts with the list column `items` of a staged side table; every=True keeps texts without a row there.
 
-    df should be a staged table, as it is counted.
+    The side is broadcast if it fits. Else, if its keys alone fit, only the texts that it has rows for are
+    shuffled to it and the others stay where they are. Else it is a shuffled join of all.
     """
-    return F.broadcast(df) if df.count() * bytes_per_row <= BROADCAST_BYTES else df
+    if fits(side, 64, items, bytes_per_item):
+        return texts.join(F.broadcast(side), keys, "left" if every else "inner")
+    ids = side.select(*keys)
+    if not fits(ids, 40):
+        return texts.join(side, keys, "left" if every else "inner")
+    out = texts.join(F.broadcast(ids), keys, "left_semi").join(side.hint("merge"), keys)
+    if every:
+        rest = texts.join(F.broadcast(ids), keys, "left_anti")
+        out = out.unionByName(rest.withColumn(items, F.lit(None).cast(side.schema[items].dataType)))
+    return out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -150,7 +171,7 @@ def ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 def lists(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """Lengths and flattened fields of a list<struct> column; a null list counts as empty."""
+    """Lengths and flattened fields of a list<struct> column; a null list counts as empty, a null number as 0."""
     length = np.array(pa.compute.fill_null(pa.compute.list_value_length(column), 0))
     flat = pa.compute.list_flatten(column)
     return length, {f.name: flat.field(f.name).to_numpy(zero_copy_only=False) for f in flat.type}

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, covered, joined, lists, minimizers, ranges, slices, small_side, staged, table, windows
+from tidemark.llm.common import WordHashes, beside, covered, joined, lists, minimizers, ranges, slices, staged, table, windows
 
 #: Words of a window; the levels are WINDOW / 4, / 2 and the whole, rounded up.
 WINDOW = 50
@@ -135,7 +135,7 @@ def substring_dedup(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = documents.select("doc_id", F.col("text"), F.xxhash64("text").alias("row"))
     kinds = "doc_id long, row long, seed long, left long, right long, block long, first int, more short, at short"
     seeds = staged(rows.filter("doc_id is not null").mapInArrow(_seeds(window), kinds))
-    several = lambda df, *keys: df.groupBy(*keys).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select(*keys)
+    several = lambda df, *keys: staged(df.groupBy(*keys).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select(*keys))
     found = staged(seeds.join(several(seeds, "seed"), "seed"))
     for side in ("left", "right"):
         again = several(found.filter(f"{side} is not null"), side).withColumn(f"in_{side}", F.lit(True))
@@ -146,12 +146,12 @@ def substring_dedup(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     whole = found.filter("least < doc_id").select("doc_id", "row", "first", (F.col("first") + F.col("more") + window).alias("last"))
     blocks = found.filter("least = doc_id").groupBy("doc_id", "row").agg(F.collect_list(F.struct("seed", "first", "more", "at", "in_left", "in_right")).alias("blocks"))
     blocks = staged(blocks)
-    text = rows.join(small_side(blocks, 600), ["doc_id", "row"])
+    text = beside(rows, blocks, ["doc_id", "row"], "blocks", 40, every=False)
     full = staged(text.mapInArrow(_windows(window), "doc_id long, row long, seed long, hash long, first int"))
     least = full.groupBy("seed", "hash").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
     single = full.join(least, ["seed", "hash"]).filter("least < doc_id").select("doc_id", "row", "first", (F.col("first") + window).alias("last"))
     spans = staged(whole.unionByName(single).groupBy("doc_id", "row").agg(F.collect_list(F.struct("first", "last")).alias("spans")))
-    marked = rows.join(small_side(spans, 600), ["doc_id", "row"], "left").select("doc_id", "text", "spans")
+    marked = beside(rows, spans, ["doc_id", "row"], "spans", 24, every=True).select("doc_id", "text", "spans")
     return marked.mapInArrow(_cut(window), "doc_id long, n_words long, n_removed long, kept_text string")
 
 

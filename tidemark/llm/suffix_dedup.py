@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import covered, finish, joined, lists, minimizers, slices, small_side, staged, table
+from tidemark.llm.common import beside, covered, finish, joined, lists, minimizers, slices, staged, table
 from tidemark.llm.run_index import RunIndex
 
 #: Bytes of a match.
@@ -199,7 +199,7 @@ def suffix_dedup(documents: DataFrame, match: int = MATCH, most_parts: int = MOS
     rows = documents.select("doc_id", F.col("text"), F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("uid"))
     kinds = "uid long, seed long, left long, right long, block long, first int, more short, at short"
     seeds = staged(rows.select("uid", "text").mapInArrow(_seeds(match), kinds))
-    several = lambda df, *keys: df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys)
+    several = lambda df, *keys: staged(df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys))
     found = staged(seeds.join(several(seeds, "seed"), "seed"))
     for side in ("left", "right"):
         again = several(found.filter(f"{side} is not null"), side).withColumn(f"in_{side}", F.lit(True))
@@ -207,13 +207,13 @@ def suffix_dedup(documents: DataFrame, match: int = MATCH, most_parts: int = MOS
     found = staged(found.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("in_left", "in_right")}).filter("in_left or in_right"))
     fields = F.struct("uid", "first", "more", "at", "left", "right", "in_left", "in_right")
     blocks = staged(found.groupBy("seed", "block").agg(F.count("*").alias("n"), F.min(fields).alias("one")))
-    equal = found.join(blocks.filter("n > 1").select("seed", "block"), ["seed", "block"])
+    equal = found.join(staged(blocks.filter("n > 1").select("seed", "block")), ["seed", "block"])
     equal = equal.select("uid", "first", (F.col("first") + F.col("more") + match).cast("int").alias("last"))
     mixed = blocks.groupBy("seed").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("seed")
     ones = blocks.join(mixed, "seed").select("one.*")
     ones = staged(ones.groupBy("uid").agg(F.collect_list(F.struct(*(c for c in ones.columns if c != "uid"))).alias("blocks")))
     text = rows.select("uid", "text")
-    pieces = text.join(small_side(ones, 800), "uid").mapInArrow(_parts(match), "uid long, key long, first int, piece binary")
+    pieces = beside(text, ones, ["uid"], "blocks", 56, every=False).mapInArrow(_parts(match), "uid long, key long, first int, piece binary")
     pieces = staged(pieces.dropDuplicates(["uid", "key", "first"]))
     counts = staged(pieces.groupBy("key").agg(F.count("*").alias("parts")).filter("parts > 1"))
     usual = pieces.join(counts.filter(F.col("parts") <= most_parts), "key")
@@ -224,7 +224,7 @@ def suffix_dedup(documents: DataFrame, match: int = MATCH, most_parts: int = MOS
         again = hashed.join(several(hashed, "hash"), "hash")
         spans = spans.unionByName(again.select("uid", "first", (F.col("first") + match).cast("int").alias("last")))
     spans = staged(spans.groupBy("uid").agg(F.collect_list(F.struct("first", "last")).alias("spans")))
-    marked = rows.join(small_side(spans, 600), "uid", "left").select("doc_id", "text", "spans")
+    marked = beside(rows, spans, ["uid"], "spans", 24, every=True).select("doc_id", "text", "spans")
     return marked.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
