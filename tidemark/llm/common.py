@@ -174,7 +174,9 @@ def lists(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, dict[str, np.
     """Lengths and flattened fields of a list<struct> column; a null list counts as empty, a null number as 0."""
     length = np.array(pa.compute.fill_null(pa.compute.list_value_length(column), 0))
     flat = pa.compute.list_flatten(column)
-    return length, {f.name: flat.field(f.name).to_numpy(zero_copy_only=False) for f in flat.type}
+    # nulls would turn integers into floats, which can't hold 64 bits
+    value = lambda f: pa.compute.fill_null(flat.field(f.name), False if pa.types.is_boolean(f.type) else 0)
+    return length, {f.name: value(f).to_numpy(zero_copy_only=False) for f in flat.type}
 
 
 def covered(size: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
