@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,11 +12,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, slices, small_side, staged, table, windows
+from tidemark.llm.common import BROADCAST_BYTES, WordHashes, beside, slices, staged, table, windows
 from tidemark.llm.components import components
+from tidemark.llm.token_files import decode_values, encode_values
 
-#: Counting cells of the shingle frequency sketch (a power of two), and the parts it is summed in.
-CELLS, CELL_PARTS = 1 << 20, 64
+#: Bytes of text of a chunk, whose shingles are counted and asked about together, and chunks to a counting bucket.
+CHUNK_BYTES, CHUNKS_PER_BUCKET = 8_000_000, 4
+#: High bits of a shingle's hash that it is counted by.
+COUNTED_BITS = 40
 #: Documents that are compared in one block; larger lists are compared block by block.
 BLOCK = 2048
 #: Columns of the dense matrix that a block's shingles are multiplied in.
@@ -34,72 +38,129 @@ def _sets(texts: list[bytes], size: int, hashes: WordHashes) -> list[np.ndarray]
     return out
 
 
-def _cells(size: int):
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    task, number, ids, uids, texts, held = TaskContext.get().partitionId(), 0, [], [], [], 0
+
+    def packed() -> pa.RecordBatch:
+        lists = (pa.array([v], pa.list_(t)) for v, t in ((ids, pa.int64()), (uids, pa.int64()), (texts, pa.binary())))
+        return pa.record_batch([pa.array([task << 24 | number], pa.int64()), *lists], ["chunk", "doc_ids", "uids", "texts"])
+
+    for batch, some in slices(batches):
+        for i, u, t in zip(batch.column("doc_id").to_pylist(), batch.column("uid").to_pylist(), some, strict=True):
+            ids.append(i)
+            uids.append(u)
+            texts.append(t)
+            held += len(t)
+            if held >= CHUNK_BYTES:
+                yield packed()
+                ids, uids, texts, held, number = [], [], [], 0, number + 1
+    if ids:
+        yield packed()
+
+
+def _counted(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different counted hashes of a chunk, ascending, and the number of its documents that have each."""
+    return np.unique(np.concatenate(sets) >> np.uint64(64 - COUNTED_BITS), return_counts=True)
+
+
+def _asked(size: int, buckets: int):
+    """(chunk, bucket, counted hashes as coded differences, documents that have them)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = WordHashes(), np.zeros(CELLS, np.int64)
-        for _, texts in slices(batches):
-            sets = _sets(texts, size, hashes)
-            total += np.bincount((np.concatenate(sets) >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64), minlength=CELLS)
-        if total.any():
-            blobs = [b.astype(np.uint32).tobytes() for b in total.reshape(CELL_PARTS, -1)]
-            yield pa.record_batch([pa.array(range(CELL_PARTS), pa.int32()), pa.array([TaskContext.get().partitionId()] * CELL_PARTS, pa.int32()), pa.array(blobs, pa.binary())], ["part", "task", "counts"])
+        hashes = WordHashes()
+        for batch in batches:
+            for row in batch.to_pylist():
+                value, count = _counted(_sets(row["texts"], size, hashes))
+                ends = np.searchsorted(value, np.arange(buckets + 1, dtype=np.uint64) * np.uint64((1 << COUNTED_BITS) // buckets + 1))
+                for k in np.flatnonzero(np.diff(ends)):
+                    part = slice(ends[k], ends[k + 1])
+                    step = np.diff(value[part], prepend=np.uint64(0))
+                    control, data = encode_values(step & np.uint64(0xFFFFFFFF))
+                    high, many = (zlib.compress(v.astype(np.uint8).tobytes(), 1) for v in (step >> np.uint64(32), np.minimum(count[part], 255)))
+                    yield pa.record_batch([pa.array([v]) for v in (row["chunk"], int(k), control, data, high, many)], ["chunk", "bucket", "control", "data", "high", "many"])
 
     return run
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[int, np.ndarray] = {}
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket: (chunk, bucket, level of each counted hash): the logarithm of its documents over all chunks."""
+
+    def levels(bucket: int, rows: list) -> pa.RecordBatch:
+        value, count = [], []
+        for r in rows:
+            many = np.frombuffer(zlib.decompress(r["many"]), np.uint8)
+            high = np.frombuffer(zlib.decompress(r["high"]), np.uint8).astype(np.uint64)
+            value.append(np.cumsum(decode_values(r["control"], r["data"], len(many)).astype(np.uint64) | (high << np.uint64(32))))
+            count.append(many.astype(np.int64))
+        every = np.concatenate(value)
+        by = np.argsort(every, kind="stable")
+        first = np.flatnonzero(np.r_[True, np.diff(every[by]) > 0])
+        known, total = every[by][first], np.add.reduceat(np.concatenate(count)[by], first)
+        level = np.floor(np.log2(total)).astype(np.uint8)
+        out = [zlib.compress(level[np.searchsorted(known, v)].tobytes(), 1) for v in value]
+        return pa.record_batch([pa.array([r["chunk"] for r in rows], pa.int64()), pa.array([bucket] * len(rows), pa.int64()), pa.array(out, pa.binary())], ["chunk", "bucket", "levels"])
+
+    bucket, rows = None, []
     for batch in batches:
-        for part, blob in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            b = np.frombuffer(blob, np.uint32 if len(blob) == CELLS // CELL_PARTS * 4 else np.int64)
-            held[part] = held[part] + b if part in held else b.astype(np.int64)
-    task = TaskContext.get().partitionId()
-    yield pa.record_batch([pa.array(list(held), pa.int32()), pa.array([task] * len(held), pa.int32()), pa.array([b.tobytes() for b in held.values()], pa.binary())], ["part", "task", "counts"])
+        for r in batch.to_pylist():
+            if r["bucket"] != bucket:
+                if rows:
+                    yield levels(bucket, rows)
+                bucket, rows = r["bucket"], []
+            rows.append(r)
+    if rows:
+        yield levels(bucket, rows)
 
 
-def frequency_levels(documents: DataFrame, size: int) -> np.ndarray:
-    """How frequent each cell of shingles is, on a logarithmic scale, 0 for those about the mean or less.
+def _prefixes(size: int, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, shift = WordHashes(), np.uint64(64 - COUNTED_BITS)
+        for batch in batches:
+            for row in batch.to_pylist():
+                sets = _sets(row["texts"], size, hashes)
+                value, _ = _counted(sets)
+                parts = sorted((x["bucket"], x["levels"]) for x in row["answers"] or [])
+                levels = np.frombuffer(b"".join(zlib.decompress(x) for _, x in parts), np.uint8)
+                prefix, group, whole = [], [], []
+                for s in sets:
+                    n = len(s)
+                    level = levels[np.searchsorted(value, s >> shift)]
+                    p = s[np.lexsort((s, level))][: n - (percent * n + 99) // 100 + 1] if n else s
+                    prefix.append(p.view(np.int64))
+                    group.append(xxhash.xxh3_128_digest(p.tobytes() + n.to_bytes(8, "little")))
+                    whole.append(xxhash.xxh3_128_digest(s.tobytes()))
+                ends = np.cumsum([0, *map(len, prefix)])
+                yield pa.record_batch(
+                    [
+                        pa.array(row["doc_ids"], pa.int64()),
+                        pa.array(row["uids"], pa.int64()),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array(whole, pa.binary()),
+                        pa.array(group, pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefix))),
+                    ],
+                    ["doc_id", "uid", "n_shingles", "whole", "grp", "prefix"],
+                )
 
-    One byte for each of CELLS cells, whatever the input's size, from counts over all documents. Any
-    function of a shingle gives a right order for the prefixes; this one puts common shingles last.
-    """
-    kinds = "part int, task int, counts binary"
-    counts = documents.mapInArrow(_cells(size), kinds)
-    counts = counts.repartition("part", F.expr("task % 16")).mapInArrow(_summed, kinds).repartition("part").mapInArrow(_summed, kinds)
-    total = np.zeros((CELL_PARTS, CELLS // CELL_PARTS), np.int64)
-    for r in counts.select("part", "counts").toLocalIterator():
-        total[r[0]] = np.frombuffer(r[1], np.int64)
-    total = total.reshape(-1)
-    return np.floor(np.log2(np.maximum(1, total / (2 * total.mean() + 2)))).astype(np.uint8)
+    return run
 
 
-def _prefixes(size: int, percent: int, levels: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, shift = WordHashes(), np.uint64(64 - CELLS.bit_length() + 1)
-        for batch, texts in slices(batches):
-            sets = _sets(texts, size, hashes)
-            prefix, group, whole = [], [], []
-            for s in sets:
-                n = len(s)
-                level = levels[(s >> shift).astype(np.int64)]
-                p = s[np.lexsort((s, level))][: n - (percent * n + 99) // 100 + 1] if n else s
-                prefix.append(p.view(np.int64))
-                group.append(xxhash.xxh3_128_digest(p.tobytes() + n.to_bytes(8, "little")))
-                whole.append(xxhash.xxh3_128_digest(s.tobytes()))
-            ends = np.cumsum([0, *map(len, prefix)])
-            yield pa.record_batch(
-                [
-                    batch.column("doc_id"),
-                    batch.column("uid"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(whole, pa.binary()),
-                    pa.array(group, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefix))),
-                ],
-                ["doc_id", "uid", "n_shingles", "whole", "grp", "prefix"],
-            )
+def prefixed(text: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, uid, n_shingles, whole, grp, prefix of (doc_id, uid, text); staged.
 
-    return run
+    A prefix has a set's first shingles in the order of how many documents have them, rare ones first,
+    then of their hash. The frequencies come from all documents: each chunk asks for its different
+    shingles, coded in about three bytes each, and is told their levels; a level is a function of the
+    shingle alone, so the order is one for all documents.
+    """
+    chunks = staged(text.mapInArrow(_chunks, "chunk long, doc_ids array<long>, uids array<long>, texts array<binary>"))
+    buckets = max(1, chunks.count() // CHUNKS_PER_BUCKET)
+    asked = chunks.mapInArrow(_asked(size, buckets), "chunk long, bucket long, control binary, data binary, high binary, many binary")
+    levels = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_answered, "chunk long, bucket long, levels binary")
+    answers = staged(levels.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "levels")).alias("answers")))
+    held = answers.agg(F.coalesce(F.sum(F.aggregate("answers", F.lit(0).cast("long"), lambda s, x: s + F.octet_length(x["levels"]))), F.lit(0))).first()[0]
+    joined = chunks.join(F.broadcast(answers) if held <= BROADCAST_BYTES else answers, "chunk", "left")
+    return staged(joined.mapInArrow(_prefixes(size, percent), "doc_id long, uid long, n_shingles long, whole binary, grp binary, prefix array<long>"))
 
 
 def links_of(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -170,33 +231,40 @@ def ngram_join(documents: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     Documents with equal sets are one class, of which only the least takes part. Sets are ordered with
     common shingles last, so that two that link share one of their first n - ceil(percent * n) + 1
     shingles. Classes with equal prefixes and sizes are one group, and groups that share a prefix
-    shingle are a list; of lists with the same groups one stays. Lists are then expanded to the classes
-    and verified whole, in blocks of at most BLOCK documents against each other: the block's shingles
-    are multiplied as a matrix, which gives every pair's intersection, and only the links' components
-    leave the task, never pairs. Components of all lists are joined at the end.
+    shingle are a list. Lists that share groups hang together as a cluster, which is expanded to its
+    classes and verified whole, if it has at most BLOCK; of a larger one each list is, of lists with the
+    same groups one, and lists above BLOCK block by block. The shingles of a block are multiplied as a
+    matrix, which gives every pair's intersection, and only the links' components leave the task, never
+    pairs. Components of all blocks are joined at the end.
     """
     text = documents.select("doc_id", F.col("text"), F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("uid"))
-    levels = frequency_levels(text, size)
-    kinds = "doc_id long, uid long, n_shingles long, whole binary, grp binary, prefix array<long>"
-    docs = staged(text.mapInArrow(_prefixes(size, percent, levels), kinds))
+    docs = prefixed(text, size, percent)
     some = docs.filter("n_shingles > 0")
     gid = F.xxhash64("grp").alias("gid")
     classes = staged(some.groupBy("whole").agg(F.min(F.struct("doc_id", "uid", "grp")).alias("r")).select("whole", "r.doc_id", "r.uid", F.xxhash64("r.grp").alias("gid")))
     groups = some.groupBy("grp").agg(F.first("prefix").alias("prefix"))
     postings = groups.select(gid, F.explode("prefix").alias("token"))
-    postings = staged(postings.withColumn("m", F.count("*").over(Window.partitionBy("token"))).filter("m > 1").select("token", "gid"))
+    by_token = Window.partitionBy("token")
+    postings = staged(postings.withColumns({"m": F.count("*").over(by_token), "least": F.min("gid").over(by_token)}).filter("m > 1"))
+    clusters = components(postings.select(F.col("least").alias("a"), F.col("gid").alias("b")).distinct()).select(F.col("node").alias("gid"), "component")
+    reps = classes.filter("doc_id is not null").select("uid", "gid").join(clusters, "gid", "left").withColumn("component", F.coalesce("component", "gid"))
+    sizes = reps.groupBy("component").agg(F.count("*").alias("m")).filter("m > 1")
+    reps = staged(reps.join(staged(sizes), "component"))
+    small = reps.filter(F.col("m") <= BLOCK).select(F.col("component").alias("token"), "uid", F.lit(2).alias("kind"))
+    reps = reps.filter(F.col("m") > BLOCK).select("uid", "gid")
+    postings = postings.join(reps.select("gid").distinct(), "gid", "left_semi")
     signs = postings.groupBy("token").agg(F.count("*").alias("m"), F.sum(F.expr("xxhash64(gid) div 65536")).alias("s"), F.bit_xor(F.xxhash64(F.lit(1), "gid")).alias("x"))
     kept = signs.groupBy("m", "s", "x").agg(F.min("token").alias("token")).select("token")
-    reps = classes.filter("doc_id is not null").select("uid", "gid")
     lists = postings.join(kept, "token").join(reps, "gid").select("token", "uid", F.lit(0).alias("kind"))
     own = reps.join(reps.groupBy("gid").agg(F.count("*").alias("m")).filter("m > 1").select("gid"), "gid").select(F.col("gid").alias("token"), "uid", F.lit(1).alias("kind"))
-    members = staged(lists.unionByName(own))
+    lists = lists.unionByName(own).unionByName(small)
+    members = staged(lists)
     blocks = members.groupBy("kind", "token").agg(F.count("*").alias("m")).filter("m > 1").select("kind", "token", F.ceil(F.col("m") / BLOCK).alias("blocks"))
     mine = F.pmod(F.xxhash64("uid"), F.col("blocks"))
     units = members.join(blocks, ["kind", "token"]).select("kind", "token", "uid", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     units = units.select("uid", F.xxhash64("kind", "token", F.least("mine", "other"), F.greatest("mine", "other")).alias("unit"))
     wanted = staged(units.groupBy("uid").agg(F.collect_set("unit").alias("units")))
-    texts = text.join(small_side(wanted, 400), "uid")
+    texts = beside(text, wanted, ["uid"], "units", 12, every=False)
     texts = texts.select(F.explode("units").alias("unit"), "doc_id", "text").repartition("unit").sortWithinPartitions("unit")
     found = components(texts.mapInArrow(_verified(size, percent), "a long, b long"))
     labels = classes.select("whole", "doc_id").join(found, F.col("doc_id") == F.col("node"), "left").select("whole", F.coalesce("component", "doc_id").alias("component_id"))
