@@ -32,9 +32,9 @@ def fed(spark: SparkSession, d: str, root: str, parts: int = 4) -> DataFrame:
     return text_events(spark, f"{root}/in/*")
 
 
-def run(spark: SparkSession, d: str) -> str:
+def run(spark: SparkSession, d: str, name: str) -> str:
     root = _root(spark)
-    for q in jobs.start(fed(spark, d, root), root, PARAMS, once=True).values():
+    for q in jobs.start(fed(spark, d, root), root, PARAMS, once=True, only=(name,)).values():
         q.awaitTermination()
         if q.exception():
             raise RuntimeError(str(q.exception()))
@@ -46,17 +46,17 @@ def _seconds(c: str):
 
 
 def stream_trending(spark: SparkSession, d: str) -> DataFrame:
-    rows = jobs.KeyedTable(f"{run(spark, d)}/trending", tuple(jobs.TRENDING_KEYS)).read(spark)
+    rows = jobs.KeyedTable(f"{run(spark, d, "trending")}/trending", tuple(jobs.TRENDING_KEYS)).read(spark)
     return rows.filter("product_id >= 0").select(_seconds("window_start"), F.col("product_id").cast("long").alias("product_id"), "event_count", "views", "carts", "purchases", "score")
 
 
 def stream_pairs(spark: SparkSession, d: str) -> DataFrame:
-    rows = jobs.KeyedTable(f"{run(spark, d)}/pairs", tuple(jobs.PAIR_KEYS)).read(spark)
+    rows = jobs.KeyedTable(f"{run(spark, d, "pairs")}/pairs", tuple(jobs.PAIR_KEYS)).read(spark)
     return rows.filter("product_id >= 0 and related_product_id >= 0").select(_seconds("window_start"), F.col("product_id").cast("long").alias("product_id"), F.col("related_product_id").cast("long").alias("related_product_id"), "pair_count", "affinity")
 
 
 def stream_dead_letter(spark: SparkSession, d: str) -> DataFrame:
-    rows = jobs.KeyedTable(f"{run(spark, d)}/dead_letter", ()).read(spark)
+    rows = jobs.KeyedTable(f"{run(spark, d, "dead_letter")}/dead_letter", ()).read(spark)
     return rows.groupBy("invalid_reason").agg(F.count("*").alias("n"))
 
 

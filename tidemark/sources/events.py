@@ -11,8 +11,9 @@ from tidemark.schema import VERSIONS, WEIGHTS, WIRE
 
 def parse_events(raw: DataFrame) -> DataFrame:
     """Typed events from (value binary or string), with raw_value, invalid_reason, is_valid, event_time, weight."""
-    read = raw.select(F.col("value").cast("string").alias("raw_value")).withColumn("e", F.from_json("raw_value", WIRE))
-    read = read.select("raw_value", "e.*")
+    read = raw.select(F.col("value").cast("string").alias("raw_value"))
+    # a generator's output stays whole: filters on it don't repeat the decoding for each field they use
+    read = read.select("raw_value", F.inline(F.array(F.from_json("raw_value", WIRE))))
     nothing = F.coalesce(*(F.col(f.name).cast("string") for f in WIRE.fields)).isNull()
     folded = read.withColumn("nothing", nothing).withColumns(
         {"schema_version": F.coalesce("schema_version", F.lit(1)), "event_type": F.coalesce("event_type", "action"), "channel": F.coalesce("channel", F.lit("unknown")), "event_time": F.col("timestamp").try_cast("timestamp")}

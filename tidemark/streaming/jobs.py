@@ -51,8 +51,8 @@ def deduplicated(events: DataFrame) -> DataFrame:
     return events.dropDuplicatesWithinWatermark(["event_id"])
 
 
-def start(raw: DataFrame, root: str, params: Params = Params(), run: int = 0, once: bool = False) -> dict[str, StreamingQuery]:  # noqa: B008
-    """Starts the trending (update), pairs (append) and dead-letter (append) queries over a stream of (value).
+def start(raw: DataFrame, root: str, params: Params = Params(), run: int = 0, once: bool = False, only: tuple[str, ...] = ("trending", "pairs", "dead_letter")) -> dict[str, StreamingQuery]:  # noqa: B008
+    """Starts the trending (update), pairs (append) and dead-letter (append) queries, or some, over a stream of (value).
 
     Each has its own checkpoint and table below `root`; once=True takes what there is and ends.
     """
@@ -64,7 +64,7 @@ def start(raw: DataFrame, root: str, params: Params = Params(), run: int = 0, on
         "dead_letter": (invalid_events(parsed), "append", KeyedTable(f"{root}/dead_letter", ()).writer(run)),
     }
     out = {}
-    for name, (plan, mode, write) in plans.items():
+    for name, (plan, mode, write) in ((n, plans[n]) for n in only):
         writer = plan.writeStream.outputMode(mode).queryName(name).option("checkpointLocation", f"{root}/checkpoints/{name}").foreachBatch(write)
         out[name] = (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=params.trigger)).start()
     return out
