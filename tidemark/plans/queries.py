@@ -479,13 +479,6 @@ def q_training_rows(s, d):
     return r.training_rows(cases(s, d), ranking_inputs(s, d)[0]).select("case", "query", "item", "label")
 
 
-@query("SELECT '' AS missing, '' AS unexpected, TRUE AS same")
-def q_feature_diff(s, d):
-    rows = feature_rows(s, d)
-    at = lambda names: rows.limit(0).sparkSession.createDataFrame(list(enumerate(names)), "position int, name string")
-    return r.feature_difference(at(rows.columns[3:]), at(r.FEATURES))
-
-
 @query(None)
 def q_learned_order(s, d):
     rows = feature_rows(s, d)
@@ -526,8 +519,8 @@ hit AS (SELECT k, coalesce(list_contains(items, target), FALSE) AS hit, coalesce
 ghit AS (SELECT k, coalesce(list_contains(items, target), FALSE) AS hit, coalesce(list_has_any(items, later), FALSE) AS any_hit, items IS NOT NULL AS answered FROM cs LEFT JOIN gl USING (query))"""
 
 
-def split_query(body: str):
-    return query(body, SPLIT)
+def split_query(body: str, more: str = ""):
+    return query(body, SPLIT + (",\n" + more if more else ""))
 
 
 @split_query("SELECT 'train' AS part, count(*) AS events FROM train UNION ALL SELECT 'test', count(*) FROM test")
@@ -542,6 +535,15 @@ def q_bestsellers(s, d):
     return e.bestsellers(split(s, d)[0], LIMIT)
 
 
+@split_query("""SELECT coalesce((SELECT string_agg(n, ',' ORDER BY n) FROM (SELECT item::VARCHAR AS n FROM al EXCEPT SELECT item::VARCHAR FROM top_all WHERE rank < 20)), '') AS missing,
+coalesce((SELECT string_agg(n, ',' ORDER BY n) FROM (SELECT item::VARCHAR AS n FROM top_all WHERE rank < 20 EXCEPT SELECT item::VARCHAR FROM al)), '') AS unexpected,
+(SELECT list(item ORDER BY rank) FROM al) = (SELECT list(item ORDER BY rank) FROM top_all WHERE rank < 20) AS same""", """al AS (SELECT item, row_number() OVER (ORDER BY count(*) DESC, item) - 1 AS rank FROM log WHERE event_type = 'view' GROUP BY item QUALIFY row_number() OVER (ORDER BY count(*) DESC, item) <= 20)""")
+def q_feature_diff(s, d):
+    """The ordered list that a model was made with against the list that holds now: the best sellers of the training days and of all."""
+    names = lambda log: e.bestsellers(log, 20).select(F.col("rank").alias("position"), F.col("item").cast("string").alias("name"))
+    return r.feature_difference(names(split(s, d)[0]), names(v.log(s, d)))
+
+
 def by_category(s, d):
     train, found = split(s, d)
     return found, e.category_bestsellers(train, v.click_catalog(s, d), found.select("query").distinct(), LIMIT)
