@@ -78,8 +78,8 @@ def paired_bootstrap(a: DataFrame, b: DataFrame, draws: int = 1000, seed: int =
     is that of its weighted cases.
     """
     d = a.select("case", F.col("hit").cast("int").alias("x")).join(b.select("case", F.col("hit").cast("int").alias("y")), "case").select("case", (F.col("x") - F.col("y")).alias("d"))
-    kinds = d.groupBy("d", F.pmod(F.xxhash64("case"), F.lit(256)).alias("cell")).agg(F.count("*").alias("n"), F.collect_list("case").alias("cases"))
-    each = kinds.select("d", F.explode("cases").alias("case")).select("d", "case", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw"))
+    d = d.filter("d is not null")
+    each = d.select("d", "case", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw"))
     u = F.pmod(F.xxhash64(F.lit(seed), "draw", "case"), F.lit(1 << 40)) / float(1 << 40)
     times, chance, upto = F.lit(0), 0.36787944117144233, 0.0
     for k in range(8):
