@@ -18,7 +18,7 @@ SYMBOLS[list(b"#*$%&|<>")] = True
 #: metric -> numerator and denominator; metrics are integers, per 10,000.
 METRICS = {"symbols": ("n_symbols", "word_chars"), "repeats": ("n_repeat_words", "n_words"), "dup_lines": ("n_dup_lines", "n_words"), "word_length": ("word_chars", "n_words")}
 #: Least distance of the upper fence from the median, in a metric's unit, so that a narrow group doesn't reject its own tail.
-SLACK = {"symbols": 300, "repeats": 1000, "dup_lines": 300, "word_length": 20000}
+SLACK = {"symbols": 300, "repeats": 3500, "dup_lines": 300, "word_length": 20000}
 #: Fence: median + SPREADS * (upper quartile - lower quartile), at least median + slack.
 SPREADS = 4
 #: A (lang, source) group below this many documents uses its language's sketch, a language below it that of all.
