@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BROADCAST_BYTES, WordHashes, beside, slices, staged, table, windows
+from tidemark.llm.common import WordHashes, beside, slices, staged, table, windows
 from tidemark.llm.components import components
 from tidemark.llm.token_files import decode_values, encode_values
 
@@ -158,8 +158,7 @@ def prefixed(text: DataFrame, size: int, percent: int) -> DataFrame:
     asked = chunks.mapInArrow(_asked(size, buckets), "chunk long, bucket long, control binary, data binary, high binary, many binary")
     levels = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_answered, "chunk long, bucket long, levels binary")
     answers = staged(levels.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "levels")).alias("answers")))
-    held = answers.agg(F.coalesce(F.sum(F.aggregate("answers", F.lit(0).cast("long"), lambda s, x: s + F.octet_length(x["levels"]))), F.lit(0))).first()[0]
-    joined = chunks.join(F.broadcast(answers) if held <= BROADCAST_BYTES else answers, "chunk", "left")
+    joined = chunks.join(answers.hint("merge"), "chunk", "left")
     return staged(joined.mapInArrow(_prefixes(size, percent), "doc_id long, uid long, n_shingles long, whole binary, grp binary, prefix array<long>"))
 
 
