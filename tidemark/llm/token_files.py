@@ -17,8 +17,8 @@ from tidemark.llm.common import shared_dir, slices, small_side, staged, table
 
 #: Ids of a block, at most, but for a single longer document.
 BLOCK_IDS = 1 << 18
-#: Words whose ids a worker keeps.
-KEPT_WORDS = 1_000_000
+#: Words whose ids a worker keeps in each of two generations, and words without capitals and final punctuation.
+KEPT_WORDS = 400_000
 END_ID = 1
 TAIL = b".,!?;:"
 
@@ -57,42 +57,83 @@ class WordIds(dict):
 
     Text is encoded word by word only if the file's tokenizer drops white space before it splits and
     nothing in it looks across words; word_bpe_49k.json is such a file. For words of Latin letters with
-    final punctuation the library's BPE model is asked directly, as its splitter would cut them there.
+    final punctuation the library's BPE model is asked directly, as its splitter would cut them there:
+    the letters of all new words go to it together, and a word's last token is known by its ending.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
         config = json.loads(Path(path).read_text())
         steps = [s["type"] for s in (config["pre_tokenizer"] or {}).get("pretokenizers", [])]
         normal = [s["type"] for s in (config["normalizer"] or {}).get("normalizers", [])]
         self.by_word = steps == ["Split", "ByteLevel"] and normal == ["NFC", "Replace", "Lowercase"] and config["pre_tokenizer"]["pretokenizers"][0]["invert"] is True
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        suffix = config["model"].get("end_of_word_suffix") or ""
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if suffix and t.endswith(suffix)]] = True
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.byte_chars = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
-
-    def __missing__(self, word: bytes) -> bytes:
-        core = word.rstrip(TAIL)
-        text = core.decode().lower()
-        if text.isalpha() and max(text) < "ɐ":
-            ids = [t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(self.byte_chars))]
-            if len(core) < len(word):
-                ids += [t.id for t in self.model.tokenize(word[len(core) :].decode())]
+        self.older, self.cores, self.tails = {}, {}, {}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _ask(self, cores: list[bytes]) -> None:
+        """Fills in the ids of lower-case words of Latin letters."""
+        shown = [c.decode("latin-1").translate(self.byte_chars) for c in cores]
+        parts = [" ".join(shown[k : k + 500]) for k in range(0, len(shown), 500)]
+        ids = np.array([i for e in self.plain.encode_batch_fast(parts, add_special_tokens=False) for i in e.ids], self.kind)
+        last = np.flatnonzero(self.ends[ids]) + 1
+        if len(last) == len(cores):
+            width, raw, start = ids.itemsize, ids.tobytes(), 0
+            for c, z in zip(cores, (last * width).tolist(), strict=True):
+                self.cores[c] = raw[start:z]
+                start = z
         else:
-            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        packed = np.array(ids, self.kind).tobytes()
+            self.cores.update((c, self._whole(c.decode())) for c in cores)
+
+    def learn(self, texts: list[list[bytes]]) -> None:
+        """Makes sure that all words of the texts are known."""
         if len(self) >= KEPT_WORDS:
+            self.older = dict(self)
             self.clear()
-        self[word] = packed
-        return packed
+        if len(self.cores) >= KEPT_WORDS:
+            self.cores = {}
+        new, split = {w for t in texts for w in t if w not in self}, {}
+        for w in new:
+            if (known := self.older.get(w)) is not None:
+                self[w] = known
+                continue
+            core = w.rstrip(TAIL)
+            low = core.lower()
+            if not low.isalpha():  # ASCII letters are told apart at once
+                text = core.decode().lower()
+                low = text.encode() if text.isalpha() and max(text) < "ɐ" else None
+            if low is None:
+                self[w] = self._whole(w.decode())
+            else:
+                split[w] = (low, w[len(core) :])
+        if ask := list({low for low, _ in split.values() if low not in self.cores}):
+            self._ask(ask)
+        for w, (low, tail) in split.items():
+            if tail and tail not in self.tails:
+                self.tails[tail] = self._whole(tail.decode())
+            self[w] = self.cores[low] + self.tails.get(tail, b"")
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        if not self.by_word:
+            return [self._whole(t.decode()) for t in texts]
+        words = [t.split() for t in texts]
+        self.learn(words)
+        return [b"".join([self[w] for w in t]) for t in words]
 
     def text_ids(self, text: bytes) -> bytes:
-        if self.by_word:
-            return b"".join([self[w] for w in text.split()])
-        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, self.kind).tobytes()
+        return self.encode([text])[0]
 
 
 _words: dict[str, WordIds] = {}
@@ -115,8 +156,8 @@ def _tokenized(path: str, end_id: int):
 
         end_size = len(end)
         for batch, texts in slices(batches):
-            for i, t in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
-                p = words.text_ids(t) + end
+            for i, p in zip(batch.column("doc_id").to_pylist(), words.encode(texts), strict=True):
+                p += end
                 ids.append(i)
                 parts.append(p)
                 held += len(p) // end_size
