@@ -37,8 +37,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least document of each component of the n-gram join."""
-    return without(docs, ngram_join(docs).filter("doc_id <> component_id"))
+    """The least document of each component of the n-gram join, near copies being those that share 0.8 of their 5-word shingles."""
+    return without(docs, ngram_join(docs, size=5, percent=80).filter("doc_id <> component_id"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

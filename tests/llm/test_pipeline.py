@@ -1,5 +1,7 @@
 """The pipeline's stages against brute force over a small table."""
 
+import random
+
 import pytest
 
 import corpus_pipeline
@@ -43,3 +45,27 @@ def test_stages_keep_the_columns(spark):
     docs = spark.createDataFrame(made_rows(), KINDS)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.limit(0), "").columns == docs.columns
+
+
+def test_near_copies_share_five_words(spark):
+    """Texts with one and two words replaced, against a brute force over 5-word shingles and 0.8."""
+    rng = random.Random(3)
+    rows = []
+    for k in range(12):
+        words = [f"w{k}x{rng.randrange(9999)}" for _ in range(40 + 5 * k)]
+        for at in ((), (k + 9,), (2, k + 14)):
+            rows.append((len(rows) + 1, " ".join("new" if i in at else w for i, w in enumerate(words)), "en", "s", 0, 0, ""))
+
+    def kept(size, least):
+        shingles = {r[0]: {tuple(w[i : i + size]) for w in [r[1].split()] for i in range(len(w) - size + 1)} for r in rows}
+        label = {i: i for i in shingles}
+        for _ in rows:
+            for a, x in shingles.items():
+                for b, y in shingles.items():
+                    if 100 * len(x & y) >= least * len(x | y):
+                        label[a] = label[b] = min(label[a], label[b])
+        return {i for i, c in label.items() if i == c}
+
+    docs = spark.createDataFrame(rows, KINDS)
+    got = {r["doc_id"] for r in corpus_pipeline.near(spark, docs, "").select("doc_id").collect()}
+    assert got == kept(5, 80) != kept(4, 85)
