@@ -203,6 +203,15 @@ def test_large_lists_are_compared_block_by_block(docs, tables, monkeypatch):
     assert_same(ngram_join.ngram_join(docs), tables, ngram_join.SQL["op3_ngram_join"])
 
 
+def test_null_ids_take_no_class_from_rows_with_ids(spark, docs, tables):
+    """Null-id rows whose texts equal those of linked documents: other rows as by SQL, theirs the component of the equal text."""
+    near = [r for r in made_rows() if " edit0 " in (r[1] or "")]
+    rows = made_rows() + [(None, t, *rest) for _, t, *rest in near]
+    got = ngram_join.ngram_join(spark.createDataFrame(rows, KINDS)).collect()
+    assert sorted(tuple(r) for r in got if r[0] is not None) == sorted(tables.sql(ngram_join.SQL["op3_ngram_join"]).fetchall())
+    assert [r["component_id"] for r in got if r[0] is None] == [near[0][0]] * 4
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (9, 8), (5, 5), (None, 1)] + [(i, i + 1) for i in range(100, 130)], "a long, b long")
     got = dict(components(links).collect())

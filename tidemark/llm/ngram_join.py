@@ -240,7 +240,9 @@ def ngram_join(documents: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     docs = prefixed(text, size, percent)
     some = docs.filter("n_shingles > 0")
     gid = F.xxhash64("grp").alias("gid")
-    classes = staged(some.groupBy("whole").agg(F.min(F.struct("doc_id", "uid", "grp")).alias("r")).select("whole", "r.doc_id", "r.uid", F.xxhash64("r.grp").alias("gid")))
+    # a struct with a null id would be the least
+    least = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "uid", "grp")))
+    classes = staged(some.groupBy("whole").agg(least.alias("r")).select("whole", "r.doc_id", "r.uid", F.xxhash64("r.grp").alias("gid")))
     groups = some.groupBy("grp").agg(F.first("prefix").alias("prefix"))
     postings = groups.select(gid, F.explode("prefix").alias("token"))
     by_token = Window.partitionBy("token")
