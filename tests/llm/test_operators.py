@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,6 +213,14 @@ def test_null_ids_take_no_class_from_rows_with_ids(spark, docs, tables):
     assert [r["component_id"] for r in got if r[0] is None] == [near[0][0]] * 4
 
 
+def test_levels_count_all_documents_of_a_chunk():
+    rows = [{"chunk": c, "doc_ids": [], "uids": [], "texts": [b"a b c d e"] * 300 + [b"p q r s"] * (c + 1)} for c in (0, 1)]
+    asked = [b for r in rows for b in ngram_join._asked(4, 1)([pa.RecordBatch.from_pylist([r])])]
+    for answer in ngram_join._answered(asked):
+        levels = [sorted(zlib.decompress(v)) for v in answer.column("levels").to_pylist()]
+    assert levels == [[1, 9, 9]] * 2
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (9, 8), (5, 5), (None, 1)] + [(i, i + 1) for i in range(100, 130)], "a long, b long")
     got = dict(components(links).collect())

@@ -76,7 +76,7 @@ def _asked(size: int, buckets: int):
                     part = slice(ends[k], ends[k + 1])
                     step = np.diff(value[part], prepend=np.uint64(0))
                     control, data = encode_values(step & np.uint64(0xFFFFFFFF))
-                    high, many = (zlib.compress(v.astype(np.uint8).tobytes(), 1) for v in (step >> np.uint64(32), np.minimum(count[part], 255)))
+                    high, many = (zlib.compress(v, 1) for v in ((step >> np.uint64(32)).astype(np.uint8).tobytes(), b"".join(encode_values(count[part]))))
                     yield pa.record_batch([pa.array([v]) for v in (row["chunk"], int(k), control, data, high, many)], ["chunk", "bucket", "control", "data", "high", "many"])
 
     return run
@@ -88,10 +88,11 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def levels(bucket: int, rows: list) -> pa.RecordBatch:
         value, count = [], []
         for r in rows:
-            many = np.frombuffer(zlib.decompress(r["many"]), np.uint8)
+            many = zlib.decompress(r["many"])
             high = np.frombuffer(zlib.decompress(r["high"]), np.uint8).astype(np.uint64)
-            value.append(np.cumsum(decode_values(r["control"], r["data"], len(many)).astype(np.uint64) | (high << np.uint64(32))))
-            count.append(many.astype(np.int64))
+            value.append(np.cumsum(decode_values(r["control"], r["data"], len(high)).astype(np.uint64) | (high << np.uint64(32))))
+            control = -(-len(high) // 4)
+            count.append(decode_values(many[:control], many[control:], len(high)).astype(np.int64))
         every = np.concatenate(value)
         by = np.argsort(every, kind="stable")
         first = np.flatnonzero(np.r_[True, np.diff(every[by]) > 0])
