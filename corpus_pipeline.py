@@ -1,7 +1,7 @@
 """Corpus pipeline: documents -> quality rules -> exact dedup -> n-gram join -> source mixing -> piece ids.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage before kept. Verdicts are by
-doc_id; rows with a null id are judged by nothing and stay. An empty table stays empty.
+row, also where ids are null or repeat. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -17,34 +17,58 @@ from tidemark.llm.quality import quality_rules
 from tidemark.llm.sentencepieces import encode
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs but the rows with one of the ids; the ids are the short side, broadcast if that is small."""
-    return docs.join(small_side(staged(ids.select("doc_id").distinct()), 24), "doc_id", "left_anti").select(*docs.columns)
+#: Column that a row is told apart by inside a stage.
+ROW = "__row"
+
+
+def numbered(docs: DataFrame, nulls_last: bool = False) -> DataFrame:
+    """docs with ROW, a number that no other row has and that sorts as doc_id, null ids first or last.
+
+    The id itself where all are different and none is null. Else rows are sorted by id, a 128-bit hash
+    of the text and a hash of the other columns, and numbered; only rows equal in all of these can change
+    places, so chance may deal them out.
+    """
+    n = docs.agg(F.count("*").alias("rows"), F.countDistinct("doc_id").alias("ids")).first()
+    if n["rows"] == n["ids"]:
+        return docs.withColumn(ROW, F.col("doc_id"))
+    first = F.col("doc_id").asc_nulls_last() if nulls_last else F.col("doc_id").asc_nulls_first()
+    order = (first, F.md5(F.coalesce("text", F.lit(""))), F.col("text").isNull(), F.xxhash64(*(c for c in docs.columns if c != "text")), F.rand(7))
+    return staged(docs.orderBy(*order).withColumn(ROW, F.monotonically_increasing_id()))
+
+
+def by_row(rows: DataFrame) -> DataFrame:
+    """rows with ROW in place of doc_id, for operators that ask no more of an id than its order."""
+    return rows.withColumn("doc_id", F.col(ROW)).drop(ROW)
+
+
+def without(rows: DataFrame, out: DataFrame) -> DataFrame:
+    """rows but those whose number is a doc_id of `out`, which is the short side, broadcast if that is small."""
+    return rows.join(small_side(staged(out.select(F.col("doc_id").alias(ROW))), 24), ROW, "left_anti").select(*(c for c in rows.columns if c != ROW))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return without(docs, quality_rules(docs).filter(~F.col("kept")))
+    """Rows that the quality rules keep."""
+    rows = numbered(docs)
+    return without(rows, quality_rules(by_row(rows)).filter(~F.col("kept")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of those with equal texts; of rows that repeat an id one stays too."""
-    verdict = staged(exact_dedup(docs).select("doc_id", "kept"))
-    out = without(docs, verdict.filter(~F.col("kept")))
-    if not verdict.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").isEmpty():
-        out = out.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(out.filter("doc_id is null"))
-    return out
+    """One row of those with equal texts: one with the greatest id."""
+    rows = numbered(docs)
+    return without(rows, exact_dedup(by_row(rows)).filter(~F.col("kept")))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least document of each component of the n-gram join, near copies being those that share 0.8 of their 5-word shingles."""
-    return without(docs, ngram_join(docs, size=5, percent=80).filter("doc_id <> component_id"))
+    """The least row of each component of the n-gram join, near copies being those that share 0.8 of their 5-word shingles."""
+    rows = numbered(docs, nulls_last=True)
+    return without(rows, ngram_join(by_row(rows), size=5, percent=80).filter("doc_id <> component_id"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it."""
-    copies = staged(pareto_mix(docs).filter("copies <> 1").select("doc_id", "copies").distinct())
-    out = docs.join(small_side(copies, 32), "doc_id", "left")
+    """Each row as many times as the mix takes it."""
+    rows = numbered(docs)
+    copies = staged(pareto_mix(rows, row=ROW).filter("copies <> 1").select(ROW, "copies"))
+    out = rows.join(small_side(copies, 32), ROW, "left")
     times = F.coalesce(F.col("copies").cast("int"), F.lit(1))
     return out.withColumn("copies", F.explode(F.array_repeat(F.lit(1), times))).select(*docs.columns)
 

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.compare import duck
@@ -69,3 +70,28 @@ def test_near_copies_share_five_words(spark):
     docs = spark.createDataFrame(rows, KINDS)
     got = {r["doc_id"] for r in corpus_pipeline.near(spark, docs, "").select("doc_id").collect()}
     assert got == kept(5, 80) != kept(4, 85)
+
+
+def test_stages_decide_by_row(spark):
+    """Null ids are judged too, and an id that repeats with other texts takes none of them away."""
+    rng = random.Random(4)
+    text = lambda n: " ".join(f"w{rng.randrange(9999)}" for _ in range(n))
+    a, b, c, d = (text(80) for _ in range(4))
+    near_a = a.rsplit(" ", 1)[0] + " other"
+    texts = [(7, a), (None, a), (None, a), (None, b), (None, b), (3, c), (3, d), (3, "too short"), (None, "short"), (None, near_a), (9, text(70))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, 0, "") for i, t in texts], KINDS).repartition(3)
+    seen = lambda d: sorted(((r["doc_id"], r["text"]) for r in d.select("doc_id", "text").collect()), key=str)
+    want = [t for t in texts if "short" not in t[1]]
+    docs = corpus_pipeline.quality(spark, docs, "")
+    assert seen(docs) == sorted(want, key=str)
+    want = [(7, a), (None, b), (3, c), (3, d), (None, near_a), texts[-1]]
+    docs = corpus_pipeline.exact(spark, docs, "")
+    assert seen(docs) == sorted(want, key=str)
+    want.remove((None, near_a))
+    docs = corpus_pipeline.near(spark, docs, "")
+    assert seen(docs) == sorted(want, key=str)
+    two = spark.createDataFrame([(i, t, "en", s, 0, 0, "") for i, t in enumerate((a, b, c, d)) for s in ("s1", "s2")], KINDS)
+    taken = {}
+    for r in corpus_pipeline.mix(spark, two.withColumn("doc_id", F.lit(None).cast("long")), "").collect():
+        taken[r["source"]] = taken.get(r["source"], 0) + 1
+    assert taken["s1"] == 6 and taken["s2"] == 2

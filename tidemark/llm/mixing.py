@@ -35,8 +35,8 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max
     return t.select("source", "source_size", F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(F.col("w") * level).alias("target"))
 
 
-def pareto_mix(documents: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_copies: int = 3, seed: str = "mix") -> DataFrame:
-    """doc_id, size, source_size, target, copies, taken for every row of `documents`.
+def pareto_mix(documents: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_copies: int = 3, seed: str = "mix", row: str | None = None) -> DataFrame:
+    """doc_id, size, source_size, target, copies, taken for every row of `documents`; with its column `row`, if named.
 
     size is the number of words, 0 for a null or empty text. A source that gets r times its size gives
     floor(r) certain copies of each document; the fraction p that is left is sampled in Pareto order:
@@ -44,13 +44,14 @@ def pareto_mix(documents: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max
     divided by the inclusion odds p / (1 - p), and are taken while that brings the source's words nearer
     to its target, so the sample's size is fixed and its distance from the target is at most half a
     document. Equal rows have equal ids and so stand side by side in the order. A null source is a
-    source of its own; a null id is hashed as the word null. An empty table gives no rows.
+    source of its own; a null id is hashed as the word null. `row` orders rows with equal ids. An empty table gives no rows.
 
     A running sum over a whole source would put it into one task: the order is cut in STRETCHES, whose
     sums are added up first, and each stretch is summed on its own.
     """
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
-    sized = staged(documents.select("doc_id", "source", size.alias("size")))
+    own = [row] if row else []
+    sized = staged(documents.select("doc_id", "source", *own, size.alias("size")))
     targets = staged(source_targets(sized, weights, max_copies)).withColumnRenamed("source", "its_source")
     u = (F.conv(F.substring(F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))), 1, 13), 16, 10).cast("long") + 0.5) / float(1 << 52)
     d = sized.join(small_side(targets, 64), F.col("source").eqNullSafe(F.col("its_source")))
@@ -64,11 +65,11 @@ def pareto_mix(documents: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max
     before = Window.partitionBy("its_source").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(F.col("its_source").alias("s"), F.col("stretch").alias("b"), F.coalesce(F.sum("held").over(before), F.lit(0)).alias("base"))
     d = d.join(sums, F.col("its_source").eqNullSafe(F.col("s")) & (F.col("stretch") == F.col("b")))
-    inside = Window.partitionBy(*key).orderBy("q", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*key).orderBy("q", "doc_id", *own).rowsBetween(Window.unboundedPreceding, -1)
     cum = F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     more = (F.col("rest") > 0) & (cum + F.col("size") / 2 <= F.col("rest"))
     copies = F.col("whole") + more.cast("long")
-    return d.select("doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return d.select("doc_id", *own, "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def op9_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
