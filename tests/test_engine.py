@@ -1,5 +1,6 @@
 """Golden cases of single operators."""
 
+import inspect
 import json
 import math
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import expressions as x
 from tidemark.operators import aggregates, evaluation, health, maintain, ranking, related, sessions
+from tidemark.plans import queries
 from tidemark.schema import Params
 from tidemark.sources import click_log
 from tidemark.sources.events import invalid_events, parse_events, text_events, valid_events
@@ -174,3 +176,21 @@ def test_streamed_pairs_and_bounded_state(spark, tmp_path):
 def test_emission_delay():
     p = Params()
     assert jobs.emission_delay_minutes(1, 2, 2) == 5 and p.min_pairs == 3
+
+
+@pytest.mark.parametrize("name, module, operator, want", [("item2vec", ranking, "item_vectors", {"size": 64, "iterations": 15}), ("bootstrap", evaluation, "paired_bootstrap", {"draws": 1000})])
+def test_registered_at_full_size(spark, monkeypatch, name, module, operator, want):
+    class Called(Exception):
+        pass
+
+    signature = inspect.signature(getattr(module, operator))
+
+    def called(*a, **b):
+        bound = signature.bind(*a, **b)
+        bound.apply_defaults()
+        raise Called(bound.arguments)
+
+    monkeypatch.setattr(module, operator, called)
+    with pytest.raises(Called) as found:
+        queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert want.items() <= found.value.args[0].items()

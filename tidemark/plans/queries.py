@@ -487,7 +487,7 @@ def q_learned_order(s, d):
 
 @query(None)
 def q_item2vec(s, d):
-    found = r.item_vectors(sessions.visit_items(visits(s, d)), size=16, iterations=3)
+    found = r.item_vectors(sessions.visit_items(visits(s, d)))
     return r.similar_items(found, 10).select("query", "item", "rank")
 
 
@@ -574,7 +574,7 @@ def q_model_lift(s, d):
 
 @query(None)
 def q_bootstrap(s, d):
-    return e.paired_bootstrap(e.hits(*by_category(s, d)), e.hits(*global_best(s, d)), 200)
+    return e.paired_bootstrap(e.hits(*by_category(s, d)), e.hits(*global_best(s, d)))
 
 
 @split_query("SELECT round(100 * avg((query IN (SELECT item FROM train))::INT), 3) AS queries_seen, round(100 * avg((target IN (SELECT item FROM train))::INT), 3) AS targets_seen FROM cs")
