@@ -137,6 +137,16 @@ def test_token_files_equal_the_library(docs, odd, tmp_path):
     assert token_table(odd.limit(0), f"file://{tmp_path}/e").count() == 0
 
 
+def test_words_of_any_kind_get_the_library_ids():
+    rng = random.Random(1)
+    letters = "aBcé ß'.,!?*#$-_İẞǅ1²٣日́ \u200b\xa0힣🎉\n\t\x0b\x1c\x85J\u030cK"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(3000)] + ["", "École, écOLE École!?", "x" * 5000, "Word," * 900]
+    words = token_files.WordIds(tokenizers_dir.path("word_bpe_49k.json"))
+    ids, n = words.of([t.encode() for t in texts])
+    want = [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert words.by_word and n.tolist() == list(map(len, want)) and ids.tolist() == [i for x in want for i in x]
+
+
 def test_value_coding_round_trip():
     for values in ([], [0], [255, 256, 65535, 65536, 1 << 24, (1 << 32) - 1], list(range(1000))):
         v = np.array(values, np.uint32)

@@ -19,6 +19,10 @@ BROADCAST_BYTES = 16 << 20
 #: Entries that a task's word cache may hold before it starts anew.
 CACHE_WORDS = 400_000
 
+#: The six ASCII white-space characters.
+SPACES = np.zeros(256, bool)
+SPACES[[9, 10, 11, 12, 13, 32]] = True
+
 MIX_A = np.uint64(0x9E3779B97F4A7C15)
 MIX_B = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -82,8 +86,23 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Record batches cut so that each has about SLICE_BYTES of text, with the texts as UTF-8 (null: empty)."""
+def split_words(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Words of the texts as numbers in a list of different words, that list, and the number of words of each text."""
+    text = b" ".join(texts)
+    data = np.frombuffer(text.lower() if lower else text, np.uint8)
+    inside = ~SPACES[data]
+    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    start, end = edge[::2], edge[1::2]
+    offset = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(end - start, out=offset[1:])
+    words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offset), pa.py_buffer(data[inside])]).dictionary_encode()
+    upto = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    different = words.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist is ten times slower
+    return words.indices.to_numpy(zero_copy_only=False), different, np.diff(np.searchsorted(start, upto), prepend=0)
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Record batches cut so that each has about `size` bytes of text, with the texts as UTF-8 (null: empty)."""
     for batch in batches:
         texts = batch.column(text)
         if texts.type != pa.binary() and texts.type != pa.large_binary():
@@ -93,7 +112,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tu
             b = texts[i].as_py() or b""
             part.append(b)
             held += len(b)
-            if held >= SLICE_BYTES:
+            if held >= size:
                 yield batch.slice(start, i + 1 - start), part
                 start, held, part = i + 1, 0, []
         if part:

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import string
 import zlib
+from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -13,14 +16,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import shared_dir, slices, small_side, staged, table
+from tidemark.llm.common import ranges, shared_dir, slices, small_side, split_words, staged, table
 
-#: Ids of a block, at most, but for a single longer document.
-BLOCK_IDS = 1 << 18
+#: Text of a block of documents, about; their different words are looked up together.
+BLOCK_BYTES = 4_000_000
 #: Words whose ids a worker keeps.
 KEPT_WORDS = 1_000_000
 END_ID = 1
-TAIL = b".,!?;:"
+TAIL = string.punctuation.encode()
+#: Steps of a tokenizer file by which words can be encoded one by one: white space separates, and no match goes across it.
+BY_WORD_NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+BY_WORD_STEPS = [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
 
 #: Bytes of each of the four values that a control byte describes, two bits each, low bits first.
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.int64)
@@ -52,12 +61,13 @@ def decode_values(control: bytes, data: bytes, count: int) -> np.ndarray:
     return out
 
 
-class WordIds(dict):
-    """Word (bytes without ASCII white space) -> its ids as packed integers, by the tokenizers library.
+class WordIds:
+    """Ids of texts, by the tokenizers library, asked about a word once and kept.
 
     Text is encoded word by word only if the file's tokenizer drops white space before it splits and
-    nothing in it looks across words; word_bpe_49k.json is such a file. For words of Latin letters with
-    final punctuation the library's BPE model is asked directly, as its splitter would cut them there.
+    nothing in it looks across words; word_bpe_49k.json is such a file. Words of Latin letters with
+    final punctuation are kept as the letters in lower case and the punctuation, and the library's BPE
+    model is asked about these directly, as its splitter would cut them there.
     """
 
     def __init__(self, path: str):
@@ -66,33 +76,54 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         config = json.loads(Path(path).read_text())
-        steps = [s["type"] for s in (config["pre_tokenizer"] or {}).get("pretokenizers", [])]
-        normal = [s["type"] for s in (config["normalizer"] or {}).get("normalizers", [])]
-        self.by_word = steps == ["Split", "ByteLevel"] and normal == ["NFC", "Replace", "Lowercase"] and config["pre_tokenizer"]["pretokenizers"][0]["invert"] is True
-        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        steps = (config["pre_tokenizer"] or {}).get("pretokenizers", [])
+        normal = (config["normalizer"] or {}).get("normalizers", [])
+        self.by_word = steps == BY_WORD_STEPS and normal == BY_WORD_NORMAL
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.kind = np.dtype(self.code)
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        hidden = [b for b in range(256) if b not in shown]
-        self.byte_chars = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
-
-    def __missing__(self, word: bytes) -> bytes:
-        core = word.rstrip(TAIL)
-        text = core.decode().lower()
-        if text.isalpha() and max(text) < "ɐ":
-            ids = [t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(self.byte_chars))]
-            if len(core) < len(word):
-                ids += [t.id for t in self.model.tokenize(word[len(core) :].decode())]
-        else:
-            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        packed = np.array(ids, self.kind).tobytes()
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        self[word] = packed
+        hidden = iter(range(256, 512))
+        #: the character that the byte-level step shows each byte as
+        self.shown = "".join(chr(b if b in shown else next(hidden)) for b in range(256))
+        self.cores, self.tails, self.others = {}, {b"": b""}, {}
+
+    def _keep(self, held: dict, key: bytes, tokens: list) -> bytes:
+        if len(held) >= KEPT_WORDS:
+            held.clear()
+        held[key] = packed = array(self.code, [t.id for t in tokens]).tobytes()
         return packed
 
-    def text_ids(self, text: bytes) -> bytes:
-        if self.by_word:
-            return b"".join([self[w] for w in text.split()])
-        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, self.kind).tobytes()
+    def word(self, word: bytes) -> bytes:
+        """Packed ids of a word."""
+        core = word.rstrip(TAIL)
+        tail, low = word[len(core) :], core.lower()
+        ids = self.cores.get(low)
+        if ids is None:
+            text = core.decode()
+            if not text.isalpha() or max(text := text.lower()) >= "ɐ":
+                if (ids := self.others.get(word)) is None:
+                    if len(self.others) >= KEPT_WORDS:
+                        self.others.clear()
+                    ids = array(self.code, self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+                    self.others[word] = ids
+                return ids
+            ids = self._keep(self.cores, low, self.model.tokenize(charmap_decode(text.encode(), "strict", self.shown)[0]))
+        if not tail:
+            return ids
+        after = self.tails.get(tail)
+        return ids + (after if after is not None else self._keep(self.tails, tail, self.model.tokenize(tail.decode())))
+
+    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and the number of ids of each."""
+        if not self.by_word:
+            ids = [self.tokenizer.encode(t.decode(), add_special_tokens=False).ids for t in texts]
+            return np.array([i for x in ids for i in x], self.kind), np.array([len(x) for x in ids], np.int64)
+        number, different, count = split_words(texts)
+        packed = list(map(self.word, different))
+        size = np.fromiter(map(len, packed), np.int64, len(packed)) // self.kind.itemsize
+        first, n = (np.cumsum(size) - size)[number], size[number]
+        upto = np.r_[0, np.cumsum(n)]
+        return np.frombuffer(b"".join(packed), self.kind)[ranges(first, n)], np.diff(upto[np.r_[0, np.cumsum(count)]])
 
 
 _words: dict[str, WordIds] = {}
@@ -102,29 +133,16 @@ def _tokenized(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _words.get(path) or WordIds(path)
         _words[path] = words  # for the worker's next tasks
-        part, block, end = TaskContext.get().partitionId(), 0, np.array([end_id], words.kind).tobytes()
-        ids, parts, held = [], [], 0
-
-        def packed() -> pa.RecordBatch:
-            count = np.array([len(p) // end_size for p in parts], np.int32)
-            flat = np.frombuffer(b"".join(parts), words.kind)
-            return pa.record_batch(
-                [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([ids], pa.list_(pa.int64())), pa.array([count.tobytes()], pa.binary()), pa.array([flat.tobytes()], pa.binary()), pa.array([len(flat)], pa.int64())],
+        part, block = TaskContext.get().partitionId(), 0
+        for batch, texts in slices(batches, size=BLOCK_BYTES):
+            flat, n = words.of(texts)
+            flat = np.insert(flat, np.cumsum(n), end_id)
+            count = (n + 1).astype(np.int32)
+            yield pa.record_batch(
+                [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([count.tobytes()], pa.binary()), pa.array([flat.tobytes()], pa.binary()), pa.array([len(flat)], pa.int64())],
                 ["part", "block", "doc_ids", "counts", "ids", "n_ids"],
             )
-
-        end_size = len(end)
-        for batch, texts in slices(batches):
-            for i, t in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
-                p = words.text_ids(t) + end
-                ids.append(i)
-                parts.append(p)
-                held += len(p) // end_size
-                if held >= BLOCK_IDS:
-                    yield packed()
-                    ids, parts, held, block = [], [], 0, block + 1
-        if parts:
-            yield packed()
+            block += 1
 
     return run
 
