@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, beside, covered, joined, lists, minimizers, ranges, slices, staged, table, windows
+from tidemark.llm.common import covered, joined, minimizers, ranges, table, windows
+from tidemark.llm.exchange import beside_chunks, bucket_count, exchange, fold, grouped, told_of, unpacked, word_chunks
 
 #: Words of a window; the levels are WINDOW / 4, / 2 and the whole, rounded up.
 WINDOW = 50
+#: Lowest bit of a key of level 2: set for a block, else a doubled seed.
+BLOCK = np.uint64(1)
 
 
 def _levels(window: int) -> tuple[int, int]:
@@ -20,98 +24,117 @@ def _levels(window: int) -> tuple[int, int]:
     return -(-half // 2), half
 
 
-def _hashed(texts: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    words = [t.split() for t in texts]
-    return hashes.of([w for x in words for w in x]), np.array([len(x) for x in words], np.int64)
-
-
-def _seeds(window: int):
-    quarter, half = _levels(window)
-    more = half - quarter
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch, texts in slices(batches):
-            h, n = _hashed(texts, hashes)
-            if len(h) < window:
-                continue
-            owner, base = np.repeat(np.arange(len(n)), n), np.cumsum(n) - n
-            whole = owner[: len(h) - window + 1] == owner[window - 1 :]
-            seeds, doubled, full = windows(h, quarter), windows(h, half), windows(h, window)
-            pos, first, last = minimizers(seeds, window - quarter + 1, whole)
-            own = owner[pos]
-            left, right = pos - more >= base[own], pos + half <= base[own] + n[own]
-            block = joined(full[first], full[last] + (last - first).astype(np.uint64) + ((pos - first) << 8).astype(np.uint64))
-            value = lambda at, ok: pa.array(doubled[np.where(ok, at, 0)].view(np.int64), mask=~ok)
-            yield pa.record_batch(
-                [
-                    batch.column("doc_id").take(pa.array(own)),
-                    batch.column("row").take(pa.array(own)),
-                    pa.array(seeds[pos].view(np.int64)),
-                    value(pos - more, left),
-                    value(pos, right),
-                    pa.array(block.view(np.int64)),
-                    pa.array((first - base[own]).astype(np.int32)),
-                    pa.array((last - first).astype(np.int16)),
-                    pa.array((pos - first).astype(np.int16)),
-                ],
-                ["doc_id", "row", "seed", "left", "right", "block", "first", "more", "at"],
-            )
-
-    return run
-
-
-def _windows(window: int):
-    quarter, half = _levels(window)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch, texts in slices(batches):
-            h, n = _hashed(texts, hashes)
-            full, base = windows(h, window), np.cumsum(n) - n
-            count, b = lists(batch.column("blocks"))
-            own = np.repeat(np.arange(len(n)), count)
-            start = ranges(b["first"].astype(np.int64), b["more"].astype(np.int64) + 1)
-            which = np.repeat(np.arange(len(own)), b["more"].astype(np.int64) + 1)
-            room = b["first"][which] + b["at"][which] - start  # words left of the seed
-            use = np.where(room >= half - quarter, b["in_left"][which], b["in_right"][which]).astype(bool)
-            start, which = start[use], which[use]
-            own = own[which]
-            yield pa.record_batch(
-                [
-                    batch.column("doc_id").take(pa.array(own)),
-                    batch.column("row").take(pa.array(own)),
-                    pa.array(b["seed"][which]),
-                    pa.array(full[base[own] + start].view(np.int64)),
-                    pa.array(start.astype(np.int32)),
-                ],
-                ["doc_id", "row", "seed", "hash", "first"],
-            )
-
-    return run
+class _Chunk:
+    """A chunk's windows, and what is known of them after each level; each level's keys go to an exchange."""
+
+    def __init__(self, row: dict, window: int):
+        self.row, self.window = row, window
+        self.quarter, self.half = _levels(window)
+        self.more = self.half - self.quarter
+        self.words, self.tokens = row["words"].split(), unpacked(row["tokens"], np.uint32)
+        self.n = np.frombuffer(row["lengths"], np.int32).astype(np.int64)
+        self.base = np.cumsum(self.n) - self.n
+        has_id = np.array([i is not None for i in row["doc_ids"]], bool)
+        ids = np.array([i or 0 for i in row["doc_ids"]], np.int64)
+        hashes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, self.words)), np.uint64).reshape(-1, 2)
+        self.h, self.h2 = (np.ascontiguousarray(hashes[:, k])[self.tokens] for k in (0, 1))
+        owner = np.repeat(np.arange(len(self.n)), self.n)
+        span = max(len(owner) - window + 1, 0)
+        whole = (owner[:span] == owner[len(owner) - span :]) & has_id[owner[:span]]
+        seeds = windows(self.h, self.quarter)
+        self.at, self.first, self.last = minimizers(seeds, window - self.quarter + 1, whole)
+        self.seed, self.own = seeds[self.at], owner[self.at]
+        self.doc = ids[self.own]
+
+    def seeds(self) -> tuple[np.ndarray, ...]:
+        """Level 1: the different seeds, with the least and the greatest document that has each."""
+        order, start, self.seed_number = grouped(self.seed)
+        doc = self.doc[order]
+        return self.seed[order[start]], fold(np.minimum, doc, start), fold(np.maximum, doc, start)
+
+    def doubled(self) -> tuple[np.ndarray, ...]:
+        """Level 2: of the seeds that lie in two documents, the doubled seeds with their least and greatest
+        document and block, and the blocks with their least document."""
+        self.seeds()
+        keep = told_of(self.row["in_two"], np.bool_)[self.seed_number]
+        self.at, self.first, self.last, self.own, self.doc = (v[keep] for v in (self.at, self.first, self.last, self.own, self.doc))
+        base, end = self.base[self.own], self.base[self.own] + self.n[self.own]
+        doubled, self.full, self.full2 = windows(self.h, self.half), windows(self.h, self.window), windows(self.h2, self.window)
+        extent = (self.last - self.first).astype(np.uint64) + ((self.at - self.first) << 8).astype(np.uint64)
+        block, block2 = (joined(f[self.first], f[self.last] + extent) for f in (self.full, self.full2))
+        block |= BLOCK
+        self.sides, keys = [], []
+        for at in (self.at - self.more, self.at):
+            fits = np.flatnonzero((at >= base) & (at + self.half <= end))
+            self.sides.append(fits)
+            keys.append(doubled[at[fits]] & ~BLOCK)
+        which = np.concatenate([*self.sides, np.arange(len(self.at))])
+        key = np.concatenate([*keys, block])
+        also = np.concatenate([np.zeros(len(key) - len(block), np.uint64), block2])
+        order, start, self.doubled_number = grouped(key, also)
+        doc, block = self.doc[which][order], block[which][order]
+        return key[order[start]], also[order[start]], *(fold(how, v, start) for v in (doc, block) for how in (np.minimum, np.maximum))
+
+    def whole(self) -> tuple[np.ndarray, ...]:
+        """Level 3: blocks that a smaller document has go whole. Of the others, the different windows around
+        doubled seeds that survive, each by two hashes, with the least document that has it."""
+        self.doubled()
+        told = told_of(self.row["repeats"], np.int64)[self.doubled_number]
+        left, right = np.zeros((2, len(self.at)), bool)
+        left[self.sides[0]] = told[: len(self.sides[0])] > 0
+        right[self.sides[1]] = told[len(self.sides[0]) : len(told) - len(self.at)] > 0
+        smaller = told[len(told) - len(self.at) :] < self.doc
+        self.gone = self.first[smaller], self.last[smaller] + self.window
+        i = np.flatnonzero(~smaller & (left | right))
+        count = self.last[i] - self.first[i] + 1
+        start, i = ranges(self.first[i], count), np.repeat(i, count)
+        use = np.where(self.at[i] - start >= self.more, left[i], right[i])
+        self.start, self.start_doc = start[use], self.doc[i[use]]
+        key, also = self.full[self.start], self.full2[self.start]
+        order, first, self.window_number = grouped(key, also)
+        return key[order[first]], also[order[first]], fold(np.minimum, self.start_doc[order], first)
+
+    def removed(self) -> np.ndarray:
+        """Which of the chunk's words go."""
+        self.whole()
+        hit = self.start[told_of(self.row["least"], np.int64)[self.window_number] < self.start_doc]
+        return covered(len(self.tokens), np.r_[self.gone[0], hit], np.r_[self.gone[1], hit + self.window])
+
+
+def _asks(level: Callable, window: int) -> Callable:
+    return lambda row: level(_Chunk(row, window))
+
+
+def _in_two(keys: np.ndarray, start: np.ndarray, least: np.ndarray, most: np.ndarray) -> np.ndarray:
+    return fold(np.minimum, least, start) < fold(np.maximum, most, start)
+
+
+def _repeats(keys: np.ndarray, start: np.ndarray, also: np.ndarray, least: np.ndarray, most: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """For a block its least document; for a doubled seed whether it lies in two documents and in two different blocks."""
+    least = fold(np.minimum, least, start)
+    again = (least < fold(np.maximum, most, start)) & (fold(np.minimum, low, start) < fold(np.maximum, high, start))
+    return np.where(keys & BLOCK > 0, least, again)
+
+
+def _least(keys: np.ndarray, start: np.ndarray, also: np.ndarray, least: np.ndarray) -> np.ndarray:
+    return fold(np.minimum, least, start)
 
 
 def _cut(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches):
-            count, s = lists(batch.column("spans"))
-            upto, out = np.cumsum(count), []
-            for i, t in enumerate(texts):
-                words = t.split()
-                removed = 0
-                if count[i]:
-                    mine = slice(upto[i] - count[i], upto[i])
-                    gone = covered(len(words), s["first"][mine], s["last"][mine])
-                    removed = int(gone.sum())
-                    words_left = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-                else:
-                    words_left = words
-                out.append((len(words), removed, b" ".join(words_left).decode()))
-            n, removed, text = zip(*out, strict=True)
-            yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(text, pa.large_string()).cast(pa.string())],
-                ["doc_id", "n_words", "n_removed", "kept_text"],
-            )
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                chunk = _Chunk(row, window)
+                gone = chunk.removed()
+                upto = np.r_[0, np.cumsum(gone)][np.r_[0, np.cumsum(chunk.n)]]
+                kept = np.array(chunk.words, object)[chunk.tokens[~gone]]
+                ends = (np.r_[0, np.cumsum(chunk.n)] - upto).tolist()
+                text = [b" ".join(kept[a:z]) for a, z in zip(ends[:-1], ends[1:], strict=True)]
+                yield pa.record_batch(
+                    [pa.array(row["doc_ids"], pa.int64()), pa.array(chunk.n), pa.array(np.diff(upto)), pa.array(text, pa.binary()).cast(pa.string())],
+                    ["doc_id", "n_words", "n_removed", "kept_text"],
+                )
 
     return run
 
@@ -127,32 +150,25 @@ def substring_dedup(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     Level 1: every window of the full length has one seed, the least-hashed of its quarter-length windows,
     which depends on its words alone, so equal windows have equal seeds at equal places and no other
     quarter-length windows need be compared. Level 2: the seeds that lie in two documents are extended to
-    twice their length, to the left and to the right; each full window contains one of the two. Level 3:
-    survivors are extended to the full length: first all windows that share a seed as one block (of equal
-    blocks only the one in the least document goes on), then the windows of the blocks that are left.
-    Hashes have 64 bits; windows are compared within equal seeds, so two must agree.
+    twice their length, to the left and to the right; each full window contains one of the two. The windows
+    that share a seed's place are a block, and blocks that a smaller document has too are settled here.
+    Level 3: around doubled seeds that lie in two documents, in blocks that differ, windows of the full
+    length are compared; of equal blocks only those of the least document are left to take part.
+
+    Texts are read once, into chunks of word numbers. In each level a chunk asks for its different keys and
+    is told what all chunks know of them, so a passage that many documents share is one key a chunk. Seeds
+    are 64-bit hashes, which can only add candidates; blocks and windows are compared by 127 and 128 bits.
     """
-    rows = documents.select("doc_id", F.col("text"), F.xxhash64("text").alias("row"))
-    kinds = "doc_id long, row long, seed long, left long, right long, block long, first int, more short, at short"
-    seeds = staged(rows.filter("doc_id is not null").mapInArrow(_seeds(window), kinds))
-    several = lambda df, *keys: staged(df.groupBy(*keys).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select(*keys))
-    found = staged(seeds.join(several(seeds, "seed"), "seed"))
-    for side in ("left", "right"):
-        again = several(found.filter(f"{side} is not null"), side).withColumn(f"in_{side}", F.lit(True))
-        found = found.join(again, side, "left")
-    found = staged(found.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("in_left", "in_right")}).filter("in_left or in_right"))
-    least = found.groupBy("seed", "block").agg(F.min("doc_id").alias("least"))
-    found = staged(found.join(least, ["seed", "block"]))
-    whole = found.filter("least < doc_id").select("doc_id", "row", "first", (F.col("first") + F.col("more") + window).alias("last"))
-    blocks = found.filter("least = doc_id").groupBy("doc_id", "row").agg(F.collect_list(F.struct("seed", "first", "more", "at", "in_left", "in_right")).alias("blocks"))
-    blocks = staged(blocks)
-    text = beside(rows, blocks, ["doc_id", "row"], "blocks", 40, every=False)
-    full = staged(text.mapInArrow(_windows(window), "doc_id long, row long, seed long, hash long, first int"))
-    least = full.groupBy("seed", "hash").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
-    single = full.join(least, ["seed", "hash"]).filter("least < doc_id").select("doc_id", "row", "first", (F.col("first") + window).alias("last"))
-    spans = staged(whole.unionByName(single).groupBy("doc_id", "row").agg(F.collect_list(F.struct("first", "last")).alias("spans")))
-    marked = beside(rows, spans, ["doc_id", "row"], "spans", 24, every=True).select("doc_id", "text", "spans")
-    return marked.mapInArrow(_cut(window), "doc_id long, n_words long, n_removed long, kept_text string")
+    chunks = word_chunks(documents)
+    buckets = bucket_count(chunks)
+    told = {}
+    for name, level, answer, kinds in (
+        ("in_two", _Chunk.seeds, _in_two, (np.int64, np.int64)),
+        ("repeats", _Chunk.doubled, _repeats, (np.uint64, np.int64, np.int64, np.uint64, np.uint64)),
+        ("least", _Chunk.whole, _least, (np.uint64, np.int64)),
+    ):
+        told[name] = exchange(beside_chunks(chunks, **told), buckets, _asks(level, window), answer, kinds, pairs=name != "in_two")
+    return beside_chunks(chunks, **told).mapInArrow(_cut(window), "doc_id long, n_words long, n_removed long, kept_text string")
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
