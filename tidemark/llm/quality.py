@@ -17,12 +17,13 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 #: metric -> numerator and denominator; metrics are integers, per 10,000.
 METRICS = {"symbols": ("n_symbols", "word_chars"), "repeats": ("n_repeat_words", "n_words"), "dup_lines": ("n_dup_lines", "n_words"), "word_length": ("word_chars", "n_words")}
-#: Least distance of the upper fence from the median, in a metric's unit, so that a narrow group doesn't reject its own tail.
-SLACK = {"symbols": 300, "repeats": 3500, "dup_lines": 300, "word_length": 20000}
-#: Fence: median + SPREADS * (upper quartile - lower quartile), at least median + slack.
-SPREADS = 4
-#: A (lang, source) group below this many documents uses its language's sketch, a language below it that of all.
-LEAST = 100
+#: Percentile of each metric that its fence is measured from: high where clean texts have it now and then, lower where junk alone does.
+PERCENTILE = {"symbols": 85, "repeats": 95, "dup_lines": 98, "word_length": 85}
+#: Fence: percentile + SPREADS * (percentile - median), at least median + ROUNDING (one in a hundred). The percentile is
+#: the end of its bucket and the median the start of its own, so the spread is no less than the sketch can tell.
+SPREADS, ROUNDING = 6, 100
+#: Documents that the sketches of the language, and of all rows, each weigh in a (lang, source) group's; 1 / PARTS is the least part of one.
+PRIOR, PARTS = 100, 1000
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,15 +90,31 @@ def sketches(rows: DataFrame, keys: list[str]) -> DataFrame:
     return long.groupBy(*keys, "x.metric", "x.bucket").agg(F.count("*").alias("n"))
 
 
-def fences(sketch: DataFrame, keys: list[str], spreads: int = SPREADS) -> DataFrame:
-    """(keys, metric, total, fence) from sketches: the value above which a document is out of its group."""
-    w = Window.partitionBy(*keys, "metric")
+def fences(sketch: DataFrame) -> DataFrame:
+    """lang, source, metric, fence from the sketches of (lang, source) groups: the value above which a document is out of its group.
+
+    Each group's sketch is merged with its language's and with that of all rows, each scaled to PRIOR
+    documents, so that a small group leans on these and a large one on itself.
+    """
+    groups = sketch.select("lang", "source", "metric").distinct()
+
+    def prior(*keys: str) -> DataFrame:
+        held = sketch.groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
+        whole = sketch.groupBy(*keys).agg(F.sum("n").alias("total"))
+        names = {k: f"_{k}" for k in keys}
+        same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
+        share = held.alias("h").join(whole.alias("t"), same("h", "t")).select(*(F.col(f"h.{k}").alias(names[k]) for k in keys), "bucket", F.expr(f"{PRIOR * PARTS} * n div total").alias("n"))
+        return groups.join(share, [F.col(k).eqNullSafe(F.col(names[k])) for k in keys]).select("lang", "source", "metric", "bucket", "n")
+
+    own = sketch.select("lang", "source", "metric", "bucket", (F.col("n") * PARTS).alias("n"))
+    merged = own.unionByName(prior("lang", "metric")).unionByName(prior("metric")).groupBy("lang", "source", "metric", "bucket").agg(F.sum("n").alias("n"))
+    w = Window.partitionBy("lang", "source", "metric")
     up_to = F.sum("n").over(w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
-    q = sketch.withColumns({"total": F.sum("n").over(w), "up_to": up_to})
-    at = lambda p: floor_of(F.min(F.when(F.col("up_to") * 100 >= F.col("total") * p, F.col("bucket"))))
-    q = q.groupBy(*keys, "metric").agg(F.max("total").alias("total"), at(25).alias("q25"), at(50).alias("q50"), at(75).alias("q75"))
-    slack = F.create_map(*(F.lit(x) for item in SLACK.items() for x in item))
-    return q.select(*keys, "metric", "total", (F.col("q50") + F.greatest(spreads * (F.col("q75") - F.col("q25")), slack[F.col("metric")])).alias("fence"))
+    q = merged.withColumns({"total": F.sum("n").over(w), "up_to": up_to})
+    percentile = F.create_map(*(F.lit(x) for item in PERCENTILE.items() for x in item))[F.col("metric")]
+    at = lambda p: F.min(F.when(F.col("up_to") * 100 >= F.col("total") * p, F.col("bucket")))
+    q = q.groupBy("lang", "source", "metric").agg(floor_of(at(50)).alias("half"), (floor_of(at(percentile) + 1) - 1).alias("high"))
+    return q.select("lang", "source", "metric", F.greatest(F.col("high") + SPREADS * (F.col("high") - F.col("half")), F.col("half") + ROUNDING).alias("fence"))
 
 
 def quality_rules(documents: DataFrame) -> DataFrame:
@@ -105,21 +122,14 @@ def quality_rules(documents: DataFrame) -> DataFrame:
 
     Words are runs of anything but the six ASCII white-space characters; a null text has none. Documents
     that fail the base rule are rejected. The others set the thresholds: each (lang, source) group has a
-    sketch of each metric, and a document is rejected if a metric exceeds its group's fence. Groups below
-    LEAST documents use the merged sketch of their language, and that of all rows if that is small too.
-    A null lang or source is a value like any other. Repeated rows are judged alike; an empty table gives
-    no rows; columns other than doc_id, text, lang and source are not read.
+    sketch of each metric, merged with its language's and that of all rows at the weight of PRIOR
+    documents each, and a document is rejected if a metric exceeds its group's fence, which percentiles
+    of that sketch set. A null lang or source is a value like any other. Repeated rows are judged alike;
+    an empty table gives no rows; columns other than doc_id, text, lang and source are not read.
     """
     d = measured(documents)
-    sketch = staged(sketches(d.filter(~F.col("base_failed")), ["lang", "source"]))
-    by_lang = sketch.groupBy("lang", "metric", "bucket").agg(F.sum("n").alias("n"))
-    of_all = sketch.groupBy("metric", "bucket").agg(F.sum("n").alias("n"))
-    wide = lambda f, keys, name: f.groupBy(*keys).agg(F.max("total").alias(f"n_{name}"), F.map_from_entries(F.collect_list(F.struct("metric", "fence"))).alias(name))
-    g = wide(fences(sketch, ["lang", "source"]), ["lang", "source"], "own")
-    lang = wide(fences(by_lang, ["lang"]), ["lang"], "of_lang").withColumnRenamed("lang", "lang2")
-    every = wide(fences(of_all, []), [], "of_all")
-    pick = F.when(F.col("n_own") >= LEAST, F.col("own")).when(F.col("n_of_lang") >= LEAST, F.col("of_lang")).otherwise(F.lit(None))
-    limits = g.join(lang, F.col("lang").eqNullSafe(F.col("lang2"))).select(F.col("lang").alias("l"), F.col("source").alias("s"), F.coalesce(pick, every.select("of_all").scalar()).alias("fences"))
+    limits = fences(staged(sketches(d.filter(~F.col("base_failed")), ["lang", "source"])))
+    limits = limits.groupBy(F.col("lang").alias("l"), F.col("source").alias("s")).agg(F.map_from_entries(F.collect_list(F.struct("metric", "fence"))).alias("fences"))
     limits = staged(limits)
     out = d.join(small_side(limits, 400), F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s")), "left")
     ok = ~F.col("base_failed")
@@ -139,18 +149,8 @@ def quality_sql(documents: str) -> str:
     e = "greatest(length(bin(v)) - 5, 0)"
     metrics = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, {v} AS v FROM d WHERE NOT base_failed" for m, v in value.items())
     low = lambda b: f"CASE WHEN {b} < 32 THEN {b} ELSE ({b} - ({b} // 16 - 1) * 16) * (1::BIGINT << ({b} // 16 - 1)) END"
-    slack = "CASE metric " + " ".join(f"WHEN '{m}' THEN {v}" for m, v in SLACK.items()) + " END"
-
-    def fence(keys: str) -> str:
-        k = f"{keys}, " if keys else ""
-        q = lambda p: f"min(CASE WHEN up_to * 100 >= total * {p} THEN b END)"
-        return f"""
-          SELECT {k}metric, total, ({low('b50')}) + greatest({SPREADS} * (({low('b75')}) - ({low('b25')})), {slack}) AS fence FROM (
-            SELECT {k}metric, max(total) AS total, {q(25)} AS b25, {q(50)} AS b50, {q(75)} AS b75 FROM (
-              SELECT {k}metric, b, sum(n) OVER (PARTITION BY {k}metric) AS total,
-                     sum(n) OVER (PARTITION BY {k}metric ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS up_to
-              FROM (SELECT {k}metric, b, count(*) AS n FROM m GROUP BY {k}metric, b)) GROUP BY {k}metric)"""
-
+    percentile = "CASE metric " + " ".join(f"WHEN '{m}' THEN {v}" for m, v in PERCENTILE.items()) + " END"
+    at = lambda p: f"min(CASE WHEN up_to * 100 >= total * {p} THEN b END)"
     return f"""
 WITH w AS (SELECT doc_id, lang, source, text, {words} AS ws FROM {documents}),
 x AS (SELECT doc_id, lang, source, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
@@ -161,9 +161,17 @@ r AS (SELECT doc_id, count(DISTINCT i + k)::BIGINT AS n FROM (SELECT doc_id, i,
 d AS (SELECT x.doc_id, lang, source, n_words, word_chars, n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
         n_words < 50 OR 100 * coalesce(r.n, 0) > 50 * n_words AS base_failed FROM x LEFT JOIN r USING (doc_id)),
 m AS (SELECT lang, source, metric, CASE WHEN v < 32 THEN v ELSE ({e}) * 16 + (v >> ({e})::INT) END AS b FROM ({metrics})),
-g AS ({fence('lang, source')}), l AS ({fence('lang')}), a AS ({fence('')}),
-f AS (SELECT g.lang, g.source, g.metric, CASE WHEN g.total >= {LEAST} THEN g.fence WHEN l.total >= {LEAST} THEN l.fence ELSE a.fence END AS fence
-      FROM g JOIN l ON g.lang IS NOT DISTINCT FROM l.lang AND g.metric = l.metric JOIN a ON g.metric = a.metric),
+k AS (SELECT lang, source, metric, b, count(*) AS n FROM m GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source, metric FROM k),
+l AS (SELECT lang, metric, b, ({PRIOR * PARTS} * sum(n) // sum(sum(n)) OVER (PARTITION BY lang, metric))::BIGINT AS n FROM k GROUP BY lang, metric, b),
+a AS (SELECT metric, b, ({PRIOR * PARTS} * sum(n) // sum(sum(n)) OVER (PARTITION BY metric))::BIGINT AS n FROM k GROUP BY metric, b),
+e AS (SELECT lang, source, metric, b, sum(n) AS n FROM (
+        SELECT lang, source, metric, b, n * {PARTS} AS n FROM k UNION ALL SELECT g.*, l.b, l.n FROM g JOIN l ON g.lang IS NOT DISTINCT FROM l.lang AND g.metric = l.metric
+        UNION ALL SELECT g.*, a.b, a.n FROM g JOIN a ON g.metric = a.metric) GROUP BY ALL),
+f AS (SELECT lang, source, metric, greatest(high + {SPREADS} * (high - ({low('half')})), ({low('half')}) + {ROUNDING}) AS fence FROM (SELECT * EXCLUDE high, ({low('(high + 1)')}) - 1 AS high FROM (
+        SELECT lang, source, metric, {at(50)} AS half, {at(percentile)} AS high FROM (
+          SELECT *, sum(n) OVER (PARTITION BY lang, source, metric) AS total, sum(n) OVER (PARTITION BY lang, source, metric ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS up_to FROM e)
+        GROUP BY lang, source, metric))),
 o AS (SELECT d.doc_id, bool_and(v.x <= f.fence) AS fine FROM d, LATERAL (VALUES {", ".join(f"('{m}', {v})" for m, v in value.items())}) AS v(metric, x)
       JOIN f ON f.lang IS NOT DISTINCT FROM d.lang AND f.source IS NOT DISTINCT FROM d.source AND f.metric = v.metric GROUP BY d.doc_id)
 SELECT d.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(fine, FALSE) AS kept FROM d LEFT JOIN o USING (doc_id)"""
