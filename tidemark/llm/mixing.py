@@ -46,8 +46,9 @@ def pareto_mix(documents: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max
     document. Equal rows have equal ids and so stand side by side in the order. A null source is a
     source of its own; a null id is hashed as the word null. `row` orders rows with equal ids. An empty table gives no rows.
 
-    A running sum over a whole source would put it into one task: the order is cut in STRETCHES, whose
-    sums are added up first, and each stretch is summed on its own.
+    A running sum over a whole source would put it into one task: the order is cut in STRETCHES, even ones
+    of u, which sorts a source's documents as the odds do; the stretches' sums are added up first, and each
+    stretch is summed on its own.
     """
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
     own = [row] if row else []
@@ -59,7 +60,7 @@ def pareto_mix(documents: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max
     d = d.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
     d = d.withColumn("p", F.when(F.col("source_size") > 0, F.col("rest") / F.col("source_size")).otherwise(0.0))
     q = F.when((F.col("p") > 0) & (F.col("p") < 1), (u / (1 - u)) / (F.col("p") / (1 - F.col("p")))).otherwise(u / (1 - u))
-    d = d.withColumn("q", q).withColumn("stretch", F.floor(F.col("q") / (1 + F.col("q")) * STRETCHES))
+    d = d.withColumn("q", q).withColumn("stretch", F.floor(u * STRETCHES))
     key = ["its_source", "stretch"]
     sums = d.groupBy(*key).agg(F.sum("size").alias("held"))
     before = Window.partitionBy("its_source").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
