@@ -12,8 +12,10 @@ RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org
 #: Words that put a host on the block list when it has one between dots or hyphens.
 BLOCKED_WORDS = ("adult", "casino", "pills", "bets", "spam", "ads")
 BITS_PER_KEY, HASHES = 10, 4
-#: Largest filter of one level, in bits (16 MB); a list that needs more is matched by a semi-join instead.
-MAX_BITS = 1 << 27
+#: Largest array of a level, in bits (16 MB), and most arrays of a level; a list that needs more is matched by a shuffled join.
+MAX_BITS, MAX_SHARDS = 1 << 27, 8
+#: 64-bit words that are put in order together while a filter is built.
+STRETCH = 1024
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -41,18 +43,29 @@ def _bits(key: Column, level: int, size: int) -> list[Column]:
     return [F.pmod(a + i * b, F.lit(size)) for i in range(HASHES)]
 
 
-def _filter(keys: DataFrame, level: int, size: int) -> DataFrame:
-    """One row with the filter's bits as an array of longs; bits are set by pre-aggregated bit_or."""
-    bit = keys.select(F.explode(F.array(*_bits(F.col("key"), level, size))).alias("bit"))
-    words = bit.groupBy(F.expr("bit div 64").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, int(bit % 64))")).alias("v"))
-    held = words.agg(F.map_from_entries(F.collect_list(F.struct("w", "v"))).alias("m"))
-    return staged(held.select(F.transform(F.sequence(F.lit(0), F.lit((size - 1) // 64)), lambda i: F.coalesce(F.try_element_at("m", i.cast("long")), F.lit(0).cast("long"))).alias("bits")))
+def _shard(key: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(-1), key), F.lit(shards))
 
 
-def _in(filter_row: DataFrame, key: Column, level: int, size: int) -> Column:
-    bits, found = filter_row.scalar(), F.lit(True)
-    for b in _bits(key, level, size):
-        found &= F.getbit(F.element_at(bits, (F.shiftright(b, 6) + 1).cast("int")), (b % 64).cast("int")) == 1
+def _filters(keys: DataFrame, level: int, size: int, shards: int) -> DataFrame:
+    """shard, bits (an array of longs), one row a shard. Bits are set by pre-aggregated bit_or; gaps are filled
+    from a range, and words put in order by stretches, then the stretches."""
+    words = (size - 1) // 64 + 1
+    bit = keys.select(_shard(F.col("key"), shards).alias("shard"), F.explode(F.array(*_bits(F.col("key"), level, size))).alias("bit"))
+    held = bit.select("shard", F.expr("bit div 64").alias("w"), F.expr("shiftleft(1L, int(bit % 64))").alias("v"))
+    gaps = keys.sparkSession.range(words * shards).select(F.expr(f"id div {words}").alias("shard"), F.expr(f"id % {words}").alias("w"), F.lit(0).cast("long").alias("v"))
+    held = held.unionByName(gaps).groupBy("shard", "w").agg(F.bit_or("v").alias("v"))
+    parts = held.groupBy("shard", F.expr(f"w div {STRETCH}").alias("s")).agg(F.array_sort(F.collect_list(F.struct("w", "v"))).getField("v").alias("part"))
+    return staged(parts.groupBy("shard").agg(F.flatten(F.array_sort(F.collect_list(F.struct("s", "part"))).getField("part")).alias("bits")))
+
+
+def _in(filters: DataFrame, key: Column, level: int, size: int, shards: int) -> Column:
+    found = F.lit(False)
+    for k in range(shards):
+        bits, here = filters.filter(F.col("shard") == k).select("bits").scalar(), F.lit(True)
+        for b in _bits(key, level, size):
+            here &= F.getbit(F.element_at(bits, (F.shiftright(b, 6) + 1).cast("int")), (b % 64).cast("int")) == 1
+        found = here if shards == 1 else F.when(_shard(key, shards) == k, here).otherwise(found)
     return found
 
 
@@ -63,36 +76,37 @@ class Cascade:
     level 3 the listed keys that pass level 2; and so on until no key passes wrongly. A key is listed if
     the first level that it fails is an even one (or the last level that it passes is an odd one). Keys
     outside the universe get no promise. Nulls are left out of both tables, repeats are counted once,
-    and an empty list gives a cascade without levels, which contains nothing. Each level is a row with
-    an array of at most MAX_BITS bits that comes to the tasks as a scalar subquery's value.
+    and an empty list gives a cascade without levels, which contains nothing. A level has its keys dealt
+    by hash to arrays of at most max_bits bits, which come to the tasks as scalar subqueries' values. A
+    level of more than max_shards arrays would be too much to send to every task: then mark() joins.
     """
 
-    def __init__(self, listed: DataFrame, universe: DataFrame, max_bits: int = MAX_BITS):
+    def __init__(self, listed: DataFrame, universe: DataFrame, max_bits: int = MAX_BITS, max_shards: int = MAX_SHARDS):
         name = lambda df: df.select(F.col(df.columns[0]).alias("key")).filter("key is not null").distinct()
         self.listed, self.levels = staged(name(listed)), []
         here, other = self.listed, staged(name(universe).join(self.listed, "key", "left_anti"))
         while count := here.count():
-            size = max(64, -(-count * BITS_PER_KEY // 64) * 64)
-            if size > max_bits:
+            shards = -(-count * BITS_PER_KEY // max_bits)
+            if shards > max_shards:
                 self.levels = None
                 return
-            level = len(self.levels)
-            self.levels.append((_filter(here, level, size), size))
-            wrong = staged(other.filter(_in(self.levels[-1][0], F.col("key"), level, size)))
+            level, size = len(self.levels), max(64, -(-count * BITS_PER_KEY // shards // 64) * 64)
+            self.levels.append((_filters(here, level, size, shards), size, shards))
+            wrong = staged(other.filter(_in(self.levels[-1][0], F.col("key"), level, size, shards)))
             here, other = wrong, here
 
     def contains(self, key: Column) -> Column:
         found = F.lit(len(self.levels) % 2 == 1)  # passed all levels
         for level in reversed(range(len(self.levels))):
-            bits, size = self.levels[level]
-            found = F.when(_in(bits, key, level, size), found).otherwise(level % 2 == 1)
+            filters, size, shards = self.levels[level]
+            found = F.when(_in(filters, key, level, size, shards), found).otherwise(level % 2 == 1)
         return F.coalesce(found, F.lit(False))
 
     def mark(self, df: DataFrame, key: str, out: str) -> DataFrame:
         """df with a boolean column that says whether its key is listed."""
         if self.levels is not None:
             return df.withColumn(out, self.contains(F.col(key)))
-        listed = self.listed.select(F.col("key").alias("_listed"))  # beyond MAX_BITS: a shuffled join
+        listed = self.listed.select(F.col("key").alias("_listed"))  # beyond max_shards: a shuffled join
         return df.join(listed, F.col(key) == F.col("_listed"), "left").withColumn(out, F.col("_listed").isNotNull()).drop("_listed")
 
 
