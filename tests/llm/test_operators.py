@@ -201,6 +201,21 @@ def test_exact_dedup_of_clashing_hashes(docs, tables):
     assert_same(exact_dedup.exact_dedup(docs, hash_bytes=1), tables, exact_dedup.SQL["op6_exact_dedup"])
 
 
+def test_exact_dedup_of_null_and_repeated_ids(spark):
+    rows = [(7, "Same"), (7, "same"), (3, "same"), (None, "SAME"), (None, "alone"), (None, "two"), (None, "two"), (1, None), (2, "")]
+    for hash_bytes in (16, 0):
+        got = exact_dedup.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"), hash_bytes=hash_bytes).collect()
+        by_text = {}
+        for r in got:
+            by_text.setdefault(r["text_sha256"], []).append((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]))
+        sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+        same = by_text[sha("same")]
+        assert {x[:3] for x in same} == {(7, 7, 4), (3, 7, 4), (None, 7, 4)} and [x[0] for x in same if x[3]] == [7]
+        assert by_text[sha("alone")] == [(None, None, 1, True)]
+        assert sorted(by_text[sha("two")], key=str) == [(None, None, 2, False), (None, None, 2, True)]
+        assert sorted(by_text[sha("")]) == [(1, 2, 2, False), (2, 2, 2, True)]
+
+
 def test_exact_dedup_can_keep_the_least(docs):
     kept = {r["text_sha256"]: r["doc_id"] for r in exact_dedup.exact_dedup(docs, "min").filter("kept").collect()}
     first = {}
@@ -257,6 +272,24 @@ def test_lm_is_a_distribution():
     assert np.allclose(p.sum(1), 1)
 
 
+def test_own_quartiles_set_the_fences(spark):
+    """A large group of texts with symbols keeps them, and a large group without rejects the like; both have the language in common."""
+    text = lambda i, k: " ".join(f"w{i}x{j}" for j in range(60)) + " &" * k
+    rows = [(i, text(i, i % 6), "en", "shop") for i in range(600)] + [(1000 + i, text(i, 0), "en", "news") for i in range(600)] + [(5000, text(9, 5), "en", "news"), (5001, text(9, 5), "en", "shop")]
+    got = {r["doc_id"]: r["kept"] for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(v for k, v in got.items() if k != 5000) and not got[5000]
+
+
+def test_even_stretches_at_small_fractions(spark):
+    """At a fraction of 0.0001 no stretch of the order holds more than a few times its share."""
+    u = spark.range(200_000).select(((F.conv(F.substring(F.md5(F.concat(F.lit("mix|"), "id")), 1, 13), 16, 10).cast("long") + 0.5) / float(1 << 52)).alias("u"))
+    most = u.groupBy(F.floor(F.col("u") * mixing.STRETCHES)).count().agg(F.max("count")).first()[0]
+    assert most < 60
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("one word or more").alias("text"), F.when(F.col("id") < 3, "b").otherwise("a").alias("source"))
+    out = mixing.pareto_mix(rows, weights=(1, 20_000)).groupBy("source_size").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    assert all(abs(r["taken"] - r["target"]) <= 2 for r in out)
+
+
 def test_mix_meets_targets(docs):
     rows = docs.select("doc_id", "source").join(mixing.pareto_mix(docs), "doc_id").collect()
     assert all(r["copies"] <= 3 and r["taken"] == r["copies"] * r["size"] for r in rows)
@@ -276,19 +309,27 @@ def test_url_filters(spark):
     assert url_filters.url_filter(pages.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("max_bits", [1 << 20, 64])
-def test_cascade_is_exact(spark, max_bits, monkeypatch):
+@pytest.mark.parametrize("max_bits, shards", [(1 << 20, 8), (256, 8), (64, 1)])
+def test_cascade_is_exact(spark, max_bits, shards, monkeypatch):
     monkeypatch.setattr(url_filters, "BITS_PER_KEY", 2)  # many false positives, so several levels
     keys = spark.range(2000).select(F.concat(F.lit("k"), "id").alias("key"))
     listed = keys.filter(F.col("key").endswith("7"))
-    cascade = url_filters.Cascade(listed, keys, max_bits)
-    assert cascade.levels is None if max_bits == 64 else len(cascade.levels) > 2
+    cascade = url_filters.Cascade(listed, keys, max_bits, shards)
+    assert cascade.levels is None if shards == 1 else len(cascade.levels) > 2
+    assert shards == 1 or (cascade.levels[0][2] == 1) == (max_bits > 256)
     wrong = cascade.mark(keys, "key", "hit").filter(F.col("hit") != F.col("key").endswith("7"))
     assert wrong.count() == 0
     empty = url_filters.Cascade(listed.limit(0), keys)
     assert empty.mark(keys, "key", "hit").filter("hit").count() == 0
 
 
+def test_cascade_of_many_keys(spark):
+    keys = spark.range(400_000).select(F.concat(F.lit("host"), "id").alias("key"))
+    listed = keys.filter("key like '%1' or key like '%4' or key like '%5' or key like '%8' or key like '%9'")
+    out = url_filters.Cascade(listed, keys).mark(keys, "key", "hit")
+    assert out.filter("hit").count() == out.filter("hit and key rlike '[14589]$'").count() == 200_000
+
+
 def test_quality_keeps_clean_documents(spark):
     if not os.path.isdir(SF):
         pytest.skip("no tables")

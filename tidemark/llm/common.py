@@ -28,8 +28,13 @@ MIX_B = np.uint64(0xBF58476D1CE4E5B9)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder in the place all executors share (spark.checkpoint.dir); /tmp/checkpoints only if that is unset."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints'}/{uuid.uuid4().hex}"
+    """A new folder in the place all executors share, spark.checkpoint.dir. On a cluster that has to be set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = "/tmp/checkpoints"  # one machine, as in tests
+    return f"{shared}/{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame) -> DataFrame:

@@ -139,7 +139,7 @@ def exchange(chunks: DataFrame, buckets: int, ask: Callable, answer: Callable, k
     of the key. told_of() unpacks these in the order in which the chunk asked.
     """
     rows = chunks.mapInArrow(_asked(ask, buckets), "chunk long, bucket long, asked binary, values array<binary>")
-    rows = rows.repartition("bucket").sortWithinPartitions("bucket", "chunk")
+    rows = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk")
     rows = rows.mapInArrow(_answered(answer, kinds, pairs), "chunk long, bucket long, told binary")
     return staged(rows.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "told")).alias("told")))
 
@@ -149,8 +149,10 @@ def told_of(told: list | None, kind: type) -> np.ndarray:
     return np.concatenate([np.zeros(0, kind), *(unpacked(b, kind) for _, b in parts)])
 
 
-def beside_chunks(chunks: DataFrame, **told: DataFrame) -> DataFrame:
-    """chunks with what exchanges told them, under the given names; null for chunks that asked nothing."""
+def beside_chunks(chunks: DataFrame, parts: int, **told: DataFrame) -> DataFrame:
+    """chunks, dealt to `parts` partitions, with what exchanges told them, under the given names; null for chunks that asked nothing."""
+    if told:
+        chunks = chunks.repartition(parts, "chunk")
     for name, answers in told.items():
         chunks = chunks.join(answers.withColumnRenamed("told", name).hint("merge"), "chunk", "left")
     return chunks

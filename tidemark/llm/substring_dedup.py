@@ -167,8 +167,8 @@ def substring_dedup(documents: DataFrame, window: int = WINDOW) -> DataFrame:
         ("repeats", _Chunk.doubled, _repeats, (np.uint64, np.int64, np.int64, np.uint64, np.uint64)),
         ("least", _Chunk.whole, _least, (np.uint64, np.int64)),
     ):
-        told[name] = exchange(beside_chunks(chunks, **told), buckets, _asks(level, window), answer, kinds, pairs=name != "in_two")
-    return beside_chunks(chunks, **told).mapInArrow(_cut(window), "doc_id long, n_words long, n_removed long, kept_text string")
+        told[name] = exchange(beside_chunks(chunks, buckets, **told), buckets, _asks(level, window), answer, kinds, pairs=name != "in_two")
+    return beside_chunks(chunks, buckets, **told).mapInArrow(_cut(window), "doc_id long, n_words long, n_removed long, kept_text string")
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
