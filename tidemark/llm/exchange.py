@@ -38,7 +38,7 @@ def unpacked(data: bytes, kind: type) -> np.ndarray:
 
 def grouped(key: np.ndarray, also: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """An order that sorts key (and `also` where keys are equal), where in it each different key starts, and the number of each item's key."""
-    order = np.argsort(key, kind="stable") if also is None else np.lexsort((also, key))
+    order = np.argsort(key) if also is None else np.lexsort((also, key))
     new = np.ones(len(key), bool)
     new[1:] = key[order][1:] != key[order][:-1]
     if also is not None:
@@ -102,18 +102,20 @@ def _asked(ask: Callable, buckets: int):
     return run
 
 
-def _answered(answer: Callable, kinds: tuple, pairs: bool):
+def _answered(answer: Callable, kinds: tuple, pairs: bool, summary: Callable | None):
     def told(bucket: int, rows: list[dict]) -> pa.RecordBatch:
         keys = [np.cumsum(unpacked(r["asked"], np.uint64)) for r in rows]
         values = [np.concatenate([unpacked(r["values"][k], kind) for r in rows]) for k, kind in enumerate(kinds)]
         every = np.concatenate(keys)
         order, start, number = grouped(every, values[0] if pairs else None)
-        out = answer(every[order[start]], start, *(v[order] for v in values))[number]
-        ends = np.cumsum([0, *map(len, keys)])
-        return pa.record_batch(
-            [pa.array([r["chunk"] for r in rows], pa.int64()), pa.array([bucket] * len(rows), pa.int64()), pa.array([packed(out[a:z]) for a, z in zip(ends[:-1], ends[1:], strict=True)], pa.binary())],
-            ["chunk", "bucket", "told"],
-        )
+        values = [v[order] for v in values]
+        result = answer(every[order[start]], start, *values)
+        out, ends, to = result[number], np.cumsum([0, *map(len, keys)]), [r["chunk"] for r in rows]
+        parts = [packed(out[a:z]) for a, z in zip(ends[:-1], ends[1:], strict=True)]
+        if summary:
+            to.append(-1 - bucket)
+            parts.append(packed(summary(result, start, *values)))
+        return pa.record_batch([pa.array(to, pa.int64()), pa.array([bucket] * len(to), pa.int64()), pa.array(parts, pa.binary())], ["chunk", "bucket", "told"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, rows = None, []
@@ -130,17 +132,18 @@ def _answered(answer: Callable, kinds: tuple, pairs: bool):
     return run
 
 
-def exchange(chunks: DataFrame, buckets: int, ask: Callable, answer: Callable, kinds: tuple = (), pairs: bool = False) -> DataFrame:
+def exchange(chunks: DataFrame, buckets: int, ask: Callable, answer: Callable, kinds: tuple = (), pairs: bool = False, summary: Callable | None = None) -> DataFrame:
     """chunk, told: what every chunk with keys is told about them; staged.
 
     ask(row of chunks) returns ascending 64-bit keys and arrays of values, of the types `kinds`, for them.
     answer(keys, start, values...) gets a bucket's different keys, where each starts, and the values in the
     order of the keys, and returns a number for each different key; with `pairs` the first values are part
-    of the key. told_of() unpacks these in the order in which the chunk asked.
+    of the key. summary(numbers, start, values...) may return an array for each bucket, which comes as a row
+    with a negative chunk. told_of() unpacks what a chunk was told in the order in which it asked.
     """
     rows = chunks.mapInArrow(_asked(ask, buckets), "chunk long, bucket long, asked binary, values array<binary>")
     rows = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk")
-    rows = rows.mapInArrow(_answered(answer, kinds, pairs), "chunk long, bucket long, told binary")
+    rows = rows.mapInArrow(_answered(answer, kinds, pairs, summary), "chunk long, bucket long, told binary")
     return staged(rows.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "told")).alias("told")))
 
 

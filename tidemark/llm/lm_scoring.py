@@ -12,29 +12,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, staged, table
+from tidemark.llm.common import joined, slices, split_words, staged, table
+from tidemark.llm.exchange import CHUNK_BYTES, beside_chunks, bucket_count, exchange, fold, grouped, packed, told_of, unpacked
 
-#: Words of a chunk of documents, about, whose different words are counted and looked up together.
-CHUNK_WORDS = 3_000_000
-#: Word classes (0: the end of a text) and rows of the weight matrix that features are hashed to.
+#: Word classes (0: the end of a text) and rows of the weight matrix that class features are hashed to.
 CLASSES, ROWS = 32, 4096
 #: Gradient updates, their step (Adam), the weights' prior in counts, and the parts the counts are dealt to.
 UPDATES, STEP, PRIOR, PARTS = 24, 0.1, 2.0, 16
-END = b""
-
-
-class Vocabulary(dict):
-    """Word -> number in order of appearance."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
+#: Updates of the strengths of word features, which each at most double or halve STRIDE times.
+STRENGTH_UPDATES, STRIDE = 20, 3
+#: Places of the space that word features are hashed to, for each training token: one feature in SPARSE shares its place.
+SPARSE = 64
+#: Hashes of what stands before a text, and of its end.
+START, END = (np.uint64(xxhash.xxh3_64_intdigest(v)) for v in (b" start", b" end"))
 
 
 def word_class(word: bytes) -> int:
-    """Class of a word: 0 for the end, else a hash of the whole word if it is short or of its last letters."""
-    if word == END:
-        return 0
+    """Class of a word, 1 to CLASSES - 1 (0 is the end): a hash of the whole word if it is short or of its last letters."""
     core = word.rstrip(b".,!?;:")
     sign = (core if len(core) <= 3 else b"+" + core[-2:]) + (b"." if len(core) < len(word) else b"")
     return 1 + xxhash.xxh32_intdigest(sign) % (CLASSES - 1)
@@ -46,68 +40,104 @@ def is_held_out(doc_id: int | None) -> bool:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    task, number = TaskContext.get().partitionId(), 0
-    ids, parts, held, vocabulary = [], [], 0, Vocabulary()
-
-    def packed() -> pa.RecordBatch:
-        tokens, n = np.concatenate(parts), np.array([len(p) for p in parts], np.int32)
-        out = np.array([is_held_out(i) for i in ids])
-        train = np.bincount(tokens[~np.repeat(out, n)], minlength=len(vocabulary))
-        words = list(vocabulary)
-        columns = {
-            "hashes": np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).tobytes(),
-            "classes": bytes(map(word_class, words)),
-            "train": train.astype(np.uint32).tobytes(),
-            "lengths": n.tobytes(),
-            "tokens": tokens.tobytes(),
-        }
-        return pa.record_batch([pa.array([task << 24 | number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), *(pa.array([v], pa.binary()) for v in columns.values())], ["chunk", "doc_ids", *columns])
-
-    for batch, texts in slices(batches):
-        for i, t in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
-            words = t.lower().split()
-            words.append(END)
-            ids.append(i)
-            parts.append(np.fromiter(map(vocabulary.__getitem__, words), np.uint32, len(words)))
-            held += len(words)
-            if held >= CHUNK_WORDS:
-                yield packed()
-                ids, parts, held, vocabulary, number = [], [], 0, Vocabulary(), number + 1
+    """Different words of about CHUNK_BYTES of text, the end last, as hashes and classes, and the texts' tokens as numbers in them."""
+    task, number, ids, texts, held = TaskContext.get().partitionId(), 0, [], [], 0
+
+    def chunk() -> pa.RecordBatch:
+        tokens, words, n = split_words(texts, lower=True)
+        tokens = np.insert(tokens, np.cumsum(n), len(words))
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        columns = (packed(np.r_[hashes, END]), bytes([*map(word_class, words), 0]), (n + 1).astype(np.int32).tobytes(), packed(tokens.astype(np.uint32)))
+        return pa.record_batch([pa.array([task << 24 | number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), *(pa.array([c], pa.binary()) for c in columns)], ["chunk", "doc_ids", "hashes", "classes", "lengths", "tokens"])
+
+    for batch, some in slices(batches):
+        ids += batch.column("doc_id").to_pylist()
+        texts += some
+        held += sum(map(len, some))
+        if held >= CHUNK_BYTES:
+            yield chunk()
+            ids, texts, held, number = [], [], 0, number + 1
     if ids:
-        yield packed()
-
-
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield chunk()
+
+
+class _Chunk:
+    """The tokens of a chunk and what comes before each."""
+
+    def __init__(self, row: dict):
+        self.hashes, self.classes = unpacked(row["hashes"], np.uint64), np.frombuffer(row["classes"], np.uint8)
+        self.tokens, self.n = unpacked(row["tokens"], np.uint32), np.frombuffer(row["lengths"], np.int32).astype(np.int64)
+        self.out = np.array([is_held_out(i) for i in row["doc_ids"]], bool)
+        self.owner = np.repeat(np.arange(len(self.n)), self.n)
+        self.train = ~self.out[self.owner]
+        self.c = self.classes[self.tokens].astype(np.int64)
+
+    def before(self, values: np.ndarray, back: int, start: int) -> np.ndarray:
+        """values of the token `back` places before each in its text, `start` where there is none."""
+        out = np.full(len(values), start, values.dtype)
+        same = self.owner[back:] == self.owner[:-back]
+        out[back:][same] = values[:-back][same]
+        return out
+
+    def words(self) -> tuple[np.ndarray, ...]:
+        """The different words' hashes, with their training counts and classes."""
+        order = np.argsort(self.hashes)
+        count = np.bincount(self.tokens[self.train], minlength=len(self.hashes))
+        return self.hashes[order], count[order], self.classes[order]
+
+    def word_counts(self, told: list) -> np.ndarray:
+        """Training count, over all chunks, of each of the chunk's words."""
+        out = np.empty(len(self.hashes), np.int64)
+        out[np.argsort(self.hashes)] = told_of(told, np.int64)
+        return out
+
+    def context(self) -> np.ndarray:
+        """The three classes before each token, as a number."""
+        return sum(self.before(self.c, back, 0) * CLASSES ** (back - 1) for back in (1, 2, 3))
+
+    def features(self, mask: np.uint64) -> tuple[np.ndarray, ...]:
+        """The different word features, hashed: of each token the word before it and the one before that (a skip),
+        each with the token's word and with its class. With their counts in training tokens."""
+        h = self.hashes[self.tokens]
+        key = []
+        for back in (1, 2):
+            word = self.before(h, back, START)
+            key += [joined(word, h ^ np.uint64(back)), joined(word, self.c.astype(np.uint64) * np.uint64(8) + np.uint64(back + 2))]
+        key = np.concatenate(key) & mask
+        order, start, self.number = grouped(key)
+        count = np.bincount(self.number[np.tile(self.train, 4)], minlength=len(start))
+        return key[order[start]], count
+
+    def feature_counts(self, told: list, mask: np.uint64) -> np.ndarray:
+        """Counts over all chunks of each token's four features: word, class after the word before; word, class after the skip."""
+        self.features(mask)
+        return told_of(told, np.int64)[self.number].reshape(4, -1)
+
+
+def _sum(keys: np.ndarray, start: np.ndarray, count: np.ndarray, *_: np.ndarray) -> np.ndarray:
+    return fold(np.add, count, start)
+
+
+def _by_class(total: np.ndarray, start: np.ndarray, count: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Different training words of each class, then training tokens."""
+    c = classes[start]
+    return np.r_[np.bincount(c[total > 0], minlength=CLASSES), np.bincount(c, total, CLASSES).astype(np.int64)]
+
+
+def _class_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(2 * CLASSES, np.int64)
     for batch in batches:
-        for chunk, h, c, n in zip(*(batch.column(k).to_pylist() for k in ("chunk", "hashes", "classes", "train")), strict=True):
-            h, c, n = np.frombuffer(h, np.int64), np.frombuffer(c, np.int8), np.frombuffer(n, np.uint32).astype(np.int64)
-            for a in range(0, len(h), 1 << 16):
-                s = slice(a, a + (1 << 16))
-                k = len(h[s])
-                yield pa.record_batch([pa.array(h[s]), pa.array(c[s]), pa.array(n[s]), pa.array(np.full(k, chunk)), pa.array(np.arange(a, a + k, dtype=np.int32))], ["hash", "class", "n", "chunk", "at"])
-
-
-def _contexts(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each token of a chunk: its context (the three classes before it, 0 before the start), class and document."""
-    tokens, n = np.frombuffer(row["tokens"], np.uint32), np.frombuffer(row["lengths"], np.int32)
-    c = np.frombuffer(row["classes"], np.uint8)[tokens].astype(np.int64)
-    owner = np.repeat(np.arange(len(n)), n)
-    context = np.zeros(len(c), np.int64)
-    for back in (1, 2, 3):
-        before = np.zeros(len(c), np.int64)
-        before[back:] = np.where(owner[back:] == owner[:-back], c[:-back], 0)
-        context += before * CLASSES ** (back - 1)
-    return context, c, owner
+        for told in batch.column("told").to_pylist():
+            total += told_of(told, np.int64)
+    yield pa.record_batch([pa.array(np.arange(2 * CLASSES)), pa.array(total)], ["at", "n"])
 
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(CLASSES**4, np.int64)
     for batch in batches:
-        for row in batch.to_pylist():
-            context, c, owner = _contexts(row)
-            train = ~np.array([is_held_out(i) for i in row["doc_ids"]])
-            use = train[owner]
-            total += np.bincount(context[use] * CLASSES + c[use], minlength=CLASSES**4)
+        for i in range(batch.num_rows):
+            chunk = _Chunk(batch.slice(i, 1).to_pylist()[0])
+            total += np.bincount((chunk.context() * CLASSES + chunk.c)[chunk.train], minlength=CLASSES**4)
     seen = np.flatnonzero(total)
     yield pa.record_batch([pa.array((seen // CLASSES).astype(np.int32)), pa.array((seen % CLASSES).astype(np.int32)), pa.array(total[seen])], ["context", "class", "n"])
 
@@ -165,69 +195,165 @@ def train(counts: DataFrame, updates: int = UPDATES) -> tuple[np.ndarray, np.nda
     return weights, bias, fits
 
 
-def _scored(log_class: np.ndarray, class_words: np.ndarray, class_tokens: np.ndarray):
+class Strengths:
+    """Strengths of the word features: of the word before on the class, of the word before and of the skip on the word.
+
+    P(class) = (m + s0 * n(before, class)) / (1 + s0 * n(before)), m being the class softmax;
+    P(word in its class) = (q + s1 * n(before, word) + s2 * n(skip, word)) / (1 + s1 * n(before, class) + s2 * n(skip, class)),
+    q being the word's smoothed share of its class. Both are softmaxes whose feature weights are the logarithms
+    of the numerators' ratios to m and q, so features that training never saw weigh nothing, and sum to one.
+    """
+
+    @staticmethod
+    def classes(s: np.ndarray, m: np.ndarray, n: np.ndarray, before: np.ndarray) -> np.ndarray:
+        return (m + s[0] * n) / (1 + s[0] * before)
+
+    @staticmethod
+    def words(s: np.ndarray, q: np.ndarray, n: np.ndarray, of_class: np.ndarray, skip: np.ndarray, skip_class: np.ndarray) -> np.ndarray:
+        return (q + s[1] * n + s[2] * skip) / (1 + s[1] * of_class + s[2] * skip_class)
+
+
+def _level(n: np.ndarray) -> np.ndarray:
+    """Level of a count: itself below 4, then by powers of two."""
+    return np.where(n < 4, n, 2 + np.floor(np.log2(np.maximum(n, 1))).astype(np.int64))
+
+
+def _count_of(level: np.ndarray) -> np.ndarray:
+    return np.where(level < 4, level, 1.44 * np.exp2(level - 2.0))
+
+
+def _parts(p: np.ndarray) -> np.ndarray:
+    """Level of a probability: quarters of a power of two."""
+    return np.clip(np.floor(-4 * np.log2(np.maximum(p, 1e-19))), 0, 255).astype(np.int64)
+
+
+def _informed(row: dict, mask: np.uint64, log_class: np.ndarray, class_words: np.ndarray, class_tokens: np.ndarray):
+    """The chunk, its words' counts, and for each token m, the count of the word before, q, and its features' counts."""
+    chunk = _Chunk(row)
+    known = chunk.word_counts(row["counts"])
+    inside = np.where(chunk.classes == 0, 1.0, (known + 0.1) / (class_tokens[chunk.classes] + 0.1 * (class_words[chunk.classes] + 1)))
+    counts = chunk.feature_counts(row["features"], mask)
+    before = chunk.before(known[chunk.tokens], 1, int(known[-1]))  # as many starts as ends
+    return chunk, known, np.exp2(log_class[chunk.context(), chunk.c].astype(np.float64)), before, inside[chunk.tokens], counts
+
+
+def _cells(*model):
+    """Counts of training tokens by the levels of what their probability is made of, each token's own count left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                chunk, _, m, before, q, counts = _informed(batch.slice(i, 1).to_pylist()[0], *model)
+                use = chunk.train
+                n, of_class, skip, skip_class = (_level(np.maximum(c[use] - 1, 0)) for c in counts)
+                of_classes = (_parts(m[use]) << 12) | (of_class << 6) | _level(np.maximum(before[use] - 1, 0))
+                use = use & (chunk.c > 0)
+                of_words = chunk.c[chunk.train] > 0
+                of_words = (1 << 40) | (_parts(q[use]) << 24) | (n[of_words] << 18) | (of_class[of_words] << 12) | (skip[of_words] << 6) | skip_class[of_words]
+                cell, count = np.unique(np.r_[of_classes, of_words], return_counts=True)
+                yield pa.record_batch([pa.array(cell), pa.array(count)], ["cell", "n"])
+
+    return run
+
+
+def _fit(s: np.ndarray):
+    """Of each strength, how much of the probability its features make up, and how much of the normaliser."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up, down = np.zeros(3), np.zeros(3)
+        for batch in batches:
+            cell, n = batch.column("cell").to_numpy(), batch.column("n").to_numpy()
+            level = lambda shift: _count_of((cell >> shift) & 63)  # noqa: E731, B023
+            words = cell >> 40 == 1
+            share = np.exp2(-((cell >> np.where(words, 24, 12) & 255) + 0.5) / 4)
+            class_n, class_before = level(6), level(0)
+            up[0] += (n * s[0] * class_n / (share + s[0] * class_n))[~words].sum()
+            down[0] += (n * s[0] * class_before / (1 + s[0] * class_before))[~words].sum()
+            a, b = s[1] * level(18), s[2] * level(6)
+            c, d = s[1] * level(12), s[2] * level(0)
+            for k, x, y in ((1, a, c), (2, b, d)):
+                up[k] += (n * x / (share + a + b))[words].sum()
+                down[k] += (n * y / (1 + c + d))[words].sum()
+        yield pa.record_batch([pa.array(np.arange(3)), pa.array(up), pa.array(down)], ["k", "up", "down"])
+
+    return run
+
+
+def strengths(cells: DataFrame, updates: int = STRENGTH_UPDATES) -> np.ndarray:
+    """Strengths fitted to counted cells (cell, n): the gradient of the log-likelihood by a strength's logarithm is up - down,
+    and each update adds log(up / down), which has the gradient's sign. The cells are bounded in number, whatever the input."""
+    cells = staged(cells.repartition(PARTS, "cell"))
+    s = np.full(3, 0.01)
+    for _ in range(updates):
+        sums = cells.mapInArrow(_fit(s), "k long, up double, down double").groupBy("k").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+        for r in sums.collect():
+            if r["down"] > 0:
+                s[r["k"]] *= np.clip(r["up"] / r["down"], 0.5**STRIDE, 2.0**STRIDE)
+    return np.maximum(s, 1e-12)
+
+
+def _scored(s: np.ndarray, *model):
+    mask, log_class, class_words, class_tokens = model
     words, tokens = int(class_words.sum()), int(class_tokens.sum())
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        for row in left.to_pylist():
-            vocabulary = len(row["classes"])
-            known = np.zeros(vocabulary, np.int64)
-            known[right.column("at").to_numpy()] = right.column("c").to_numpy()
-            c = np.frombuffer(row["classes"], np.uint8)
-            base = np.log10((known + 0.1) / (tokens + 0.1 * (words + 1)))
-            inside = np.where(c == 0, 0.0, np.log10((known + 0.1) / (class_tokens[c] + 0.1 * (class_words[c] + 1))))
-            at = np.frombuffer(row["tokens"], np.uint32)
-            context, k, owner = _contexts(row)
-            add = lambda v: np.bincount(owner, v, minlength=len(row["doc_ids"]))  # noqa: E731, B023
-            n = np.frombuffer(row["lengths"], np.int32).astype(np.int64)
-            out.append(
-                pa.table(
-                    {
-                        "doc_id": pa.array(row["doc_ids"], pa.int64()),
-                        "held_out": [is_held_out(i) for i in row["doc_ids"]],
-                        "n_tokens": n,
-                        "n_known": add(known[at] > 0).astype(np.int64),
-                        "train_tokens": np.full(len(n), tokens),
-                        "base_score": add(base[at]),
-                        "score": add(inside[at] + log_class[context, k]),
-                    }
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                chunk, known, m, before, q, (n, of_class, skip, skip_class) = _informed(row, *model)
+                base = np.log10((known + 0.1) / (tokens + 0.1 * (words + 1)))[chunk.tokens]
+                word = np.where(chunk.c == 0, 1.0, Strengths.words(s, q, n, of_class, skip, skip_class))
+                score = np.log10(Strengths.classes(s, m, of_class, before)) + np.log10(word)
+                add = lambda v: np.bincount(chunk.owner, v, minlength=len(chunk.n))  # noqa: E731, B023
+                k = len(chunk.n)
+                yield pa.record_batch(
+                    [pa.array(row["doc_ids"], pa.int64()), pa.array(chunk.out), pa.array(chunk.n), pa.array(add(known[chunk.tokens] > 0).astype(np.int64)), pa.array(np.full(k, tokens)), pa.array(add(base)), pa.array(add(score))],
+                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
-            )
-        kinds = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
-        return pa.concat_tables(out) if out else kinds.empty_table()
 
     return run
 
 
+def feature_mask(tokens: int) -> np.uint64:
+    """High bits of a 64-bit hash that tell word features apart: whole bytes, SPARSE places or more for each training token."""
+    bits = min(64, -(-max(tokens * SPARSE, 1).bit_length() // 8) * 8)
+    return np.uint64(((1 << bits) - 1) << (64 - bits))
+
+
 def lm_score(documents: DataFrame, updates: int = UPDATES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of `documents`.
 
     Tokens are the words, A-Z lower-cased, and one end, which is all that a null or empty text has. The
     model learns from the documents that are not held out: score is the log10 probability of the text as
-    P(class of a token | features of the three classes before it) * P(token | its class). The class
-    softmax is a maximum-entropy model over hashed n-gram and skip features; within a class a token has
-    its own smoothed frequency, and one unknown token the rest. Repeated rows are learnt from and scored
-    each. Without training documents classes are equally likely. An empty table gives no rows; columns
-    other than doc_id and text are not read.
-
-    Documents are packed in chunks that hold their words as numbers, so that counting and looking up
-    shuffle each different word of a chunk once. Words are told apart by 64-bit hashes.
+    P(class of a token | what is before) * P(token | its class, what is before). The class softmax is a
+    maximum-entropy model over hashed n-gram and skip features of the three classes before, trained by
+    gradients that Spark adds up. Word features go into both factors (Strengths): the word before with the
+    class, the word before with the word, and, skipping one, the word before that with the word. Their
+    counts are gathered from all training tokens, hashed to a space that grows with these, and their three
+    strengths are trained on counts that leave each token itself out. Repeated rows are learnt from and
+    scored each. Without training documents classes are equally likely. An empty table gives no rows;
+    columns other than doc_id and text are not read.
+
+    Documents are packed in chunks that hold their words as numbers; a chunk asks for the counts of each
+    of its different words and features once. Words are told apart by 64-bit hashes.
     """
-    kinds = "chunk long, doc_ids array<long>, hashes binary, classes binary, train binary, lengths binary, tokens binary"
-    chunks = staged(documents.select("doc_id", "text").mapInArrow(_chunks, kinds))
-    words = chunks.select("chunk", "hashes", "classes", "train").mapInArrow(_words, "hash long, class byte, n long, chunk long, at int")
-    known = staged(words.filter("n > 0").groupBy("hash", "class").agg(F.sum("n").alias("c")))
-    class_words, class_tokens = np.zeros(CLASSES), np.zeros(CLASSES)
-    for r in known.groupBy("class").agg(F.count("*").alias("w"), F.sum("c").alias("t")).collect():
-        class_words[r["class"]], class_tokens[r["class"]] = r["w"], r["t"]
-    counts = chunks.select("doc_ids", "classes", "lengths", "tokens").mapInArrow(_class_counts, "context int, class int, n long")
+    chunks = staged(documents.select("doc_id", "text").mapInArrow(_chunks, "chunk long, doc_ids array<long>, hashes binary, classes binary, lengths binary, tokens binary"))
+    parts = bucket_count(chunks)
+    told = exchange(chunks, parts, lambda row: _Chunk(row).words(), _sum, (np.int64, np.uint8), summary=_by_class)
+    totals = np.zeros(2 * CLASSES)
+    for r in told.filter("chunk < 0").mapInArrow(_class_totals, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        totals[r["at"]] = r["n"]
+    class_words, class_tokens = totals[:CLASSES], totals[CLASSES:]
+    counts = chunks.mapInArrow(_class_counts, "context int, class int, n long")
     weights, bias, _ = train(counts.groupBy("context", "class").agg(F.sum("n").alias("n")), updates)
-    log_class = (log_softmax(weights, bias, np.arange(CLASSES**3)) / np.log(10)).astype(np.float32)
-    found = words.select("hash", "chunk", "at").join(known.select("hash", "c"), "hash").select("chunk", "at", "c")
+    log_class = (log_softmax(weights, bias, np.arange(CLASSES**3)) / np.log(2)).astype(np.float32)
+    mask = feature_mask(int(class_tokens.sum()))
+    features = exchange(chunks, parts, lambda row: _Chunk(row).features(mask), _sum, (np.int64,))
+    informed = staged(beside_chunks(chunks, parts, counts=told, features=features))
+    model = mask, log_class, class_words, class_tokens
+    s = strengths(informed.mapInArrow(_cells(*model), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")))
     kinds = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    packed = chunks.select("chunk", "doc_ids", "classes", "lengths", "tokens")
-    return packed.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_scored(log_class, class_words, class_tokens), kinds)
+    return informed.mapInArrow(_scored(s, *model), kinds)
 
 
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
