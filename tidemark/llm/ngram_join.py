@@ -7,9 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WordHashes, beside, slices, staged, table, windows
@@ -22,8 +23,8 @@ CHUNK_BYTES, CHUNKS_PER_BUCKET = 8_000_000, 4
 COUNTED_BITS = 40
 #: Documents that are compared in one block; larger lists are compared block by block.
 BLOCK = 2048
-#: Columns of the dense matrix that a block's shingles are multiplied in.
-COLUMNS = 4096
+#: Columns of the dense matrix that a block's shingles are multiplied in, and rows that are compared at a time.
+COLUMNS, TILE = 4096, 512
 
 
 def _sets(texts: list[bytes], size: int, hashes: WordHashes) -> list[np.ndarray]:
@@ -163,57 +164,111 @@ def prefixed(text: DataFrame, size: int, percent: int) -> DataFrame:
     return staged(joined.mapInArrow(_prefixes(size, percent), "doc_id long, uid long, n_shingles long, whole binary, grp binary, prefix array<long>"))
 
 
-def links_of(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """Label of each set: the first of those it is connected to by links within the block."""
-    n, sizes = len(sets), np.array([len(s) for s in sets], np.int64)
-    owner = np.repeat(np.arange(n), sizes)
-    flat, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    use = count[column] > 1
-    owner, column = owner[use], (np.cumsum(count > 1) - 1)[column[use]]
-    inter = np.zeros((n, n), np.float32)
-    by = np.argsort(column, kind="stable")
-    owner, column = owner[by], column[by]
-    for a in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-        lo, hi = np.searchsorted(column, [a, a + COLUMNS])
-        m = np.zeros((n, min(COLUMNS, int(column[-1]) + 1 - a)), np.float32)
-        m[owner[lo:hi], column[lo:hi] - a] = 1
-        inter += m @ m.T
-    shared = inter.astype(np.int64)
-    link = 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
-    np.fill_diagonal(link, True)
-    label = np.arange(n)
+def incidence(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(set, number) of each element that two sets or more have, in the order of the elements' numbers."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    use = count[number] > 1
+    owner, number = owner[use], (np.cumsum(count > 1) - 1)[number[use]]
+    by = np.argsort(number, kind="stable")
+    return owner[by], number[by]
+
+
+def shared(owner: np.ndarray, number: np.ndarray, n: int, rows: slice) -> np.ndarray:
+    """How many elements the sets of `rows` share with each of the n sets: products of stretches of the incidence matrix."""
+    out = np.zeros((rows.stop - rows.start, n), np.float32)
+    for a in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMNS):
+        lo, hi = np.searchsorted(number, [a, a + COLUMNS])
+        m = np.zeros((n, min(COLUMNS, int(number[-1]) + 1 - a)), np.float32)
+        m[owner[lo:hi], number[lo:hi] - a] = 1
+        out += m[rows] @ m.T
+    return out
+
+
+def tiles(n: int) -> Iterator[slice]:
+    return (slice(a, min(n, a + TILE)) for a in range(0, n, TILE))
+
+
+def group_pairs(sizes: np.ndarray, prefixes: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which pairs of groups (set size, prefix) may hold documents that link.
+
+    Sizes must be near enough for `percent`. Of two sets' common shingles, those in the prefix that ends
+    first in the order are in both prefixes, the others lie behind it; so the common shingles of the
+    prefixes and the longer rest together must reach the intersection that a link needs.
+    """
+    n, rest = len(sizes), sizes - np.array([len(p) for p in prefixes])
+    owner, number = incidence(prefixes)
+    out = np.zeros((n, n), bool)
+    for t in tiles(n):
+        both = sizes[t, None] + sizes[None, :]
+        need = -(-percent * both // (100 + percent))
+        common = shared(owner, number, n, t).astype(np.int64)
+        near = 100 * np.minimum(sizes[t, None], sizes[None, :]) >= percent * np.maximum(sizes[t, None], sizes[None, :])
+        out[t] = near & (common > 0) & (common + np.maximum(rest[t, None], rest[None, :]) >= need)
+    return out
+
+
+def labelled(link: np.ndarray) -> np.ndarray:
+    """Label of each item: the first of those that it is connected to in a symmetric matrix of links."""
+    label = np.arange(len(link))
     while True:
-        low = np.where(link, label[None, :], n).min(1)
+        low = label.copy()
+        for t in tiles(len(link)):
+            low[t] = np.minimum(label[t], np.where(link[t], label[None, :], len(link)).min(1))
         low = low[low]
         if (low == label).all():
             return label
         label = low
 
 
+def links_of(sets: list[np.ndarray], percent: int, group: np.ndarray | None = None, pairs: np.ndarray | None = None) -> np.ndarray:
+    """Label of each set: the first of those it is connected to by links within the block. With `group` (each set's
+    number) and `pairs` (of groups that may link), only members of one group or of such pairs are compared."""
+    n, sizes = len(sets), np.array([len(s) for s in sets], np.int64)
+    owner, number = incidence(sets)
+    link = np.zeros((n, n), bool)
+    for t in tiles(n):
+        common = shared(owner, number, n, t).astype(np.int64)
+        link[t] = 100 * common >= percent * (sizes[t, None] + sizes[None, :] - common)
+        if group is not None:
+            link[t] &= pairs[group[t]][:, group]
+    return labelled(link)
+
+
 def _verified(size: int, percent: int):
-    """Rows sorted by unit: compares all documents of a unit and returns each linked one with its label's id."""
+    """Rows sorted by unit: filters the unit's pairs of groups, expands groups that hang together by them to their documents,
+    verifies these, and returns each linked document with its label's id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
 
-        def linked(ids: list, texts: list) -> pa.RecordBatch:
-            order = sorted(range(len(ids)), key=ids.__getitem__)
-            label = links_of(_sets([texts[k] for k in order], size, hashes), percent)
-            i = np.flatnonzero(label < np.arange(len(label)))
-            ids = np.array(ids, np.int64)[order]
-            return pa.record_batch([pa.array(ids[i]), pa.array(ids[label[i]])], ["a", "b"])
-
-        unit, ids, texts = None, [], []
+        def linked(ids: list, gids: list, prefixes: list, texts: list) -> Iterator[pa.RecordBatch]:
+            _, first, group = np.unique(np.array(gids), return_index=True, return_inverse=True)
+            sets = _sets(texts, size, hashes)
+            pairs = group_pairs(np.array([len(sets[k]) for k in first]), [prefixes[k] for k in first], percent)
+            np.fill_diagonal(pairs, True)
+            together, ids = labelled(pairs)[group], np.array(ids, np.int64)
+            by = np.lexsort((ids, together))
+            for part in np.split(by, np.flatnonzero(np.diff(together[by])) + 1):
+                if len(part) > 1:
+                    label = links_of([sets[k] for k in part], percent, group[part], pairs)
+                    i = np.flatnonzero(label < np.arange(len(label)))
+                    yield pa.record_batch([pa.array(ids[part][i]), pa.array(ids[part][label[i]])], ["a", "b"])
+
+        unit, held = None, ([], [], [], [])
         for batch, some in slices(batches):
-            for u, i, t in zip(batch.column("unit").to_pylist(), batch.column("doc_id").to_pylist(), some, strict=True):
+            prefix = batch.column("prefix")
+            ends = np.cumsum(pa.compute.list_value_length(prefix).to_numpy(zero_copy_only=False))[:-1]
+            prefix = np.split(pa.compute.list_flatten(prefix).to_numpy(zero_copy_only=False), ends)
+            for u, *row in zip(batch.column("unit").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("gid").to_pylist(), prefix, some, strict=True):
                 if u != unit:
-                    if len(ids) > 1:
-                        yield linked(ids, texts)
-                    unit, ids, texts = u, [], []
-                ids.append(i)
-                texts.append(t)
-        if len(ids) > 1:
-            yield linked(ids, texts)
+                    if len(held[0]) > 1:
+                        yield from linked(*held)
+                    unit, held = u, ([], [], [], [])
+                for column, v in zip(held, row, strict=True):
+                    column.append(v)
+        if len(held[0]) > 1:
+            yield from linked(*held)
 
     return run
 
@@ -230,12 +285,13 @@ def ngram_join(documents: DataFrame, size: int = 4, percent: int = 85) -> DataFr
 
     Documents with equal sets are one class, of which only the least takes part. Sets are ordered with
     common shingles last, so that two that link share one of their first n - ceil(percent * n) + 1
-    shingles. Classes with equal prefixes and sizes are one group, and groups that share a prefix
-    shingle are a list. Lists that share groups hang together as a cluster, which is expanded to its
-    classes and verified whole, if it has at most BLOCK; of a larger one each list is, of lists with the
-    same groups one, and lists above BLOCK block by block. The shingles of a block are multiplied as a
-    matrix, which gives every pair's intersection, and only the links' components leave the task, never
-    pairs. Components of all blocks are joined at the end.
+    shingles. Classes with equal prefixes and sizes are one group. Groups that share a prefix shingle meet
+    in one task, where pairs of groups are filtered by size and by what their prefixes share, and the
+    members of the pairs that are left are verified by exact intersections. Groups meet as a cluster,
+    which lists that have groups in common hang together as, if it has at most BLOCK classes; of a larger
+    cluster each shingle's list meets, of lists with the same groups one, and lists above BLOCK block by
+    block. Pairs never leave a task, only links to the least document that is connected in it. Components
+    of all tasks' links are joined at the end.
     """
     text = documents.select("doc_id", F.col("text"), F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("uid"))
     docs = prefixed(text, size, percent)
@@ -246,8 +302,8 @@ def ngram_join(documents: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     classes = staged(some.groupBy("whole").agg(least.alias("r")).select("whole", "r.doc_id", "r.uid", F.xxhash64("r.grp").alias("gid")))
     groups = some.groupBy("grp").agg(F.first("prefix").alias("prefix"))
     postings = groups.select(gid, F.explode("prefix").alias("token"))
-    by_token = Window.partitionBy("token")
-    postings = staged(postings.withColumns({"m": F.count("*").over(by_token), "least": F.min("gid").over(by_token)}).filter("m > 1"))
+    several = postings.groupBy("token").agg(F.count("*").alias("m"), F.min("gid").alias("least")).filter("m > 1").select("token", "least")
+    postings = staged(postings.join(several, "token"))
     clusters = components(postings.select(F.col("least").alias("a"), F.col("gid").alias("b")).distinct()).select(F.col("node").alias("gid"), "component")
     reps = classes.filter("doc_id is not null").select("uid", "gid").join(clusters, "gid", "left").withColumn("component", F.coalesce("component", "gid"))
     sizes = reps.groupBy("component").agg(F.count("*").alias("m")).filter("m > 1")
@@ -265,9 +321,11 @@ def ngram_join(documents: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     mine = F.pmod(F.xxhash64("uid"), F.col("blocks"))
     units = members.join(blocks, ["kind", "token"]).select("kind", "token", "uid", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     units = units.select("uid", F.xxhash64("kind", "token", F.least("mine", "other"), F.greatest("mine", "other")).alias("unit"))
-    wanted = staged(units.groupBy("uid").agg(F.collect_set("unit").alias("units")))
-    texts = beside(text, wanted, ["uid"], "units", 12, every=False)
-    texts = texts.select(F.explode("units").alias("unit"), "doc_id", "text").repartition("unit").sortWithinPartitions("unit")
+    wanted = units.groupBy("uid").agg(F.collect_set("unit").alias("units"))
+    # repeated rows share a uid, and so a prefix
+    wanted = staged(wanted.join(some.groupBy("uid").agg(F.first(gid).alias("gid"), F.first("prefix").alias("prefix")), "uid"))
+    texts = beside(text, wanted, ["uid"], "prefix", 8, every=False)
+    texts = texts.select(F.explode("units").alias("unit"), "doc_id", "gid", "prefix", "text").repartition("unit").sortWithinPartitions("unit")
     found = components(texts.mapInArrow(_verified(size, percent), "a long, b long"))
     labels = classes.select("whole", "doc_id").join(found, F.col("doc_id") == F.col("node"), "left").select("whole", F.coalesce("component", "doc_id").alias("component_id"))
     out = docs.join(staged(labels), "whole", "left")
