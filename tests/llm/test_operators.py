@@ -229,6 +229,26 @@ def test_large_lists_are_compared_block_by_block(docs, tables, monkeypatch):
     assert_same(ngram_join.ngram_join(docs), tables, ngram_join.SQL["op3_ngram_join"])
 
 
+def test_group_pairs_lose_no_link():
+    """Sets with near copies, ordered by a common order: every pair that links passes the filters, and most others don't."""
+    rng = np.random.default_rng(4)
+    sets = []
+    for _ in range(30):
+        base = rng.choice(4000, rng.integers(20, 80), replace=False)
+        for _ in range(4):
+            keep = base[rng.random(len(base)) > rng.choice([0, 0.05, 0.15])]
+            sets.append(np.unique(np.r_[keep, rng.choice(4000, rng.integers(0, 4))]).astype(np.uint64))
+    sizes = np.array([len(s) for s in sets])
+    prefixes = [s[: len(s) - (85 * len(s) + 99) // 100 + 1] for s in sets]
+    pairs, n_link = ngram_join.group_pairs(sizes, prefixes, 85), 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            if 100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b)):
+                assert pairs[i, j]
+                n_link += 1
+    assert n_link <= pairs.sum() < 6 * n_link
+
+
 def test_null_ids_take_no_class_from_rows_with_ids(spark, docs, tables):
     """Null-id rows whose texts equal those of linked documents: other rows as by SQL, theirs the component of the equal text."""
     near = [r for r in made_rows() if " edit0 " in (r[1] or "")]
@@ -266,6 +286,48 @@ def test_lm_base_and_held_out_gain(spark, docs):
         assert out[0] > out[1]
 
 
+def test_lm_score_equals_brute_force(docs, odd, monkeypatch):
+    """With given class weights and strengths; null ids and repeated rows are learnt from and scored each."""
+    rng = np.random.default_rng(2)
+    weights, bias, s = rng.normal(size=(lm_scoring.ROWS, lm_scoring.CLASSES)), rng.normal(size=lm_scoring.CLASSES), np.array([0.3, 0.05, 0.7])
+    monkeypatch.setattr(lm_scoring, "train", lambda *_: (weights, bias, []))
+    monkeypatch.setattr(lm_scoring, "strengths", lambda *_: s)
+    monkeypatch.setattr(lm_scoring, "feature_mask", lambda _: np.uint64(2**64 - 1))  # no two features in one place
+    for d in (docs, odd):
+        rows = [(i, [b"<s>", b"<s>", *(t or "").encode().lower().split(), b""]) for i, t in d.select("doc_id", "text").collect()]
+        cls = lambda w: 0 if w == b"" else lm_scoring.word_class(w)
+        c, pair, pair_class, skip, skip_class = (Counter() for _ in range(5))
+        for i, ws in rows:
+            if not lm_scoring.is_held_out(i):
+                for x, u, w in zip(ws, ws[1:], ws[2:]):
+                    c[w] += 1
+                    pair[u, w] += 1
+                    pair_class[u, cls(w)] += 1
+                    skip[x, w] += 1
+                    skip_class[x, cls(w)] += 1
+        follows, in_class, kinds = Counter(), Counter(), Counter()
+        for (u, _), n in pair.items():
+            follows[u] += n
+        for w, n in c.items():
+            in_class[cls(w)] += n
+            kinds[cls(w)] += 1
+        want = []
+        for i, ws in rows:
+            k, total = [0, 0, 0], 0.0
+            for x, u, w in zip(ws, ws[1:], ws[2:]):
+                g = cls(w)
+                m = math.exp(lm_scoring.log_softmax(weights, bias, np.array([k[0] + lm_scoring.CLASSES * k[1] + lm_scoring.CLASSES**2 * k[2]]))[0, g])
+                q = 1.0 if g == 0 else (c[w] + 0.1) / (in_class[g] + 0.1 * (kinds[g] + 1))
+                total += math.log10((m + s[0] * pair_class[u, g]) / (1 + s[0] * follows[u]))
+                if g:
+                    total += math.log10((q + s[1] * pair[u, w] + s[2] * skip[x, w]) / (1 + s[1] * pair_class[u, g] + s[2] * skip_class[x, g]))
+                k = [g, k[0], k[1]]
+            want.append((str(i), len(ws) - 2, total))
+        got = sorted((str(r["doc_id"]), r["n_tokens"], r["score"]) for r in lm_scoring.lm_score(d).collect())
+        assert [(i, n) for i, n, _ in got] == [(i, n) for i, n, _ in sorted(want)]
+        assert np.allclose([x for _, _, x in got], [x for _, _, x in sorted(want)], rtol=1e-5)
+
+
 def test_lm_is_a_distribution():
     rng = np.random.default_rng(1)
     p = np.exp(lm_scoring.log_softmax(rng.normal(size=(lm_scoring.ROWS, lm_scoring.CLASSES)), rng.normal(size=lm_scoring.CLASSES), np.arange(100)))
