@@ -296,15 +296,15 @@ def test_lm_score_equals_brute_force(docs, odd, monkeypatch):
     for d in (docs, odd):
         rows = [(i, [b"<s>", b"<s>", *(t or "").encode().lower().split(), b""]) for i, t in d.select("doc_id", "text").collect()]
         cls = lambda w: 0 if w == b"" else lm_scoring.word_class(w)
-        c, pair, pair_class, skip, skip_class = (Counter() for _ in range(5))
+        c, pair, pair_class, skip, skips = (Counter() for _ in range(5))
         for i, ws in rows:
             if not lm_scoring.is_held_out(i):
                 for x, u, w in zip(ws, ws[1:], ws[2:]):
                     c[w] += 1
                     pair[u, w] += 1
                     pair_class[u, cls(w)] += 1
-                    skip[x, w] += 1
-                    skip_class[x, cls(w)] += 1
+                    skip[x, cls(w)] += 1
+                    skips[x] += 1
         follows, in_class, kinds = Counter(), Counter(), Counter()
         for (u, _), n in pair.items():
             follows[u] += n
@@ -313,15 +313,15 @@ def test_lm_score_equals_brute_force(docs, odd, monkeypatch):
             kinds[cls(w)] += 1
         want = []
         for i, ws in rows:
-            k, total = [0, 0, 0], 0.0
+            k, total = [0, 0], 0.0
             for x, u, w in zip(ws, ws[1:], ws[2:]):
                 g = cls(w)
-                m = math.exp(lm_scoring.log_softmax(weights, bias, np.array([k[0] + lm_scoring.CLASSES * k[1] + lm_scoring.CLASSES**2 * k[2]]))[0, g])
+                m = math.exp(lm_scoring.log_softmax(weights, bias, np.array([k[0] + lm_scoring.CLASSES * k[1]]))[0, g])
                 q = 1.0 if g == 0 else (c[w] + 0.1) / (in_class[g] + 0.1 * (kinds[g] + 1))
-                total += math.log10((m + s[0] * pair_class[u, g]) / (1 + s[0] * follows[u]))
+                total += math.log10((m + s[0] * pair_class[u, g] + s[1] * skip[x, g]) / (1 + s[0] * follows[u] + s[1] * skips[x]))
                 if g:
-                    total += math.log10((q + s[1] * pair[u, w] + s[2] * skip[x, w]) / (1 + s[1] * pair_class[u, g] + s[2] * skip_class[x, g]))
-                k = [g, k[0], k[1]]
+                    total += math.log10((q + s[2] * pair[u, w]) / (1 + s[2] * pair_class[u, g]))
+                k = [g, k[0]]
             want.append((str(i), len(ws) - 2, total))
         got = sorted((str(r["doc_id"]), r["n_tokens"], r["score"]) for r in lm_scoring.lm_score(d).collect())
         assert [(i, n) for i, n, _ in got] == [(i, n) for i, n, _ in sorted(want)]

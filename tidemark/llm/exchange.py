@@ -8,6 +8,7 @@ need: a bucket holds about as many keys as CHUNKS_PER_BUCKET chunks ask for, wha
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, split_words, staged
+from tidemark.llm.common import shared_dir, slices, split_words, staged
 
 #: Bytes of text of a chunk, about, and chunks to a bucket of keys.
 CHUNK_BYTES, CHUNKS_PER_BUCKET = 8_000_000, 4
@@ -40,9 +41,12 @@ def grouped(key: np.ndarray, also: np.ndarray | None = None) -> tuple[np.ndarray
     """An order that sorts key (and `also` where keys are equal), where in it each different key starts, and the number of each item's key."""
     order = np.argsort(key) if also is None else np.lexsort((also, key))
     new = np.ones(len(key), bool)
-    new[1:] = key[order][1:] != key[order][:-1]
-    if also is not None:
-        new[1:] |= also[order][1:] != also[order][:-1]
+    changed = None
+    for values in (key,) if also is None else (key, also):
+        values = values[order]
+        differs = values[1:] != values[:-1]
+        changed = differs if changed is None else changed | differs
+    new[1:] = changed
     number = np.empty(len(key), np.int64)
     number[order] = np.cumsum(new) - 1
     return order, np.flatnonzero(new), number
@@ -52,6 +56,13 @@ def fold(how: np.ufunc, values: np.ndarray, start: np.ndarray) -> np.ndarray:
     return how.reduceat(values, start) if len(start) else values[:0]
 
 
+def bucketed(chunks: DataFrame, parts: int) -> DataFrame:
+    """chunks as a table in the shared folder whose files are dealt by chunk to `parts` buckets, so that joins by chunk leave them where they are."""
+    spark, name = chunks.sparkSession, f"chunks_{uuid.uuid4().hex}"
+    chunks.write.format("parquet").option("compression", "zstd").option("path", shared_dir(spark)).bucketBy(parts, "chunk").sortBy("chunk").saveAsTable(name)
+    return spark.table(name)
+
+
 def word_chunks(rows: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:
     """chunk, doc_ids, lengths, words, tokens of rows (doc_id, text): the different words of about `size` bytes of text,
     joined by spaces, and the texts' words as packed numbers in them; staged."""
@@ -152,9 +163,9 @@ def told_of(told: list | None, kind: type) -> np.ndarray:
     return np.concatenate([np.zeros(0, kind), *(unpacked(b, kind) for _, b in parts)])
 
 
-def beside_chunks(chunks: DataFrame, parts: int, **told: DataFrame) -> DataFrame:
-    """chunks, dealt to `parts` partitions, with what exchanges told them, under the given names; null for chunks that asked nothing."""
-    if told:
+def beside_chunks(chunks: DataFrame, parts: int | None, **told: DataFrame) -> DataFrame:
+    """chunks, dealt to `parts` partitions (None: left as they are bucketed), with what exchanges told them, under the given names; null for chunks that asked nothing."""
+    if told and parts:
         chunks = chunks.repartition(parts, "chunk")
     for name, answers in told.items():
         chunks = chunks.join(answers.withColumnRenamed("told", name).hint("merge"), "chunk", "left")

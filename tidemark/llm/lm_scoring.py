@@ -13,16 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import joined, slices, split_words, staged, table
-from tidemark.llm.exchange import CHUNK_BYTES, beside_chunks, bucket_count, exchange, fold, grouped, packed, told_of, unpacked
+from tidemark.llm.exchange import CHUNK_BYTES, beside_chunks, bucket_count, bucketed, exchange, fold, grouped, packed, told_of, unpacked
 
-#: Word classes (0: the end of a text) and rows of the weight matrix that class features are hashed to.
-CLASSES, ROWS = 32, 4096
+#: Word classes (0: the end of a text), classes before a token that are its context, and rows of the weight matrix that class features are hashed to.
+CLASSES, BEFORE, ROWS = 32, 2, 4096
 #: Gradient updates, their step (Adam), the weights' prior in counts, and the parts the counts are dealt to.
 UPDATES, STEP, PRIOR, PARTS = 24, 0.1, 2.0, 16
 #: Updates of the strengths of word features, which each at most double or halve STRIDE times.
 STRENGTH_UPDATES, STRIDE = 20, 3
 #: Places of the space that word features are hashed to, for each training token: one feature in SPARSE shares its place.
-SPARSE = 64
+SPARSE = 8
 #: Hashes of what stands before a text, and of its end.
 START, END = (np.uint64(xxhash.xxh3_64_intdigest(v)) for v in (b" start", b" end"))
 
@@ -92,26 +92,29 @@ class _Chunk:
         return out
 
     def context(self) -> np.ndarray:
-        """The three classes before each token, as a number."""
-        return sum(self.before(self.c, back, 0) * CLASSES ** (back - 1) for back in (1, 2, 3))
+        """The classes before each token, as a number."""
+        return sum(self.before(self.c, back, 0) * CLASSES ** (back - 1) for back in range(1, BEFORE + 1))
 
     def features(self, mask: np.uint64) -> tuple[np.ndarray, ...]:
-        """The different word features, hashed: of each token the word before it and the one before that (a skip),
-        each with the token's word and with its class. With their counts in training tokens."""
-        h = self.hashes[self.tokens]
-        key = []
-        for back in (1, 2):
-            word = self.before(h, back, START)
-            key += [joined(word, h ^ np.uint64(back)), joined(word, self.c.astype(np.uint64) * np.uint64(8) + np.uint64(back + 2))]
-        key = np.concatenate(key) & mask
-        order, start, self.number = grouped(key)
-        count = np.bincount(self.number[np.tile(self.train, 4)], minlength=len(start))
-        return key[order[start]], count
-
-    def feature_counts(self, told: list, mask: np.uint64) -> np.ndarray:
-        """Counts over all chunks of each token's four features: word, class after the word before; word, class after the skip."""
+        """The different word features, hashed: of each token the word before it, with the token's word and with its class,
+        and the word before that (a skip), with the token's class and alone. With their counts in training tokens."""
+        h, c = self.hashes[self.tokens], self.c.astype(np.uint64)
+        word, skip = self.before(h, 1, START), self.before(h, 2, START)
+        keys, counts, self.number, held = [], [], [], 0
+        for k, (left, right) in enumerate(((word, h), (word, c), (skip, c), (skip, np.array([CLASSES], np.uint64)))):
+            key = ((joined(left, right) >> np.uint64(2)) | np.uint64(k << 62)) & mask  # the kind first, so that each is sorted on its own
+            order, start, number = grouped(key)
+            keys.append(key[order[start]])
+            counts.append(np.bincount(number[self.train], minlength=len(start)))
+            self.number.append((number + held).astype(np.int32))
+            held += len(start)
+        return np.concatenate(keys), np.concatenate(counts)
+
+    def feature_counts(self, told: list, mask: np.uint64) -> list[np.ndarray]:
+        """Counts over all chunks of each token's four features."""
         self.features(mask)
-        return told_of(told, np.int64)[self.number].reshape(4, -1)
+        told = told_of(told, np.int64)
+        return [told[n] for n in self.number]
 
 
 def _sum(keys: np.ndarray, start: np.ndarray, count: np.ndarray, *_: np.ndarray) -> np.ndarray:
@@ -133,19 +136,18 @@ def _class_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(CLASSES**4, np.int64)
+    total = np.zeros(CLASSES ** (BEFORE + 1), np.int64)
     for batch in batches:
         for i in range(batch.num_rows):
             chunk = _Chunk(batch.slice(i, 1).to_pylist()[0])
-            total += np.bincount((chunk.context() * CLASSES + chunk.c)[chunk.train], minlength=CLASSES**4)
+            total += np.bincount((chunk.context() * CLASSES + chunk.c)[chunk.train], minlength=CLASSES ** (BEFORE + 1))
     seen = np.flatnonzero(total)
     yield pa.record_batch([pa.array((seen // CLASSES).astype(np.int32)), pa.array((seen % CLASSES).astype(np.int32)), pa.array(total[seen])], ["context", "class", "n"])
 
 
 def feature_rows(context: np.ndarray) -> np.ndarray:
-    """Rows of the weight matrix for contexts: hashed n-gram features (one, two and three classes back to back) and skip features."""
-    one, two, three = context % CLASSES, context // CLASSES % CLASSES, context // CLASSES**2
-    features = [(1, one), (2, one + CLASSES * two), (3, one + CLASSES * two + CLASSES**2 * three), (4, two), (5, three), (6, one + CLASSES * three)]
+    """Rows of the weight matrix for contexts: hashed n-gram features (the class before, the two before) and the skip feature (the one before that)."""
+    features = [(1, context % CLASSES), (2, context), (3, context // CLASSES)]
     hashed = [((f.astype(np.uint64) * np.uint64(8) + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(52) for k, f in features]
     return np.stack(hashed, 1).astype(np.int64) % ROWS
 
@@ -158,7 +160,7 @@ def log_softmax(weights: np.ndarray, bias: np.ndarray, context: np.ndarray) -> n
 
 def _gradient(weights: np.ndarray, bias: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.zeros((CLASSES**3, CLASSES))
+        count = np.zeros((CLASSES**BEFORE, CLASSES))
         for batch in batches:
             np.add.at(count, (batch.column("context").to_numpy(), batch.column("class").to_numpy()), batch.column("n").to_numpy())
         context = np.flatnonzero(count.any(1))
@@ -196,21 +198,21 @@ def train(counts: DataFrame, updates: int = UPDATES) -> tuple[np.ndarray, np.nda
 
 
 class Strengths:
-    """Strengths of the word features: of the word before on the class, of the word before and of the skip on the word.
+    """Strengths of the word features: of the word before and of the skip on the class, and of the word before on the word.
 
-    P(class) = (m + s0 * n(before, class)) / (1 + s0 * n(before)), m being the class softmax;
-    P(word in its class) = (q + s1 * n(before, word) + s2 * n(skip, word)) / (1 + s1 * n(before, class) + s2 * n(skip, class)),
-    q being the word's smoothed share of its class. Both are softmaxes whose feature weights are the logarithms
-    of the numerators' ratios to m and q, so features that training never saw weigh nothing, and sum to one.
+    P(class) = (m + s0 * n(before, class) + s1 * n(skip, class)) / (1 + s0 * n(before) + s1 * n(skip)), m being the class
+    softmax; P(word in its class) = (q + s2 * n(before, word)) / (1 + s2 * n(before, class)), q being the word's smoothed
+    share of its class. Both are softmaxes whose feature weights are the logarithms of the numerators' ratios to m and q,
+    so features that training never saw weigh nothing, and sum to one.
     """
 
     @staticmethod
-    def classes(s: np.ndarray, m: np.ndarray, n: np.ndarray, before: np.ndarray) -> np.ndarray:
-        return (m + s[0] * n) / (1 + s[0] * before)
+    def classes(s: np.ndarray, m: np.ndarray, n: np.ndarray, before: np.ndarray, skip: np.ndarray, skips: np.ndarray) -> np.ndarray:
+        return (m + s[0] * n + s[1] * skip) / (1 + s[0] * before + s[1] * skips)
 
     @staticmethod
-    def words(s: np.ndarray, q: np.ndarray, n: np.ndarray, of_class: np.ndarray, skip: np.ndarray, skip_class: np.ndarray) -> np.ndarray:
-        return (q + s[1] * n + s[2] * skip) / (1 + s[1] * of_class + s[2] * skip_class)
+    def words(s: np.ndarray, q: np.ndarray, n: np.ndarray, of_class: np.ndarray) -> np.ndarray:
+        return (q + s[2] * n) / (1 + s[2] * of_class)
 
 
 def _level(n: np.ndarray) -> np.ndarray:
@@ -240,18 +242,19 @@ def _informed(row: dict, mask: np.uint64, log_class: np.ndarray, class_words: np
 def _cells(*model):
     """Counts of training tokens by the levels of what their probability is made of, each token's own count left out."""
 
+    def cells(row: dict) -> pa.RecordBatch:
+        chunk, _, m, before, q, counts = _informed(row, *model)
+        n, of_class, skip, skips, before = (_level(np.maximum(c[chunk.train] - 1, 0)) for c in (*counts, before))
+        inner = chunk.c[chunk.train] > 0
+        of_classes = (_parts(m[chunk.train]) << 24) | (of_class << 18) | (before << 12) | (skip << 6) | skips
+        of_words = ((1 << 40) | (_parts(q[chunk.train]) << 12) | (n << 6) | of_class)[inner]
+        found = [np.unique(v, return_counts=True) for v in (of_classes, of_words)]
+        return pa.record_batch([pa.array(np.concatenate([f[k] for f in found])) for k in (0, 1)], ["cell", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                chunk, _, m, before, q, counts = _informed(batch.slice(i, 1).to_pylist()[0], *model)
-                use = chunk.train
-                n, of_class, skip, skip_class = (_level(np.maximum(c[use] - 1, 0)) for c in counts)
-                of_classes = (_parts(m[use]) << 12) | (of_class << 6) | _level(np.maximum(before[use] - 1, 0))
-                use = use & (chunk.c > 0)
-                of_words = chunk.c[chunk.train] > 0
-                of_words = (1 << 40) | (_parts(q[use]) << 24) | (n[of_words] << 18) | (of_class[of_words] << 12) | (skip[of_words] << 6) | skip_class[of_words]
-                cell, count = np.unique(np.r_[of_classes, of_words], return_counts=True)
-                yield pa.record_batch([pa.array(cell), pa.array(count)], ["cell", "n"])
+                yield cells(batch.slice(i, 1).to_pylist()[0])
 
     return run
 
@@ -265,15 +268,15 @@ def _fit(s: np.ndarray):
             cell, n = batch.column("cell").to_numpy(), batch.column("n").to_numpy()
             level = lambda shift: _count_of((cell >> shift) & 63)  # noqa: E731, B023
             words = cell >> 40 == 1
-            share = np.exp2(-((cell >> np.where(words, 24, 12) & 255) + 0.5) / 4)
-            class_n, class_before = level(6), level(0)
-            up[0] += (n * s[0] * class_n / (share + s[0] * class_n))[~words].sum()
-            down[0] += (n * s[0] * class_before / (1 + s[0] * class_before))[~words].sum()
-            a, b = s[1] * level(18), s[2] * level(6)
-            c, d = s[1] * level(12), s[2] * level(0)
-            for k, x, y in ((1, a, c), (2, b, d)):
-                up[k] += (n * x / (share + a + b))[words].sum()
-                down[k] += (n * y / (1 + c + d))[words].sum()
+            share = np.exp2(-((cell >> np.where(words, 12, 24) & 255) + 0.5) / 4)
+            features = ((0, ~words, level(18), level(12)), (1, ~words, level(6), level(0)), (2, words, level(6), level(0)))
+            top, below = share.copy(), np.ones(len(n))
+            for k, use, x, y in features:
+                top += use * s[k] * x
+                below += use * s[k] * y
+            for k, use, x, y in features:
+                up[k] += (n * s[k] * x / top)[use].sum()
+                down[k] += (n * s[k] * y / below)[use].sum()
         yield pa.record_batch([pa.array(np.arange(3)), pa.array(up), pa.array(down)], ["k", "up", "down"])
 
     return run
@@ -296,27 +299,29 @@ def _scored(s: np.ndarray, *model):
     mask, log_class, class_words, class_tokens = model
     words, tokens = int(class_words.sum()), int(class_tokens.sum())
 
+    def scores(row: dict) -> pa.RecordBatch:
+        chunk, known, m, before, q, (n, of_class, skip, skips) = _informed(row, *model)
+        base = np.log10((known + 0.1) / (tokens + 0.1 * (words + 1)))[chunk.tokens]
+        score = np.log10(Strengths.classes(s, m, of_class, before, skip, skips))
+        score += np.log10(np.where(chunk.c == 0, 1.0, Strengths.words(s, q, n, of_class)))
+        k = len(chunk.n)
+        add = lambda v: np.bincount(chunk.owner, v, minlength=k)
+        return pa.record_batch(
+            [pa.array(row["doc_ids"], pa.int64()), pa.array(chunk.out), pa.array(chunk.n), pa.array(add(known[chunk.tokens] > 0).astype(np.int64)), pa.array(np.full(k, tokens)), pa.array(add(base)), pa.array(add(score))],
+            ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                chunk, known, m, before, q, (n, of_class, skip, skip_class) = _informed(row, *model)
-                base = np.log10((known + 0.1) / (tokens + 0.1 * (words + 1)))[chunk.tokens]
-                word = np.where(chunk.c == 0, 1.0, Strengths.words(s, q, n, of_class, skip, skip_class))
-                score = np.log10(Strengths.classes(s, m, of_class, before)) + np.log10(word)
-                add = lambda v: np.bincount(chunk.owner, v, minlength=len(chunk.n))  # noqa: E731, B023
-                k = len(chunk.n)
-                yield pa.record_batch(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(chunk.out), pa.array(chunk.n), pa.array(add(known[chunk.tokens] > 0).astype(np.int64)), pa.array(np.full(k, tokens)), pa.array(add(base)), pa.array(add(score))],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+                yield scores(batch.slice(i, 1).to_pylist()[0])
 
     return run
 
 
 def feature_mask(tokens: int) -> np.uint64:
-    """High bits of a 64-bit hash that tell word features apart: whole bytes, SPARSE places or more for each training token."""
-    bits = min(64, -(-max(tokens * SPARSE, 1).bit_length() // 8) * 8)
+    """High bits of a 64-bit hash that tell word features apart: SPARSE places or more for each training token."""
+    bits = min(64, 2 + max(tokens * SPARSE, 1).bit_length())  # two for the kind
     return np.uint64(((1 << bits) - 1) << (64 - bits))
 
 
@@ -326,10 +331,9 @@ def lm_score(documents: DataFrame, updates: int = UPDATES) -> DataFrame:
     Tokens are the words, A-Z lower-cased, and one end, which is all that a null or empty text has. The
     model learns from the documents that are not held out: score is the log10 probability of the text as
     P(class of a token | what is before) * P(token | its class, what is before). The class softmax is a
-    maximum-entropy model over hashed n-gram and skip features of the three classes before, trained by
+    maximum-entropy model over hashed n-gram and skip features of the two classes before, trained by
     gradients that Spark adds up. Word features go into both factors (Strengths): the word before with the
-    class, the word before with the word, and, skipping one, the word before that with the word. Their
-    counts are gathered from all training tokens, hashed to a space that grows with these, and their three
+    class and with the word, and, skipping one, the word before that with the class. Their counts are gathered from all training tokens, hashed to a space that grows with these, and their three
     strengths are trained on counts that leave each token itself out. Repeated rows are learnt from and
     scored each. Without training documents classes are equally likely. An empty table gives no rows;
     columns other than doc_id and text are not read.
@@ -337,7 +341,9 @@ def lm_score(documents: DataFrame, updates: int = UPDATES) -> DataFrame:
     Documents are packed in chunks that hold their words as numbers; a chunk asks for the counts of each
     of its different words and features once. Words are told apart by 64-bit hashes.
     """
-    chunks = staged(documents.select("doc_id", "text").mapInArrow(_chunks, "chunk long, doc_ids array<long>, hashes binary, classes binary, lengths binary, tokens binary"))
+    kinds = "chunk long, doc_ids array<long>, hashes binary, classes binary, lengths binary, tokens binary"
+    rows = documents.select("doc_id", "text")
+    chunks = bucketed(rows.mapInArrow(_chunks, kinds), max(1, rows.rdd.getNumPartitions()))
     parts = bucket_count(chunks)
     told = exchange(chunks, parts, lambda row: _Chunk(row).words(), _sum, (np.int64, np.uint8), summary=_by_class)
     totals = np.zeros(2 * CLASSES)
@@ -346,10 +352,10 @@ def lm_score(documents: DataFrame, updates: int = UPDATES) -> DataFrame:
     class_words, class_tokens = totals[:CLASSES], totals[CLASSES:]
     counts = chunks.mapInArrow(_class_counts, "context int, class int, n long")
     weights, bias, _ = train(counts.groupBy("context", "class").agg(F.sum("n").alias("n")), updates)
-    log_class = (log_softmax(weights, bias, np.arange(CLASSES**3)) / np.log(2)).astype(np.float32)
+    log_class = (log_softmax(weights, bias, np.arange(CLASSES**BEFORE)) / np.log(2)).astype(np.float32)
     mask = feature_mask(int(class_tokens.sum()))
-    features = exchange(chunks, parts, lambda row: _Chunk(row).features(mask), _sum, (np.int64,))
-    informed = staged(beside_chunks(chunks, parts, counts=told, features=features))
+    features = exchange(chunks, 4 * parts, lambda row: _Chunk(row).features(mask), _sum, (np.int64,))
+    informed = beside_chunks(chunks, None, counts=told, features=features)
     model = mask, log_class, class_words, class_tokens
     s = strengths(informed.mapInArrow(_cells(*model), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")))
     kinds = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
