@@ -3,6 +3,7 @@
 import inspect
 import json
 import math
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -33,9 +34,14 @@ def value(spark, column):
 
 
 def test_reasons_in_order(spark):
-    p = parse_events(wire(spark, event(1, 2), "not json at all", "{", "{}", {"user_id": 1001}, event(1, 2, kind="teleport"), event(None, 2), event(1, 2, schema_version=99), '{"user_id":1,"product_id":2,"event_type":"view","timestamp":"NaN"}'))
-    reasons = [r["invalid_reason"] for r in p.select("invalid_reason").collect()]
-    assert reasons == [None, *["not_json_or_empty"] * 3, "missing_or_invalid:product_id", "unknown_event_type:teleport", "missing_or_invalid:user_id", "unsupported_schema_version:99", "missing_or_invalid:timestamp"]
+    lines = {
+        "[1, 2": "not_json_or_empty", "": "not_json_or_empty", '{"unrelated": true}': "not_json_or_empty",
+        json.dumps(event(None, None, kind="?", schema_version=7)): "unsupported_schema_version:7",
+        json.dumps(event(None, None, kind="?")): "missing_or_invalid:user_id", json.dumps(event(44, None, kind="?")): "missing_or_invalid:product_id",
+        '{"user_id":44,"product_id":8,"event_type":"?","timestamp":"NaN"}': "missing_or_invalid:timestamp", json.dumps(event(44, 8, kind="?")): "unknown_event_type:?", json.dumps(event(44, 8)): None,
+    }
+    p = parse_events(wire(spark, *lines))
+    assert {bytes(r["raw_value"]).decode(): r["invalid_reason"] for r in p.select(F.col("raw_value").cast("binary").alias("raw_value"), "invalid_reason").collect()} == lines
     assert invalid_events(p).columns == ["raw_value", "invalid_reason", "rejected_at"]
 
 
@@ -46,19 +52,25 @@ def test_versions_fold(spark):
 
 
 def test_trending_counts(spark):
-    e = [event(1001, 9001, i) for i in range(5)] + [event(1002, 9001, 6, "purchase"), event(1003, 9002)]
-    rows = {r["product_id"]: r for r in aggregates.trending(valid_events(parse_events(wire(spark, *e))), "10 minutes", exact=True).collect()}
-    r = rows[9001]
-    assert (r["event_count"], r["score"], r["unique_users"], r["views"], r["carts"], r["purchases"]) == (6, 10.0, 2, 5, 0, 1)
-    assert rows[9002]["event_count"] == 1
+    kinds = ("view", "purchase", "add_to_cart", "view", "view", "purchase", "view")
+    e = [event(70 + i % 3, 12, 40 * i, k) for i, k in enumerate(kinds)] + [event(70, 13, 601)]
+    got = {r["product_id"]: r for r in aggregates.trending(valid_events(parse_events(wire(spark, *e))), "1 hour", exact=True).collect()}
+    assert [got[12][c] for c in ("event_count", "unique_users", "views", "carts", "purchases", "score")] == [7, 3, 4, 1, 2, 17.0] and got[13]["event_count"] == 1
 
 
 def test_pairs_and_mirror(spark):
-    e = [event(1001, 9001), event(1001, 9003, 30, "add_to_cart"), event(1002, 9001, 60), event(1002, 9003, 90), event(1003, 9001), event(1003, 9011, 3600)]
-    pairs = aggregates.co_occurrence(valid_events(parse_events(wire(spark, *e))), "10 MINUTES", "1 hour", exact=True)
-    got = [(r["product_id"], r["related_product_id"], r["pair_count"], r["affinity"]) for r in pairs.collect()]
-    assert got == [(9001, 9003, 2, round(math.sqrt(3) + 1, 3))]
-    assert aggregates.mirror_pairs(pairs).count() == 2
+    """Two visitors see both products within five minutes, a third just too late, and a fourth exactly in time over a bound of stretches."""
+    e = [event(71, 20, 10), event(71, 21, 200, "purchase"), event(72, 21, 50), event(72, 20, 349), event(73, 20, 0), event(73, 21, 301), event(74, 20, 290), event(74, 21, 590)]
+    pairs = aggregates.co_occurrence(valid_events(parse_events(wire(spark, *e))), "5 MINUTES", "1 day", exact=True)
+    r = pairs.first()
+    assert pairs.count() == 1 and (r["product_id"], r["related_product_id"], r["pair_count"], r["unique_users"]) == (20, 21, 3, 3)
+    assert r["affinity"] == round(math.sqrt(5) + 2, 3)
+    assert {(x["product_id"], x["related_product_id"]) for x in aggregates.mirror_pairs(pairs).collect()} == {(20, 21), (21, 20)}
+
+
+def test_pairs_meet_by_stretch(spark):
+    plan = aggregates.co_views(valid_events(parse_events(wire(spark, event(1, 2)))), "5 MINUTES")._jdf.queryExecution().optimizedPlan().toString()
+    assert "stretch" in plan.split("Join Inner, ")[1].split("\n")[0]
 
 
 def test_sessions_keep_pairs_apart(spark):
@@ -173,6 +185,77 @@ def test_streamed_pairs_and_bounded_state(spark, tmp_path):
     assert states[-1] <= 1.2 * states[3]
 
 
+def test_late_events_are_dropped(spark, tmp_path):
+    """With RocksDB state: an event below the watermark changes nothing, one above it counts; repeats of an id count once; progress is recorded."""
+    source, before = tmp_path / "in", {k: spark.conf.get(k, None) for k in jobs.state_settings()}
+    source.mkdir()
+    for k, v in jobs.state_settings().items():
+        spark.conf.set(k, v)
+    recorder = jobs.ProgressRecorder(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(recorder)
+    events = jobs.deduplicated(jobs.watermarked(valid_events(parse_events(text_events(spark, str(source)))), "1 minute"))
+    plan = aggregates.trending(events, "1 minute")
+    q = plan.writeStream.format("memory").queryName("late_out").outputMode("update").option("checkpointLocation", str(tmp_path / "c")).start()
+    at = lambda second, i: json.dumps(event(5, 30, second, event_id=i))
+    try:
+        for n, lines in enumerate(([at(0, "a"), at(5, "b"), at(5, "b")], [at(600, "c")], [at(10, "too-late"), at(545, "in-time"), at(600, "c")])):
+            (source / f"{n}.json").write_text("\n".join(lines))
+            q.processAllAvailable()
+        recorded = lambda: spark.read.schema("input_rows long, query string").parquet(str(tmp_path / "progress")).agg(F.sum("input_rows")).first()[0]
+        for _ in range(60):  # the listener is told later
+            if (tmp_path / "progress").exists() and recorded() == 7:
+                break
+            time.sleep(0.5)
+        provider = q.lastProgress.stateOperators[0].customMetrics
+    finally:
+        q.stop()
+        spark.streams.removeListener(recorder)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v else spark.conf.unset(k)
+    counts = {}
+    for r in spark.sql("SELECT window_start, event_count FROM late_out").collect():
+        counts[r["window_start"]] = max(r["event_count"], counts.get(r["window_start"], 0))
+    assert sorted(counts.values()) == [1, 1, 2] and any("rocksdb" in k for k in provider)
+    written = spark.read.parquet(str(tmp_path / "progress"))
+    assert written.agg(F.sum("input_rows")).first()[0] == 7 and written.filter("query = 'late_out'").count() == written.count()
+
+
+def test_fallback_says_why(spark):
+    answers = lambda *r: spark.createDataFrame(r, "query long, item long, rank int")
+    queries = spark.createDataFrame([(1,), (2,)], "query long")
+    learned, affinity = answers((1, 5, 0), (9, 5, 0)), answers((1, 6, 0), (2, 7, 0), (2, 8, 1))
+    seen = lambda df: sorted(tuple(r) for r in df.collect())
+    assert [r[3] for r in seen(ranking.with_fallback(queries, learned, affinity))] == ["learned", "affinity", "affinity"]
+    out = seen(ranking.with_fallback(queries, learned, affinity, "feature list differs"))
+    assert [r[:2] for r in out] == [(1, 6), (2, 7), (2, 8)] and {r[3:] for r in out} == {("affinity", "feature list differs")}
+
+
+def test_model_alerts(spark):
+    rows = lambda *r: spark.createDataFrame(r, "recorded_at string, model_at string, usable boolean, fallbacks long").selectExpr("timestamp(recorded_at) recorded_at", "timestamp(model_at) model_at", "usable", "fallbacks")
+    now = F.lit("2024-03-10 12:00:00").cast("timestamp")
+    found = lambda *r: tuple(health.model_alerts(rows(*r), now).first())
+    assert found(("2024-03-10 11:00:00", "2024-03-01 00:00:00", True, 3), ("2024-03-10 11:59:00", "2024-03-09 00:00:00", True, 9)) == (False, False, False)
+    assert found(("2024-03-10 11:57:00", "2024-03-01 00:00:00", True, 3), ("2024-03-10 11:59:00", "2024-03-01 00:00:00", True, 4)) == (True, False, True)
+    assert found(("2024-03-10 11:57:00", None, False, 3), ("2024-03-10 11:59:00", None, False, 4)) == (None, True, False)
+
+
+def test_manifest_and_export(spark, tmp_path):
+    for day, finished in (("2015-06-01", "2024-01-01T00:00:00"), ("2015-07-01", "2024-01-02T00:00:00")):
+        click_log.append_run(spark, str(tmp_path / "runs"), day, 30, finished)
+    runs = spark.read.parquet(str(tmp_path / "runs"))
+    assert runs.count() == 2 and click_log.newest_first(runs).first()["start_day"] == "2015-07-01"
+    for kind in ("csv", "json"):
+        click_log.write_summary(runs, str(tmp_path / kind), kind)
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == spark.read.json(str(tmp_path / "json")).count() == 2
+
+
+@pytest.mark.parametrize("args", [(10, 6, 10), (10, 0, 4)])
+def test_answers_that_show_a_wrong_set_up(args):
+    evaluation.check_answers(10, 5, 5)
+    with pytest.raises(ValueError, match="of 10 queries"):
+        evaluation.check_answers(*args)
+
+
 def test_emission_delay():
     p = Params()
     assert jobs.emission_delay_minutes(1, 2, 2) == 5 and p.min_pairs == 3

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from tidemark.functions.expressions import session_key
 
@@ -24,20 +25,30 @@ def trending(events: DataFrame, window: str = "1 minute", slide: str | None = No
 
 
 def co_views(events: DataFrame, gap: str) -> DataFrame:
-    """Pairs of events of one session, lower product first, at most `gap` apart, bounds included."""
-    side = lambda p: events.select(session_key(F.col("session_id"), F.col("user_id")).alias(f"{p}_session"), F.col("product_id").alias(f"{p}_product"), F.col("event_time").alias(f"{p}_time"), F.col("user_id").alias(f"{p}_user"), F.col("weight").alias(f"{p}_weight"))
-    near = F.expr(f"l_session = r_session AND l_product < r_product AND r_time >= l_time - INTERVAL {gap} AND r_time <= l_time + INTERVAL {gap}")
-    return side("l").join(side("r"), near)
+    """Pairs of events of one session, lower product first, at most `gap` apart, bounds included: session and the columns of both, low_ and high_.
+
+    In a table, events meet by session and stretch of time, each with its own stretch and the two beside it,
+    so a long session is not paired as a whole. Streams keep what the gap needs as state instead.
+    """
+    own = events.select(session_key(F.col("session_id"), F.col("user_id")).alias("session"), F.col("event_time").alias("time"), F.col("product_id").alias("product"), "weight", F.col("user_id").alias("user"))
+    within = F.expr(f"low_product < high_product AND high_time BETWEEN low_time - INTERVAL {gap} AND low_time + INTERVAL {gap}")
+    named = lambda df, p: df.select(*(F.col(c).alias(c if c == "stretch" else f"{p}_{c}") for c in df.columns))
+    if events.isStreaming:
+        return named(own, "low").join(named(own, "high"), within & F.expr("low_session = high_session")).drop("high_session")
+    width = F.greatest(F.expr(f"unix_micros(timestamp_seconds(0) + INTERVAL {gap})"), F.lit(1))
+    wall = "(datediff(time, DATE'1970-01-01') * 86400L + hour(time) * 3600 + minute(time) * 60) * 1000000 + cast(extract(SECOND FROM time) * 1000000 AS BIGINT)"
+    micros = F.expr(wall) if isinstance(own.schema["time"].dataType, TimestampNTZType) else F.unix_micros("time")
+    stretch = F.floor(micros / width)
+    beside = F.explode(F.sequence(stretch - 1, stretch + 1))
+    low, high = named(own.withColumn("stretch", stretch), "low"), named(own.withColumn("stretch", beside), "high")
+    return low.join(high, within & (low["stretch"] == high["stretch"]) & F.expr("low_session = high_session")).drop("stretch", "high_session")
 
 
 def co_occurrence(events: DataFrame, gap: str = "2 minutes", window: str = "1 minute", exact: bool = False) -> DataFrame:
     """Per window of the lower product's time and product pair: pairs of events, affinity, users."""
-    pairs = co_views(events, gap).withColumn("pair_weight", F.sqrt(F.col("l_weight") * F.col("r_weight")))
-    return (
-        pairs.groupBy(F.window("l_time", window).alias("w"), "l_product", "r_product")
-        .agg(F.count("*").alias("pair_count"), F.round(F.sum("pair_weight"), 3).alias("affinity"), users("l_user", exact).alias("unique_users"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), F.col("l_product").alias("product_id"), F.col("r_product").alias("related_product_id"), "pair_count", "affinity", "unique_users")
-    )
+    found = co_views(events, gap).groupBy(F.window("low_time", window).alias("w"), F.col("low_product").alias("product_id"), F.col("high_product").alias("related_product_id"))
+    counted = found.agg(F.count("*").alias("pair_count"), F.round(F.sum(F.sqrt(F.col("low_weight") * F.col("high_weight"))), 3).alias("affinity"), users("low_user", exact).alias("unique_users"))
+    return counted.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *counted.columns[1:])
 
 
 def mirror_pairs(pairs: DataFrame) -> DataFrame:

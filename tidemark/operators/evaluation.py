@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,21 +75,18 @@ def sample_cases(cases: DataFrame, n: int, seed: int = 7) -> DataFrame:
 def paired_bootstrap(a: DataFrame, b: DataFrame, draws: int = 1000, seed: int = 7) -> DataFrame:
     """mean difference of hits and a 95 % interval over draws that resample the cases with replacement.
 
-    Each case gets a Poisson(1) weight per draw from a hash, so draws need no index join; a draw's mean
-    is that of its weighted cases.
+    A case's difference is -1, 0 or 1, so a draw of as many cases is a multinomial draw of the three counts:
+    the cases themselves are only counted, and the draws are made from one row.
     """
-    d = a.select("case", F.col("hit").cast("int").alias("x")).join(b.select("case", F.col("hit").cast("int").alias("y")), "case").select("case", (F.col("x") - F.col("y")).alias("d"))
-    d = d.filter("d is not null")
-    each = d.select("d", "case", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw"))
-    u = F.pmod(F.xxhash64(F.lit(seed), "draw", "case"), F.lit(1 << 40)) / float(1 << 40)
-    times, chance, upto = F.lit(0), 0.36787944117144233, 0.0
-    for k in range(8):
-        upto += chance
-        times = times + (u >= upto).cast("int")
-        chance /= k + 1
-    means = each.withColumn("times", times).groupBy("draw").agg((F.sum(F.col("d") * F.col("times")) / F.nullif(F.sum("times"), F.lit(0))).alias("m"))
-    order = means.agg(F.array_sort(F.collect_list("m")).alias("s"))
-    return d.agg(F.avg("d").alias("mean")).crossJoin(order).select("mean", F.col("s")[int(0.025 * draws)].alias("low"), F.col("s")[int(0.975 * draws) - 1].alias("high"))
+    d = a.select("case", F.col("hit").cast("int").alias("x")).join(b.select("case", F.col("hit").cast("int").alias("y")), "case").select((F.col("x") - F.col("y")).alias("d"))
+    held = {r["d"]: r["n"] for r in d.filter("d is not null").groupBy("d").agg(F.count("*").alias("n")).collect()}
+    counts = np.array([held.get(k, 0) for k in (-1, 0, 1)])
+    n, row = int(counts.sum()), (None, None, None)
+    if n:
+        drawn = np.random.default_rng(seed).multinomial(n, counts / n, draws)
+        means = np.sort((drawn[:, 2] - drawn[:, 0]) / n)
+        row = (float(counts[2] - counts[0]) / n, float(means[int(0.025 * draws)]), float(means[max(int(0.975 * draws) - 1, 0)]))
+    return a.sparkSession.createDataFrame([row], "mean double, low double, high double")
 
 
 def folds(events: DataFrame, starts: tuple[float, ...], train_days: float, label_days: float, test_days: float) -> DataFrame:

@@ -110,5 +110,19 @@ def alerts(latest: DataFrame, slopes: DataFrame, growing: DataFrame, now: Column
     return j.select("query", (F.timestamp_diff("SECOND", F.col("recorded_at"), now) > stale_seconds).alias("stale"), (F.col("batch_duration_ms") > slow_ms).alias("slow_batch"), F.coalesce("lag_growing", F.lit(False)).alias("lag_growing"), F.coalesce(F.col("slope") > slope, F.lit(False)).alias("state_growing"))
 
 
+def model_alerts(ranker: DataFrame, now: Column, days: float = 7, minutes: float = 5) -> DataFrame:
+    """model_stale, unusable, falling_back from rows (recorded_at, model_at, usable, fallbacks) of a ranker, the newest counting.
+
+    Stale: the model is older than so many days. Unusable: no model can be used. Falling back: the number of
+    fallbacks has grown in the last minutes although a model can be used. One row; nulls without rows.
+    """
+    last = lambda c: F.max_by(c, "recorded_at")
+    lately = F.col("recorded_at") >= F.timestamp_seconds(F.unix_seconds(now) - int(60 * minutes))
+    grown = F.max(F.when(lately, F.col("fallbacks"))) - F.min(F.when(lately, F.col("fallbacks")))
+    r = ranker.agg(last("model_at").alias("model_at"), last("usable").alias("usable"), F.coalesce(grown, F.lit(0)).alias("grown"))
+    old = F.timestamp_diff("SECOND", F.col("model_at"), now) > days * 86400
+    return r.select(old.alias("model_stale"), (~F.col("usable")).alias("unusable"), ((F.col("grown") > 0) & F.col("usable")).alias("falling_back"))
+
+
 def last_full_window(rows: DataFrame, now: Column) -> DataFrame:
     return rows.filter(F.col("window_end") <= now).agg(F.max("window_start").alias("window_start"), F.max("window_end").alias("window_end"))

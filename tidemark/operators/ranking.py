@@ -57,20 +57,41 @@ def category_top(snap: DataFrame, catalog: DataFrame, level: str = "category", n
     return top(snap.join(c, "id"), [F.col("views").desc(), "id"], ["group"], n).select("group", F.col("id").alias("item"), "rank")
 
 
-def similar_items(vectors: DataFrame, n: int = 30, blocks: int = 8, queries: str = "true") -> DataFrame:
+def similar_items(vectors: DataFrame, n: int = 30, block: int = 2048, queries: str = "true") -> DataFrame:
     """query, item, cos, rank: exact cosine neighbours, among all items of (id, vector), of those that `queries` (SQL over id) names.
 
-    Items are dealt to blocks and each pair of blocks meets once, so no task holds more than two blocks;
-    each block pair keeps its n best before the last ranking.
+    Items and queries are dealt to blocks of about `block` rows, and every block of queries meets every
+    block of items as a group of its own; each pair of blocks keeps its n best before the last ranking.
     """
-    unit = vectors.select("id", unit_vector(F.col("vector")).alias("v"), F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("b"))
-    left = unit.filter(queries).select(F.col("id").alias("query"), F.col("v").alias("qv"), F.col("b").alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"))
-    pairs = left.join(unit.select(F.col("id").alias("item"), "v", F.col("b").cast("int").alias("b")), "b").filter("item <> query")
-    pairs = pairs.select("query", "item", "b", F.round(dot(F.col("qv"), F.col("v")), 6).alias("cos"))
+    blocks = max(1, -(-vectors.count() // block))
+    unit = vectors.select("id", unit_vector(F.col("vector")).alias("v"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("own"))
+    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    left = unit.filter(queries).select(F.col("id").alias("query"), F.col("v").alias("qv"), F.col("own").alias("qb"), other.alias("b"))
+    right = unit.select(F.col("id").alias("item"), "v", F.col("own").alias("b"), other.alias("qb"))
+    pairs = left.join(right, ["qb", "b"]).filter("item <> query").select("query", "item", "b", F.round(dot(F.col("qv"), F.col("v")), 6).alias("cos"))
     order = [F.col("cos").desc(), "item"]
     return top(top(pairs, order, ["query", "b"], n).drop("rank"), order, ["query"], n).drop("b")
 
 
+def blend(recommenders: list[DataFrame], limit: int) -> DataFrame:
+    """query, item, source, place of several (query, item, rank): the first recommender's items, then the next one's, each item once."""
+    every = None
+    for i, df in enumerate(recommenders):
+        rows = df.select("query", "item", "rank", F.lit(i).alias("source"))
+        every = rows if every is None else every.unionByName(rows)
+    first = top(every, ["source", "rank"], ["query", "item"], 1, "seen")
+    return top(first, ["source", "rank"], ["query"], limit, "place").select("query", "item", "source", "place")
+
+
+def with_fallback(queries: DataFrame, learned: DataFrame, affinity: DataFrame, unusable: str | None = None) -> DataFrame:
+    """query, item, rank, scored_by, learned_unavailable: the learned answer (query, item, rank) of each query, or the affinity
+    answer and why: `unusable`, if the model can't be used at all, else that it has no answer for the query."""
+    use = learned.filter(F.lit(unusable is None)).join(queries.select("query").distinct(), "query", "left_semi")
+    rest = queries.select("query").distinct().join(use.select("query").distinct(), "query", "left_anti")
+    answer = lambda df, by, why: df.select("query", "item", "rank", F.lit(by).alias("scored_by"), F.lit(why).cast("string").alias("learned_unavailable"))
+    return answer(use, "learned", None).unionByName(answer(affinity.join(rest, "query", "left_semi"), "affinity", unusable or "no learned answer for the item"))
+
+
 def candidates(queries: DataFrame, near: DataFrame, snap: DataFrame, catalog: DataFrame, similar: DataFrame, hops: DataFrame, params: Params = Params()) -> DataFrame:  # noqa: B008
     """query, item, origin, place: the union of six ranked sources, each item from the first that has it.
 

@@ -35,10 +35,15 @@ def test_cases(items: DataFrame) -> DataFrame:
 
 
 def visit_pairs(visits: DataFrame, seconds: int = 120) -> DataFrame:
-    """item_a < item_b, n: pairs of views of one visit at most so many seconds apart."""
-    side = lambda p: visits.select("visitor", "visit", F.col("item").alias(f"{p}_item"), F.col("at").alias(f"{p}_at"))
-    j = side("l").join(side("r"), ["visitor", "visit"]).filter(f"l_item < r_item and abs(r_at - l_at) <= {seconds}")
-    return j.groupBy(F.col("l_item").alias("item_a"), F.col("r_item").alias("item_b")).agg(F.count("*").alias("n"))
+    """item_a < item_b, n: pairs of views of one visit at most so many seconds apart.
+
+    Views meet by visit and stretch of so many seconds, each with its own stretch and the two beside it.
+    """
+    stretch = F.floor(F.col("at") / max(seconds, 1)).cast("long")
+    a = visits.select("visitor", "visit", stretch.alias("stretch"), F.col("item").alias("item_a"), F.col("at").alias("a_at"))
+    b = visits.select("visitor", "visit", F.explode(F.sequence(stretch - 1, stretch + 1)).alias("stretch"), F.col("item").alias("item_b"), F.col("at").alias("b_at"))
+    near = a.join(b, ["visitor", "visit", "stretch"]).filter(f"item_a < item_b and abs(b_at - a_at) <= {seconds}")
+    return near.groupBy("item_a", "item_b").agg(F.count("*").alias("n"))
 
 
 def visitor_pairs(events: DataFrame, most_items: int = 30, least: int = 2) -> DataFrame:

@@ -195,7 +195,7 @@ def q_basket_pairs(s, d):
 
 @query("SELECT l.session, count(*) AS pairs FROM clicks l JOIN clicks r ON l.session = r.session AND l.product_id < r.product_id AND r.event_time BETWEEN l.event_time - INTERVAL 24 HOUR AND l.event_time + INTERVAL 24 HOUR GROUP BY 1")
 def q_sessionless_pairs(s, d):
-    return a.co_views(v.clicks(s, d), v.GAP).groupBy(F.col("l_session").alias("session")).agg(F.count("*").alias("pairs"))
+    return a.co_views(v.clicks(s, d), v.GAP).groupBy(F.col("low_session").alias("session")).agg(F.count("*").alias("pairs"))
 
 
 @query("SELECT * FROM pairs")
@@ -389,12 +389,6 @@ def q_reclock(s, d):
     return log.select("event_id", x.reclock(F.col("at"), log.agg(F.min("at")).scalar(), 1700000000.0, 100.0).alias("at"))
 
 
-@query("SELECT DISTINCT event_id, user_id FROM clicks WHERE event_type = 'view'")
-def q_dedupe_events(s, d):
-    c = v.clicks(s, d).filter("event_type = 'view'").select("event_id", "user_id")
-    return c.unionByName(c).dropDuplicates(["event_id"])
-
-
 # ---- ranking
 
 @query("SELECT * FROM snap")
@@ -606,11 +600,9 @@ def q_folds(s, d):
 SELECT query, item, src AS source, row_number() OVER (PARTITION BY query ORDER BY src, rank) - 1 AS place FROM (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY query, item ORDER BY src, rank) = 1) QUALIFY row_number() OVER (PARTITION BY query ORDER BY src, rank) <= 10""")
 def q_blend(s, d):
     pairs, catalog = v.pair_table(s, d), v.click_catalog(s, d)
-    co = a.top(r.neighbours(pairs), [F.col("n").desc(), "item"], ["query"], 5).select("query", "item", "rank", F.lit(0).alias("source"))
+    co = a.top(r.neighbours(pairs), [F.col("n").desc(), "item"], ["query"], 5)
     cat = catalog.select(F.col("id").alias("query"), F.col("category").alias("group")).join(r.category_top(r.snapshot(v.trending_table(s, d)), catalog), "group").filter("item <> query")
-    every = co.unionByName(cat.select("query", "item", "rank", F.lit(1).alias("source")))
-    first = a.top(every, ["source", "rank"], ["query", "item"], 1, "seen")
-    return a.top(first, ["source", "rank"], ["query"], LIMIT, "place").select("query", "item", "source", "place")
+    return r.blend([co, cat], LIMIT)
 
 
 # ---- health

@@ -18,13 +18,19 @@ PARAMS = Params(watermark="60 days", window="1 day", gap="2 hours")
 
 
 def _root(spark: SparkSession) -> str:
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints'}/{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = "/tmp/checkpoints"  # one machine, as in tests
+    return f"{shared}/{uuid.uuid4().hex}"
 
 
-def fed(spark: SparkSession, d: str, root: str, parts: int = 4) -> DataFrame:
-    """The wire events as a stream of text files, in time order, and an event far past the end that closes all windows."""
+def fed(spark: SparkSession, d: str, root: str, parts: int = 4, copies: int = 1) -> DataFrame:
+    """The wire events as a stream of text files, in time order, and an event far past the end that closes all windows. Each line comes `copies` times."""
     w = v.wire(spark, d).join(v.raw_clicks(spark, d).select("event_id", "event_time"), "event_id")
     lines = w.select(F.col("value").cast("string").alias("value"), "event_time").filter("value is not null")
+    lines = lines.withColumn("copy", F.explode(F.array_repeat(F.lit(1), copies))).drop("copy")
     order = lines.repartitionByRange(parts, "event_time").sortWithinPartitions("event_time").select("value")
     order.write.text(f"{root}/in/events")
     last = lines.agg(F.max(F.expr(f"timestampdiff(SECOND, {EPOCH}, event_time)")).alias("t")).collect()[0]["t"] or 0
@@ -71,12 +77,22 @@ def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
     return table.read(spark).filter("user_id >= 0").select(F.col("user_id").cast("long").alias("user_id"), _seconds("started"), "events")
 
 
+def stream_dedupe(spark: SparkSession, d: str) -> DataFrame:
+    """The valid events of a stream that has each line twice, once by event id."""
+    root = _root(spark)
+    events = jobs.deduplicated(jobs.watermarked(valid_events(parse_events(fed(spark, d, root, copies=2))), PARAMS.watermark))
+    table = jobs.KeyedTable(f"{root}/events", ())
+    query = events.select("event_id", "user_id").writeStream.outputMode("append").option("checkpointLocation", f"{root}/checkpoints/events").foreachBatch(table.writer()).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return table.read(spark).filter("user_id >= 0").select("event_id", F.col("user_id").cast("long").alias("user_id"))
+
+
 # The wire view in SQL: events that survive validation.
 _GOOD = f"""(SELECT *, epoch(date_trunc('second', event_time))::BIGINT AS t FROM raw_clicks WHERE event_id % 23 <> 0 AND event_id % 31 <> 0 AND event_id % 29 <> 0 AND event_id % 37 <> 0 AND event_id % 41 <> 0 AND event_type IN ({v.TYPES}))"""
 REASON = f"""CASE WHEN event_id % 23 = 0 THEN 'not_json_or_empty' WHEN event_id % 31 = 0 THEN 'unsupported_schema_version:99' WHEN event_id % 29 = 0 THEN 'missing_or_invalid:user_id'
  WHEN event_id % 37 = 0 THEN 'missing_or_invalid:product_id' WHEN event_id % 41 = 0 THEN 'missing_or_invalid:timestamp' WHEN event_type NOT IN ({v.TYPES}) THEN 'unknown_event_type:' || event_type END"""
 
-QUERIES = {"stream_trending": stream_trending, "stream_pairs": stream_pairs, "stream_dead_letter": stream_dead_letter, "stream_sessions": stream_sessions}
+QUERIES = {"stream_trending": stream_trending, "stream_pairs": stream_pairs, "stream_dead_letter": stream_dead_letter, "stream_sessions": stream_sessions, "stream_dedupe": stream_dedupe}
 SQL = {
     "stream_trending": v.sql(f"SELECT t // 86400 * 86400 AS window_start, product_id, count(*) AS event_count, count(*) FILTER (event_type = 'view') AS views, 0::BIGINT AS carts, count(*) FILTER (event_type = 'purchase') AS purchases, round(sum(weight), 3) AS score FROM {_GOOD} GROUP BY 1, 2"),
     "stream_pairs": v.sql(f"""SELECT window_start, unnest([a, b]) AS product_id, unnest([b, a]) AS related_product_id, pair_count, affinity FROM (
@@ -84,5 +100,6 @@ SQL = {
   FROM {_GOOD} l JOIN {_GOOD} r ON l.user_id = r.user_id AND l.product_id < r.product_id AND abs(l.t - r.t) <= 7200 GROUP BY ALL)"""),
     "stream_sessions": v.sql(f"""SELECT user_id, min(t) AS started, count(*) AS events FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY t, event_id) AS visit FROM (
   SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY user_id ORDER BY t, event_id) <= 1800 THEN 0 ELSE 1 END AS new FROM {_GOOD})) GROUP BY user_id, visit"""),
+    "stream_dedupe": v.sql(f"SELECT event_id::VARCHAR AS event_id, user_id FROM {_GOOD}"),
     "stream_dead_letter": v.sql(f"SELECT invalid_reason, count(*) AS n FROM (SELECT {REASON} AS invalid_reason FROM raw_clicks) WHERE invalid_reason IS NOT NULL GROUP BY 1"),
 }

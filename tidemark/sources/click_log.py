@@ -93,6 +93,12 @@ def write_summary(df: DataFrame, path: str, kind: str = "csv") -> None:
     (df.write.option("header", True).csv if kind == "csv" else df.write.json)(path)
 
 
+def append_run(spark: SparkSession, path: str, start_day: str, days: float, finished_at: str) -> None:
+    """Adds a run to the manifest at `path`; runs are never changed."""
+    kinds = "start_day string, days double, finished_at string"
+    spark.createDataFrame([(start_day, float(days), finished_at)], kinds).coalesce(1).write.mode("append").parquet(path)
+
+
 def newest_first(runs: DataFrame, by: str = "finished_at") -> DataFrame:
     """The latest run of a manifest, one row."""
     return runs.orderBy(F.col(by).desc()).limit(1)
