@@ -13,14 +13,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, beside, slices, staged, table, windows
+from tidemark.llm.common import SLICE_BYTES, WordHashes, beside, slices, split_words, staged, table, windows
 from tidemark.llm.components import components
 from tidemark.llm.token_files import decode_values, encode_values
 
 #: Bytes of text of a chunk, whose shingles are counted and asked about together, and chunks to a counting bucket.
 CHUNK_BYTES, CHUNKS_PER_BUCKET = 8_000_000, 4
-#: High bits of a shingle's hash that it is counted by.
-COUNTED_BITS = 40
+#: High bits of a shingle's hash that it is counted by, and values of a chunk that are merged with other chunks' at a time.
+COUNTED_BITS, STRETCH = 40, 1 << 16
 #: Documents that are compared in one block; larger lists are compared block by block.
 BLOCK = 2048
 #: Columns of the dense matrix that a block's shingles are multiplied in, and rows that are compared at a time.
@@ -29,16 +29,26 @@ COLUMNS, TILE = 4096, 512
 
 def _sets(texts: list[bytes], size: int, hashes: WordHashes) -> list[np.ndarray]:
     """Sorted different shingle hashes of each text; of fewer words than `size`, one for the whole sequence."""
-    words = [t.lower().split() for t in texts]
-    h = hashes.of([w for x in words for w in x])
-    all_, at, out = windows(h, size), 0, []
-    for x in words:
-        n = len(x)
-        out.append(np.unique(all_[at : at + n - size + 1]) if n >= size else windows(h[at : at + n], n) if n else h[:0])
-        at += n
+    out, first, held = [], 0, 0
+    for last, t in enumerate(texts, 1):
+        held += len(t)
+        if held < SLICE_BYTES and last < len(texts):
+            continue
+        number, different, count = split_words(texts[first:last], lower=True)
+        h = hashes.of(different)[number]
+        all_, at = windows(h, size), 0
+        for n in count.tolist():
+            out.append(np.unique(all_[at : at + n - size + 1]) if n >= size else windows(h[at : at + n], n) if n else h[:0])
+            at += n
+        first, held = last, 0
     return out
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows with lists of megabytes, one at a time, as a batch of them twice over is more than a worker should hold."""
+    return (batch.slice(i, 1).to_pylist()[0] for batch in batches for i in range(batch.num_rows))
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     task, number, ids, uids, texts, held = TaskContext.get().partitionId(), 0, [], [], [], 0
 
@@ -69,16 +79,15 @@ def _asked(size: int, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
-            for row in batch.to_pylist():
-                value, count = _counted(_sets(row["texts"], size, hashes))
-                ends = np.searchsorted(value, np.arange(buckets + 1, dtype=np.uint64) * np.uint64((1 << COUNTED_BITS) // buckets + 1))
-                for k in np.flatnonzero(np.diff(ends)):
-                    part = slice(ends[k], ends[k + 1])
-                    step = np.diff(value[part], prepend=np.uint64(0))
-                    control, data = encode_values(step & np.uint64(0xFFFFFFFF))
-                    high, many = (zlib.compress(v, 1) for v in ((step >> np.uint64(32)).astype(np.uint8).tobytes(), b"".join(encode_values(count[part]))))
-                    yield pa.record_batch([pa.array([v]) for v in (row["chunk"], int(k), control, data, high, many)], ["chunk", "bucket", "control", "data", "high", "many"])
+        for row in _rows(batches):
+            value, count = _counted(_sets(row["texts"], size, hashes))
+            ends = np.searchsorted(value, np.arange(buckets + 1, dtype=np.uint64) * np.uint64((1 << COUNTED_BITS) // buckets + 1))
+            for k in np.flatnonzero(np.diff(ends)):
+                part = slice(ends[k], ends[k + 1])
+                step = np.diff(value[part], prepend=np.uint64(0))
+                control, data = encode_values(step & np.uint64(0xFFFFFFFF))
+                high, many = (zlib.compress(v, 1) for v in ((step >> np.uint64(32)).astype(np.uint8).tobytes(), b"".join(encode_values(count[part]))))
+                yield pa.record_batch([pa.array([v]) for v in (row["chunk"], int(k), control, data, high, many)], ["chunk", "bucket", "control", "data", "high", "many"])
 
     return run
 
@@ -93,23 +102,27 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             high = np.frombuffer(zlib.decompress(r["high"]), np.uint8).astype(np.uint64)
             value.append(np.cumsum(decode_values(r["control"], r["data"], len(high)).astype(np.uint64) | (high << np.uint64(32))))
             control = -(-len(high) // 4)
-            count.append(decode_values(many[:control], many[control:], len(high)).astype(np.int64))
-        every = np.concatenate(value)
-        by = np.argsort(every, kind="stable")
-        first = np.flatnonzero(np.r_[True, np.diff(every[by]) > 0])
-        known, total = every[by][first], np.add.reduceat(np.concatenate(count)[by], first)
-        level = np.floor(np.log2(total)).astype(np.uint8)
-        out = [zlib.compress(level[np.searchsorted(known, v)].tobytes(), 1) for v in value]
+            count.append(decode_values(many[:control], many[control:], len(high)))
+        cuts = max(value, key=len)[STRETCH::STRETCH]
+        ends = [np.r_[0, np.searchsorted(v, cuts), len(v)] for v in value]
+        level = [np.empty(len(v), np.uint8) for v in value]
+        for k in range(len(cuts) + 1):
+            part = [slice(e[k], e[k + 1]) for e in ends]
+            every, number = np.unique(np.concatenate([v[p] for v, p in zip(value, part, strict=True)]), return_inverse=True)
+            total = np.bincount(number, np.concatenate([c[p] for c, p in zip(count, part, strict=True)]), len(every))
+            both = np.split(np.floor(np.log2(total)).astype(np.uint8)[number], np.cumsum([p.stop - p.start for p in part])[:-1])
+            for out, p, v in zip(level, part, both, strict=True):
+                out[p] = v
+        out = [zlib.compress(v.tobytes(), 1) for v in level]
         return pa.record_batch([pa.array([r["chunk"] for r in rows], pa.int64()), pa.array([bucket] * len(rows), pa.int64()), pa.array(out, pa.binary())], ["chunk", "bucket", "levels"])
 
     bucket, rows = None, []
-    for batch in batches:
-        for r in batch.to_pylist():
-            if r["bucket"] != bucket:
-                if rows:
-                    yield levels(bucket, rows)
-                bucket, rows = r["bucket"], []
-            rows.append(r)
+    for r in _rows(batches):
+        if r["bucket"] != bucket:
+            if rows:
+                yield levels(bucket, rows)
+            bucket, rows = r["bucket"], []
+        rows.append(r)
     if rows:
         yield levels(bucket, rows)
 
@@ -117,32 +130,31 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _prefixes(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, shift = WordHashes(), np.uint64(64 - COUNTED_BITS)
-        for batch in batches:
-            for row in batch.to_pylist():
-                sets = _sets(row["texts"], size, hashes)
-                value, _ = _counted(sets)
-                parts = sorted((x["bucket"], x["levels"]) for x in row["answers"] or [])
-                levels = np.frombuffer(b"".join(zlib.decompress(x) for _, x in parts), np.uint8)
-                prefix, group, whole = [], [], []
-                for s in sets:
-                    n = len(s)
-                    level = levels[np.searchsorted(value, s >> shift)]
-                    p = s[np.lexsort((s, level))][: n - (percent * n + 99) // 100 + 1] if n else s
-                    prefix.append(p.view(np.int64))
-                    group.append(xxhash.xxh3_128_digest(p.tobytes() + n.to_bytes(8, "little")))
-                    whole.append(xxhash.xxh3_128_digest(s.tobytes()))
-                ends = np.cumsum([0, *map(len, prefix)])
-                yield pa.record_batch(
-                    [
-                        pa.array(row["doc_ids"], pa.int64()),
-                        pa.array(row["uids"], pa.int64()),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(whole, pa.binary()),
-                        pa.array(group, pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefix))),
-                    ],
-                    ["doc_id", "uid", "n_shingles", "whole", "grp", "prefix"],
-                )
+        for row in _rows(batches):
+            sets = _sets(row["texts"], size, hashes)
+            value, _ = _counted(sets)
+            parts = sorted((x["bucket"], x["levels"]) for x in row["answers"] or [])
+            levels = np.frombuffer(b"".join(zlib.decompress(x) for _, x in parts), np.uint8)
+            prefix, group, whole = [], [], []
+            for s in sets:
+                n = len(s)
+                level = levels[np.searchsorted(value, s >> shift)]
+                p = s[np.lexsort((s, level))][: n - (percent * n + 99) // 100 + 1] if n else s
+                prefix.append(p.view(np.int64))
+                group.append(xxhash.xxh3_128_digest(p.tobytes() + n.to_bytes(8, "little")))
+                whole.append(xxhash.xxh3_128_digest(s.tobytes()))
+            ends = np.cumsum([0, *map(len, prefix)])
+            yield pa.record_batch(
+                [
+                    pa.array(row["doc_ids"], pa.int64()),
+                    pa.array(row["uids"], pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(whole, pa.binary()),
+                    pa.array(group, pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefix))),
+                ],
+                ["doc_id", "uid", "n_shingles", "whole", "grp", "prefix"],
+            )
 
     return run
 
