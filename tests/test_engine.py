@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import expressions as x
-from tidemark.operators import aggregates, evaluation, health, maintain, ranking, related, sessions
+from tidemark.operators import aggregates, evaluation, health, maintain, ranking, related, sessions, vectors
 from tidemark.plans import queries
 from tidemark.schema import Params
 from tidemark.sources import click_log
@@ -234,7 +234,8 @@ def test_model_alerts(spark):
     rows = lambda *r: spark.createDataFrame(r, "recorded_at string, model_at string, usable boolean, fallbacks long").selectExpr("timestamp(recorded_at) recorded_at", "timestamp(model_at) model_at", "usable", "fallbacks")
     now = F.lit("2024-03-10 12:00:00").cast("timestamp")
     found = lambda *r: tuple(health.model_alerts(rows(*r), now).first())
-    assert found(("2024-03-10 11:00:00", "2024-03-01 00:00:00", True, 3), ("2024-03-10 11:59:00", "2024-03-09 00:00:00", True, 9)) == (False, False, False)
+    assert found(("2024-03-10 11:00:00", "2024-03-01 00:00:00", True, 3), ("2024-03-10 11:59:00", "2024-03-09 00:00:00", True, 9)) == (False, False, True)  # since the record before
+    assert found(("2024-03-10 11:57:00", "2024-03-09 00:00:00", True, 9), ("2024-03-10 11:59:00", "2024-03-09 00:00:00", True, 0)) == (False, False, False)  # a restart
     assert found(("2024-03-10 11:57:00", "2024-03-01 00:00:00", True, 3), ("2024-03-10 11:59:00", "2024-03-01 00:00:00", True, 4)) == (True, False, True)
     assert found(("2024-03-10 11:57:00", None, False, 3), ("2024-03-10 11:59:00", None, False, 4)) == (None, True, False)
 
@@ -261,7 +262,7 @@ def test_emission_delay():
     assert jobs.emission_delay_minutes(1, 2, 2) == 5 and p.min_pairs == 3
 
 
-@pytest.mark.parametrize("name, module, operator, want", [("item2vec", ranking, "item_vectors", {"size": 64, "iterations": 15}), ("bootstrap", evaluation, "paired_bootstrap", {"draws": 1000})])
+@pytest.mark.parametrize("name, module, operator, want", [("item2vec", vectors, "item_vectors", {"size": 64, "window": 5}), ("bootstrap", evaluation, "paired_bootstrap", {"draws": 1000})])
 def test_registered_at_full_size(spark, monkeypatch, name, module, operator, want):
     class Called(Exception):
         pass

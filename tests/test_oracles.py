@@ -21,7 +21,7 @@ def test_query(spark, tables, name):
     assert_same(queries.QUERIES[name](spark, FOLDER), tables, queries.SQL[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.SQL) - {"learned_order"}))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.SQL)))
 def test_query_without_sql(spark, name):
     assert queries.QUERIES[name](spark, FOLDER).count() > 0
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from tidemark.functions.expressions import session_key
+from tidemark.shared import stored
 
 
 def users(column: str, exact: bool) -> Column:
@@ -24,24 +25,54 @@ def trending(events: DataFrame, window: str = "1 minute", slide: str | None = No
     )
 
 
-def co_views(events: DataFrame, gap: str) -> DataFrame:
+#: Rows of one (key, stretch) that a task pairs on one side; more are dealt to several tasks.
+STRETCH_ROWS = 20_000
+
+
+def nearby(rows: DataFrame, keys: list[str], stretch: Column, order: str, stretch_rows: int | None = None) -> DataFrame:
+    """Pairs of rows of equal `keys` whose `stretch` numbers are equal or follow each other: the columns of both, first_ and then_.
+
+    The earlier row by `order` goes to its own stretch and the next one, the later row to its own alone: three rows
+    a row. Callers tell the earlier from the later and bound the distance; stretches are as wide as that bound, so
+    no pair is missed. Keys with more than stretch_rows rows in one stretch are counted first: their later rows are dealt
+    to as many salts as it takes, and the earlier rows go to each of them.
+    """
+    most = stretch_rows or STRETCH_ROWS
+    own = rows.withColumn("stretch", stretch)
+    named = lambda df, p: df.select(*(F.col(c).alias(c if c in (*keys, "stretch", "salt") else f"{p}_{c}") for c in df.columns))
+    hot = own.groupBy(*keys, "stretch").agg(F.count("*").alias("n")).filter(F.col("n") > most)
+    hot = stored(hot.select(*keys, "stretch", F.ceil(F.col("n") / most).cast("int").alias("salts")))
+    first = own.withColumn("stretch", F.explode(F.array("stretch", F.col("stretch") + 1)))
+    if hot.isEmpty():
+        return named(first, "first").join(named(own, "then"), [*keys, "stretch"]).drop("stretch")
+    # hot keys are few: each has over `most` rows
+    salts = F.coalesce("salts", F.lit(1))
+    first = first.join(hot, [*keys, "stretch"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    then = own.join(hot, [*keys, "stretch"], "left").withColumn("salt", F.pmod(F.xxhash64(order, *(c for c in rows.columns if c not in keys)), salts).cast("int")).drop("salts")
+    return named(first, "first").join(named(then, "then"), [*keys, "stretch", "salt"]).drop("stretch", "salt")
+
+
+def co_views(events: DataFrame, gap: str, stretch_rows: int | None = None) -> DataFrame:
     """Pairs of events of one session, lower product first, at most `gap` apart, bounds included: session and the columns of both, low_ and high_.
 
-    In a table, events meet by session and stretch of time, each with its own stretch and the two beside it,
-    so a long session is not paired as a whole. Streams keep what the gap needs as state instead.
+    In a table, events meet by session and stretch of time, so a long session is not paired as a whole. Streams keep
+    what the gap needs as state instead.
     """
     own = events.select(session_key(F.col("session_id"), F.col("user_id")).alias("session"), F.col("event_time").alias("time"), F.col("product_id").alias("product"), "weight", F.col("user_id").alias("user"))
-    within = F.expr(f"low_product < high_product AND high_time BETWEEN low_time - INTERVAL {gap} AND low_time + INTERVAL {gap}")
-    named = lambda df, p: df.select(*(F.col(c).alias(c if c == "stretch" else f"{p}_{c}") for c in df.columns))
     if events.isStreaming:
-        return named(own, "low").join(named(own, "high"), within & F.expr("low_session = high_session")).drop("high_session")
+        named = lambda p: own.select(*(F.col(c).alias(f"{p}_{c}") for c in own.columns))
+        within = F.expr(f"low_session = high_session AND low_product < high_product AND high_time BETWEEN low_time - INTERVAL {gap} AND low_time + INTERVAL {gap}")
+        return named("low").join(named("high"), within).drop("high_session")
     width = F.greatest(F.expr(f"unix_micros(timestamp_seconds(0) + INTERVAL {gap})"), F.lit(1))
     wall = "(datediff(time, DATE'1970-01-01') * 86400L + hour(time) * 3600 + minute(time) * 60) * 1000000 + cast(extract(SECOND FROM time) * 1000000 AS BIGINT)"
     micros = F.expr(wall) if isinstance(own.schema["time"].dataType, TimestampNTZType) else F.unix_micros("time")
-    stretch = F.floor(micros / width)
-    beside = F.explode(F.sequence(stretch - 1, stretch + 1))
-    low, high = named(own.withColumn("stretch", stretch), "low"), named(own.withColumn("stretch", beside), "high")
-    return low.join(high, within & (low["stretch"] == high["stretch"]) & F.expr("low_session = high_session")).drop("stretch", "high_session")
+    known = own.filter("session is not null and time is not null and product is not null")
+    met = nearby(known, ["session"], F.floor(micros / width), "time", stretch_rows)
+    met = met.filter(F.expr(f"then_time <= first_time + INTERVAL {gap} AND (first_time < then_time AND first_product <> then_product OR first_time = then_time AND first_product < then_product)"))
+    lower = F.col("first_product") < F.col("then_product")
+    pick = lambda a, b, c, p: F.when(lower, F.col(f"{a}_{c}")).otherwise(F.col(f"{b}_{c}")).alias(f"{p}_{c}")
+    kinds = [c for c in own.columns if c != "session"]
+    return met.select(F.col("session").alias("low_session"), *(pick("first", "then", c, "low") for c in kinds), *(pick("then", "first", c, "high") for c in kinds))
 
 
 def co_occurrence(events: DataFrame, gap: str = "2 minutes", window: str = "1 minute", exact: bool = False) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,10 +32,10 @@ def rising_floor(samples: DataFrame, keys: list[str], at: str, value: str) -> Da
     return g.select(*keys, F.when(F.col("n") >= 4, F.col("after") > F.col("before")).alias("rising"))
 
 
-def lag_growing(metrics: DataFrame, minutes: int = 5, floor: float = 1000) -> DataFrame:
+def lag_growing(metrics: DataFrame, minutes: float = 5, floor: float = 1000) -> DataFrame:
     """recorded_at, query, growing: least lag of the last minutes above the greatest of those before, and above floor."""
     m = metrics.select("query", "recorded_at", known_max(F.col("kafka_lag")).alias("lag"), F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01', recorded_at)").alias("t"))
-    w, s = Window.partitionBy("query").orderBy("t"), 60 * minutes
+    w, s = Window.partitionBy("query").orderBy("t"), int(60 * minutes)
     now, before = F.min("lag").over(w.rangeBetween(1 - s, 0)), F.max("lag").over(w.rangeBetween(1 - 2 * s, -s))
     return m.select("query", "recorded_at", F.coalesce((now > before) & (now > floor), F.lit(False)).alias("growing"))
 
@@ -110,16 +112,109 @@ def alerts(latest: DataFrame, slopes: DataFrame, growing: DataFrame, now: Column
     return j.select("query", (F.timestamp_diff("SECOND", F.col("recorded_at"), now) > stale_seconds).alias("stale"), (F.col("batch_duration_ms") > slow_ms).alias("slow_batch"), F.coalesce("lag_growing", F.lit(False)).alias("lag_growing"), F.coalesce(F.col("slope") > slope, F.lit(False)).alias("state_growing"))
 
 
+def seconds_of(at: Column) -> Column:
+    return F.unix_seconds(at.cast("timestamp"))
+
+
+def counter_steps(samples: DataFrame, keys: list[str], at: str, value: str) -> DataFrame:
+    """samples with step: by how much a counter rose since the sample before; after a restart, where it falls, what it holds. 0 at first."""
+    before = F.lag(value, 1).over(Window.partitionBy(*keys).orderBy(at))
+    step = F.when(before.isNull(), 0).when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before)
+    return samples.filter(F.col(value).isNotNull()).withColumn("step", step)
+
+
+def increase(samples: DataFrame, keys: list[str], at: str, value: str, seconds: int) -> DataFrame:
+    """samples with increase: how much a counter rose in the last `seconds` up to each sample, restarts not counted as falls."""
+    recent = Window.partitionBy(*keys).orderBy(seconds_of(F.col(at))).rangeBetween(1 - seconds, 0)
+    return counter_steps(samples, keys, at, value).withColumn("increase", F.sum("step").over(recent)).drop("step")
+
+
+def held(rows: DataFrame, keys: list[str], at: str, breached: str, seconds: int, gap: int | None = None) -> DataFrame:
+    """rows with since, when the present stretch of breached rows began, and firing: that is `seconds` ago or more.
+
+    A row that isn't breached (or unknown) ends a stretch, and so do more than `gap` seconds without a row. since is null
+    for rows that aren't breached.
+    """
+    order = Window.partitionBy(*keys).orderBy(at)
+    t = seconds_of(F.col(at))
+    bad = F.coalesce(F.col(breached), F.lit(False))
+    apart = F.lit(False) if gap is None else t - F.lag(t).over(order) > gap
+    begins = bad & F.coalesce(~F.lag(bad).over(order) | apart, F.lit(True))
+    out = rows.withColumns({"__bad": bad, "__from": F.when(begins, F.col(at))})
+    since = F.when(F.col("__bad"), F.last("__from", ignorenulls=True).over(order))
+    out = out.withColumn("since", since).drop("__bad", "__from")
+    return out.withColumn("firing", F.coalesce(t - seconds_of(F.col("since")) >= seconds, F.lit(False)))
+
+
+@dataclass(frozen=True)
+class AlertRules:
+    """Bounds, how far back they look and for how long they must be passed; all times in seconds."""
+
+    stale_after: int = 120
+    stale_for: int = 60
+    lag_floor: float = 1000
+    lag_back: int = 300
+    lag_for: int = 120
+    slow_ms: float = 10_000
+    slow_for: int = 300
+    state_slope: float = 5
+    state_back: int = 900
+    state_for: int = 900
+    model_age: int = 7 * 86400
+    model_for: int = 3600
+    unusable_for: int = 300
+    fallback_back: int = 300
+    fallback_for: int = 600
+    gap: int | None = 300
+
+
+def alert_states(metrics: DataFrame, ranker: DataFrame, writes: DataFrame, now: Column, rules: AlertRules = AlertRules()) -> DataFrame:  # noqa: B008
+    """alert, series, breached, since, firing at each series' newest record: all seven alerts with their hold times.
+
+    metrics is (query, recorded_at, kafka_lag, batch_duration_ms, state_rows), ranker (recorded_at, model_at, loaded, usable,
+    replay_recorded, fallbacks) and writes (updated_at). A series without a record has no row; one that is silent
+    for longer than rules.gap doesn't carry a stretch over.
+    """
+    r = rules
+    m = metrics.select("query", "recorded_at", "kafka_lag", "batch_duration_ms", known_sum(F.col("state_rows")).alias("rows"), seconds_of(F.col("recorded_at")).alias("t"))
+    back = Window.partitionBy("query").orderBy("t").rangeBetween(1 - r.state_back, 0)
+    slope = F.regr_slope(F.col("rows").cast("double"), F.col("t").cast("double")).over(back)
+    growing = lag_growing(metrics, r.lag_back / 60, r.lag_floor).withColumnRenamed("growing", "breached")
+    model = ranker.withColumns({"series": F.lit("ranker"), "age": seconds_of(F.col("recorded_at")) - seconds_of(F.col("model_at"))})
+    per_query = lambda df, bad: df.select(F.col("query").alias("series"), "recorded_at", bad.alias("breached"))
+    of_model = lambda df, bad: df.select("series", "recorded_at", bad.alias("breached"))
+    fell = increase(model, ["series"], "recorded_at", "fallbacks", r.fallback_back)
+    found = {
+        "lag_growing": (per_query(growing, F.col("breached")), r.lag_for),
+        "slow_batch": (per_query(m, F.col("batch_duration_ms") > r.slow_ms), r.slow_for),
+        "state_growing": (per_query(m, slope > r.state_slope), r.state_for),
+        "model_stale": (of_model(model, F.col("age") > r.model_age), r.model_for),
+        "model_unusable": (of_model(model, F.col("loaded") & ~F.col("usable") & F.col("replay_recorded")), r.unusable_for),
+        "model_falling_back": (of_model(fell, (F.col("increase") > 0) & F.col("usable")), r.fallback_for),
+    }
+    # staleness is known between records too: it began stale_after seconds after the last write
+    last = writes.agg(F.max("updated_at").alias("w")).filter("w is not null").select(F.lit("pipeline").alias("series"), (seconds_of(now) - seconds_of(F.col("w"))).alias("s"), "w")
+    begun = F.col("w") + F.make_dt_interval(secs=F.lit(r.stale_after))
+    bad = F.col("s") > r.stale_after
+    out = last.select(F.lit("pipeline_stale").alias("alert"), "series", bad.alias("breached"), F.when(bad, begun).alias("since"), (bad & (F.col("s") >= r.stale_after + r.stale_for)).alias("firing"))
+    for name, (rows, seconds) in found.items():
+        states = held(rows, ["series"], "recorded_at", "breached", seconds, r.gap)
+        newest = states.groupBy("series").agg(F.max_by(F.struct("breached", "since", "firing"), "recorded_at").alias("x"))
+        out = out.unionByName(newest.select(F.lit(name).alias("alert"), "series", F.coalesce("x.breached", F.lit(False)).alias("breached"), "x.since", "x.firing"))
+    return out
+
+
 def model_alerts(ranker: DataFrame, now: Column, days: float = 7, minutes: float = 5) -> DataFrame:
-    """model_stale, unusable, falling_back from rows (recorded_at, model_at, usable, fallbacks) of a ranker, the newest counting.
+    """model_stale, unusable, falling_back from rows (recorded_at, model_at, usable, fallbacks) of a ranker, the newest counting, without hold times.
 
     Stale: the model is older than so many days. Unusable: no model can be used. Falling back: the number of
-    fallbacks has grown in the last minutes although a model can be used. One row; nulls without rows.
+    fallbacks has risen in the last minutes, restarts left out, although a model can be used. One row; nulls without rows.
     """
     last = lambda c: F.max_by(c, "recorded_at")
-    lately = F.col("recorded_at") >= F.timestamp_seconds(F.unix_seconds(now) - int(60 * minutes))
-    grown = F.max(F.when(lately, F.col("fallbacks"))) - F.min(F.when(lately, F.col("fallbacks")))
-    r = ranker.agg(last("model_at").alias("model_at"), last("usable").alias("usable"), F.coalesce(grown, F.lit(0)).alias("grown"))
+    steps = counter_steps(ranker.withColumn("__one", F.lit(0)), ["__one"], "recorded_at", "fallbacks")
+    lately = seconds_of(F.col("recorded_at")) >= seconds_of(now) - int(60 * minutes)
+    grown = steps.agg(F.coalesce(F.sum(F.when(lately, F.col("step"))), F.lit(0)).alias("grown"))
+    r = ranker.agg(last("model_at").alias("model_at"), last("usable").alias("usable")).crossJoin(F.broadcast(grown))
     old = F.timestamp_diff("SECOND", F.col("model_at"), now) > days * 86400
     return r.select(old.alias("model_stale"), (~F.col("usable")).alias("unusable"), ((F.col("grown") > 0) & F.col("usable")).alias("falling_back"))
 

@@ -57,22 +57,6 @@ def category_top(snap: DataFrame, catalog: DataFrame, level: str = "category", n
     return top(snap.join(c, "id"), [F.col("views").desc(), "id"], ["group"], n).select("group", F.col("id").alias("item"), "rank")
 
 
-def similar_items(vectors: DataFrame, n: int = 30, block: int = 2048, queries: str = "true") -> DataFrame:
-    """query, item, cos, rank: exact cosine neighbours, among all items of (id, vector), of those that `queries` (SQL over id) names.
-
-    Items and queries are dealt to blocks of about `block` rows, and every block of queries meets every
-    block of items as a group of its own; each pair of blocks keeps its n best before the last ranking.
-    """
-    blocks = max(1, -(-vectors.count() // block))
-    unit = vectors.select("id", unit_vector(F.col("vector")).alias("v"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("own"))
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = unit.filter(queries).select(F.col("id").alias("query"), F.col("v").alias("qv"), F.col("own").alias("qb"), other.alias("b"))
-    right = unit.select(F.col("id").alias("item"), "v", F.col("own").alias("b"), other.alias("qb"))
-    pairs = left.join(right, ["qb", "b"]).filter("item <> query").select("query", "item", "b", F.round(dot(F.col("qv"), F.col("v")), 6).alias("cos"))
-    order = [F.col("cos").desc(), "item"]
-    return top(top(pairs, order, ["query", "b"], n).drop("rank"), order, ["query"], n).drop("b")
-
-
 def blend(recommenders: list[DataFrame], limit: int) -> DataFrame:
     """query, item, source, place of several (query, item, rank): the first recommender's items, then the next one's, each item once."""
     every = None
@@ -159,18 +143,8 @@ def feature_difference(model: DataFrame, code: DataFrame) -> DataFrame:
     return a.crossJoin(b).select(F.concat_ws(",", F.array_sort(F.array_except("b", "a"))).alias("missing"), F.concat_ws(",", F.array_sort(F.array_except("a", "b"))).alias("unexpected"), (F.col("a") == F.col("b")).alias("same"))
 
 
-def item_vectors(items: DataFrame, size: int = 64, seed: int = 7, iterations: int = 15) -> DataFrame:
-    """id, vector from visits' item lists by skip-gram (window 5, least count 2) over visits with two items or more."""
-    from pyspark.ml.feature import Word2Vec
-    from pyspark.ml.functions import vector_to_array
-
-    words = items.filter(F.size("items") > 1).select(F.transform("items", lambda i: i.cast("string")).alias("words"))
-    model = Word2Vec(vectorSize=size, windowSize=5, minCount=2, maxIter=iterations, seed=seed, inputCol="words", outputCol="out").fit(words)
-    return model.getVectors().select(F.col("word").cast("long").alias("id"), vector_to_array("vector").alias("vector"))
-
-
 def train_ranker(rows: DataFrame):
-    """A pointwise logistic model over the 19 features (not a tree ranker with list-wise loss; MLlib has none)."""
+    """A pointwise logistic model over the 19 features, to hold boosted trees against."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler

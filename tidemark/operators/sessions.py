@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import visit_id
+from tidemark.operators.aggregates import nearby
 
 
 def sessionise(events: DataFrame, gap_minutes: float = 30) -> DataFrame:
@@ -34,16 +35,12 @@ def test_cases(items: DataFrame) -> DataFrame:
     return items.filter(F.size("items") > 1).select("visitor", "visit", i[0].alias("query"), i[1].alias("target"), F.slice(i, F.lit(2), F.size(i) - 1).alias("later"))
 
 
-def visit_pairs(visits: DataFrame, seconds: int = 120) -> DataFrame:
-    """item_a < item_b, n: pairs of views of one visit at most so many seconds apart.
-
-    Views meet by visit and stretch of so many seconds, each with its own stretch and the two beside it.
-    """
-    stretch = F.floor(F.col("at") / max(seconds, 1)).cast("long")
-    a = visits.select("visitor", "visit", stretch.alias("stretch"), F.col("item").alias("item_a"), F.col("at").alias("a_at"))
-    b = visits.select("visitor", "visit", F.explode(F.sequence(stretch - 1, stretch + 1)).alias("stretch"), F.col("item").alias("item_b"), F.col("at").alias("b_at"))
-    near = a.join(b, ["visitor", "visit", "stretch"]).filter(f"item_a < item_b and abs(b_at - a_at) <= {seconds}")
-    return near.groupBy("item_a", "item_b").agg(F.count("*").alias("n"))
+def visit_pairs(visits: DataFrame, seconds: int = 120, stretch_rows: int | None = None) -> DataFrame:
+    """item_a < item_b, n: pairs of views of one visit at most so many seconds apart; views meet by visit and stretch of so many seconds."""
+    rows = visits.select("visitor", "visit", "item", "at").filter("visitor is not null and visit is not null and item is not null and at is not null")
+    met = nearby(rows, ["visitor", "visit"], F.floor(F.col("at") / max(seconds, 1)).cast("long"), "at", stretch_rows)
+    near = met.filter(f"then_at <= first_at + {seconds} and (first_at < then_at and first_item <> then_item or first_at = then_at and first_item < then_item)")
+    return near.groupBy(F.least("first_item", "then_item").alias("item_a"), F.greatest("first_item", "then_item").alias("item_b")).agg(F.count("*").alias("n"))
 
 
 def visitor_pairs(events: DataFrame, most_items: int = 30, least: int = 2) -> DataFrame:

@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import expressions as x
 from tidemark.operators import aggregates as a
+from tidemark.operators import boosted as b
 from tidemark.operators import evaluation as e
 from tidemark.operators import health as h
 from tidemark.operators import maintain, sessions
 from tidemark.operators import ranking as r
 from tidemark.operators import related as rel
+from tidemark.operators import vectors as vec
 from tidemark.plans import stream_queries
 from tidemark.plans import views as v
 from tidemark.plans.views import sql
+from tidemark.shared import stored
 from tidemark.sources import click_log
 from tidemark.sources.events import invalid_events, parse_events, valid_events
 
@@ -425,22 +428,19 @@ def vectors(s, d):
     return v.table(s, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
 
 
-def item_vectors(s, d):
-    return vectors(s, d).join(v.click_catalog(s, d).select("id"), "id", "left_semi")
-
-
 @query("""WITH w AS (SELECT vec_id AS id, list_transform(embedding::DOUBLE[], lambda x: x / sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda y: y * y)))) AS v FROM embeddings)
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY cos DESC, item) - 1 AS rank FROM (SELECT p.id AS query, q.id AS item, round(list_dot_product(p.v, q.v), 6) AS cos FROM w p JOIN w q ON p.id <> q.id WHERE p.id % 100 = 0)) WHERE rank < 30""")
 def q_similar_items(s, d):
-    return r.similar_items(vectors(s, d), queries="id % 100 = 0")
+    return vec.similar_items(vectors(s, d), queries="id % 100 = 0")
 
 
 def ranking_inputs(s, d):
-    pairs = v.pair_table(s, d)
-    near, snap, catalog = r.neighbours(pairs), r.snapshot(v.trending_table(s, d)), v.click_catalog(s, d)
-    similar, hops = r.similar_items(item_vectors(s, d)), r.two_hop(near)
+    """Candidates and what they come from. Tables that several operators read are written once."""
+    near, snap, catalog = stored(r.neighbours(pairs := stored(v.pair_table(s, d)))), stored(r.snapshot(stored(v.trending_table(s, d)))), stored(v.click_catalog(s, d))
+    own = vectors(s, d).join(catalog.select("id"), "id", "left_semi")
+    similar, hops = stored(vec.similar_items(own)), stored(r.two_hop(near))
     found = r.candidates(catalog.select(F.col("id").alias("query")), near, snap, catalog, similar, hops)
-    return found, near, snap, r.item_pairs(pairs), catalog, similar, item_vectors(s, d), hops
+    return found, near, snap, r.item_pairs(pairs), catalog, similar, own, hops
 
 
 def feature_rows(s, d):
@@ -473,16 +473,85 @@ def q_training_rows(s, d):
     return r.training_rows(cases(s, d), ranking_inputs(s, d)[0]).select("case", "query", "item", "label")
 
 
-@query(None)
+TREES = b.Boosting(rounds=4, depth=3, rate=0.3, bins=32, least_rows=20)
+VERSION = "20240101T000000Z"
+
+
+def boosting_sql(p: b.Boosting) -> str:
+    """The training of boosted trees in SQL: gh<t> has the gradients of a round, best<t>_<d> the splits of a level, leaf<t> the leaves."""
+    names = r.FEATURES
+    fit = lambda cap: "[" + ", ".join(f"CASE WHEN hi{i} > lo{i} THEN " + cap.format(f"floor(({c} - lo{i}) / ((hi{i} - lo{i}) / {p.bins}))::INT") + " ELSE 0 END" for i, c in enumerate(names)) + "]"
+    part = lambda g, h: f"({g} / 1000000) * ({g} / 1000000) / ({h} / 1000000 + {p.smoothing})"
+    gain = f"round({part('lg', 'lh')} + {part('(ag - lg)', '(ah - lh)')} - {part('ag', 'ah')}, 6)"
+    down = "CASE WHEN b.node IS NULL THEN n.node WHEN n.x[b.f + 1] <= b.bin THEN 2 * n.node + 1 ELSE 2 * n.node + 2 END"
+    out = [f"feats AS MATERIALIZED ({FEATURES})"]
+    out.append("""fit AS MATERIALIZED (SELECT k."case", f.item, (f.item = k.target)::INT AS label, f.* EXCLUDE (query, item) FROM cases k JOIN feats f USING (query) WHERE EXISTS (SELECT 1 FROM feats z WHERE z.query = k.query AND z.item = k.target))""")
+    out.append("ends AS (SELECT " + ", ".join(f"min({c}) AS lo{i}, max({c}) AS hi{i}" for i, c in enumerate(names)) + " FROM fit)")
+    out.append(f"""st0 AS MATERIALIZED (SELECT "case", item, label, {fit("least({}, " + str(p.bins - 1) + ")")} AS x, 0::DOUBLE AS score FROM fit, ends)""")
+    out.append(f"pick0 AS MATERIALIZED (SELECT query, item, origin, {fit('{}')} AS x, 0::DOUBLE AS score FROM feats, ends)")
+    for t in range(p.rounds):
+        out.append(f"""pl{t} AS (SELECT *, row_number() OVER (PARTITION BY "case" ORDER BY score DESC, item) AS place FROM st{t})""")
+        out.append(f"""pu{t} AS (SELECT p.*, 1 / (1 + exp(ts - p.score)) AS rho, abs(1 / log2(1 + tp) - 1 / log2(1 + place)) AS ch FROM pl{t} p JOIN (SELECT "case", score AS ts, place AS tp FROM pl{t} WHERE label = 1) USING ("case"))""")
+        out.append(f"""gh{t} AS MATERIALIZED (SELECT "case", item, label, x, score, (CASE WHEN label = 0 THEN gg ELSE -sum(gg) OVER (PARTITION BY "case") END)::BIGINT AS g, (CASE WHEN label = 0 THEN hh ELSE sum(hh) OVER (PARTITION BY "case") END)::BIGINT AS h
+          FROM (SELECT *, CASE WHEN label = 0 THEN round(rho * ch * 1000000)::BIGINT ELSE 0 END AS gg, CASE WHEN label = 0 THEN round(rho * (1 - rho) * ch * 1000000)::BIGINT ELSE 0 END AS hh FROM pu{t}))""")
+        out.append(f"nd{t}_0 AS (SELECT *, 0 AS node FROM gh{t})")
+        out.append(f"go{t}_0 AS (SELECT *, 0 AS node FROM pick{t})")
+        for d in range(p.depth):
+            out.append(f"hs{t}_{d} AS MATERIALIZED (SELECT node, f::INT AS f, x[f + 1] AS bin, sum(g)::BIGINT AS g, sum(h)::BIGINT AS h, count(*) AS n FROM nd{t}_{d}, range({len(names)}) r(f) WHERE node >= {2**d - 1} GROUP BY ALL)")
+            out.append(f"""best{t}_{d} AS MATERIALIZED (SELECT *, {gain} AS gain FROM (SELECT node, f, bin, sum(g) OVER u::BIGINT AS lg, sum(h) OVER u::BIGINT AS lh, sum(n) OVER u AS ln, sum(g) OVER a::BIGINT AS ag, sum(h) OVER a::BIGINT AS ah, sum(n) OVER a AS an FROM hs{t}_{d} WINDOW a AS (PARTITION BY node, f), u AS (PARTITION BY node, f ORDER BY bin))
+          WHERE {gain} > 0 AND ln >= {p.least_rows} AND an - ln >= {p.least_rows} QUALIFY row_number() OVER (PARTITION BY node ORDER BY {gain} DESC, f, bin) = 1)""")
+            out.append(f"nd{t}_{d + 1} AS MATERIALIZED (SELECT n.* REPLACE ({down} AS node) FROM nd{t}_{d} n LEFT JOIN best{t}_{d} b ON b.node = n.node)")
+            out.append(f"go{t}_{d + 1} AS MATERIALIZED (SELECT n.* REPLACE ({down} AS node) FROM go{t}_{d} n LEFT JOIN best{t}_{d} b ON b.node = n.node)")
+        out.append(f"leaf{t} AS MATERIALIZED (SELECT node, -{p.rate} * (sum(g)::BIGINT / 1000000) / (sum(h)::BIGINT / 1000000 + {p.smoothing}) AS value FROM nd{t}_{p.depth} GROUP BY node)")
+        for rows, at in (("st", "nd"), ("pick", "go")):
+            keep = '"case", item, label' if rows == "st" else "query, item, origin"
+            out.append(f"{rows}{t + 1} AS MATERIALIZED (SELECT {keep}, x, score + value AS score FROM {at}{t}_{p.depth} JOIN leaf{t} USING (node))")
+    return ",\n".join(out)
+
+
+def fit_rows(s, d):
+    """Features of all candidates, written once, and the training rows among them."""
+    rows = stored(feature_rows(s, d))
+    return rows, stored(r.training_rows(cases(s, d), rows))
+
+
+@query('SELECT "case", item, label, g, h FROM gh0', boosting_sql(b.Boosting(rounds=1, depth=1, bins=TREES.bins)))
+def q_ranker_lambdas(s, d):
+    """List-wise gradients of the first round, where all scores are equal."""
+    return b.lambdas(fit_rows(s, d)[1].select("case", "item", "label", F.lit(0.0).alias("score"))).select("case", "item", "label", "g", "h")
+
+
+NODES = " UNION ALL ".join(
+    [f"SELECT {t} AS tree, node::INT AS node, f AS feature, bin::INT AS bin, gain, NULL::DOUBLE AS value FROM best{t}_{k}" for t in range(TREES.rounds) for k in range(TREES.depth)]
+    + [f"SELECT {t}, node::INT, NULL, NULL, NULL, round(value, 9) FROM leaf{t} WHERE node > 0" for t in range(TREES.rounds)]
+)
+
+
+@query(f"SELECT tree, node, {list(r.FEATURES)!r}[feature + 1] AS feature, bin, gain, value FROM ({NODES})", boosting_sql(TREES))
+def q_ranker_model(s, d):
+    """The model's nodes: what every split and leaf of the trained trees is."""
+    return b.train(fit_rows(s, d)[1], TREES, VERSION).select("tree", "node", "feature", "bin", "gain", F.round("value", 9).alias("value"))
+
+
+@query(f"SELECT * FROM (SELECT query, item, round(score, 9) AS score, origin AS candidate_from, '{VERSION}' AS model_version, row_number() OVER (PARTITION BY query ORDER BY round(score, 9) DESC, item) - 1 AS rank FROM pick{TREES.rounds}) WHERE rank < {LIMIT}", boosting_sql(TREES))
 def q_learned_order(s, d):
-    rows = feature_rows(s, d)
-    return r.ranked(r.train_ranker(r.training_rows(cases(s, d), rows)), rows, LIMIT)
+    rows, train = fit_rows(s, d)
+    return b.learned_order(b.train(train, TREES, VERSION), rows, LIMIT)
+
+
+@query("""WITH lists AS (SELECT items FROM items WHERE len(items) > 1), known AS (SELECT a FROM (SELECT unnest(items) AS a FROM lists) GROUP BY a HAVING count(*) >= 2),
+met AS (SELECT least(items[i], items[j]) AS a, greatest(items[i], items[j]) AS b, count(*) AS n FROM lists, unnest(range(1, len(items) + 1)) t(i), unnest(range(i + 1, least(len(items), i + 5) + 1)) u(j) GROUP BY ALL),
+both_ways AS (SELECT a, b, n FROM met WHERE a IN (SELECT a FROM known) AND b IN (SELECT a FROM known) UNION ALL SELECT b, a, n FROM met WHERE a IN (SELECT a FROM known) AND b IN (SELECT a FROM known)),
+own AS (SELECT a, sum(n) AS own FROM both_ways GROUP BY a)
+SELECT a, b, round(value, 6) AS value FROM (SELECT m.a, m.b, ln(m.n * (SELECT sum(own) FROM own)::DOUBLE / (x.own * y.own)) AS value FROM both_ways m JOIN own x ON x.a = m.a JOIN own y ON y.a = m.b) WHERE value > 0""")
+def q_item_pmi(s, d):
+    return vec.item_pmi(sessions.visit_items(visits(s, d))).withColumn("value", F.round("value", 6))
 
 
 @query(None)
 def q_item2vec(s, d):
-    found = r.item_vectors(sessions.visit_items(visits(s, d)))
-    return r.similar_items(found, 10).select("query", "item", "rank")
+    found = vec.item_vectors(sessions.visit_items(visits(s, d)))
+    return vec.similar_items(found, 10).select("query", "item", "rank")
 
 
 # ---- evaluation
@@ -538,13 +607,19 @@ def q_feature_diff(s, d):
     return r.feature_difference(names(split(s, d)[0]), names(v.log(s, d)))
 
 
-def by_category(s, d):
+def written_split(s, d):
+    """The split with its cases written once, for queries that evaluate several answers on them."""
     train, found = split(s, d)
+    return train, stored(found)
+
+
+def by_category(s, d, parts=None):
+    train, found = parts or split(s, d)
     return found, e.category_bestsellers(train, v.click_catalog(s, d), found.select("query").distinct(), LIMIT)
 
 
-def global_best(s, d):
-    train, found = split(s, d)
+def global_best(s, d, parts=None):
+    train, found = parts or split(s, d)
     return found, found.select("query").distinct().crossJoin(F.broadcast(e.bestsellers(train, LIMIT).select("item", "rank")))
 
 
@@ -558,17 +633,20 @@ RATE = "SELECT '{0}' AS name, count(*) AS cases, round(avg(hit::INT), 6) AS hit,
 
 @split_query(RATE.format("category", "hit") + " UNION ALL " + RATE.format("bestsellers", "ghit"))
 def q_hit_rate(s, d):
-    return e.hit_rate(e.hits(*by_category(s, d)), "category").unionByName(e.hit_rate(e.hits(*global_best(s, d)), "bestsellers"))
+    parts = written_split(s, d)
+    return e.hit_rate(e.hits(*by_category(s, d, parts)), "category").unionByName(e.hit_rate(e.hits(*global_best(s, d, parts)), "bestsellers"))
 
 
 @split_query("SELECT 'category' AS model, 'bestsellers' AS baseline, round(CASE WHEN b > 0 THEN a / b END, 6) AS lift FROM (SELECT round(avg(hit::INT), 6) AS a FROM hit), (SELECT round(avg(hit::INT), 6) AS b FROM ghit)")
 def q_model_lift(s, d):
-    return e.model_lift(e.hit_rate(e.hits(*by_category(s, d)), "category"), e.hit_rate(e.hits(*global_best(s, d)), "bestsellers"))
+    parts = written_split(s, d)
+    return e.model_lift(e.hit_rate(e.hits(*by_category(s, d, parts)), "category"), e.hit_rate(e.hits(*global_best(s, d, parts)), "bestsellers"))
 
 
 @query(None)
 def q_bootstrap(s, d):
-    return e.paired_bootstrap(e.hits(*by_category(s, d)), e.hits(*global_best(s, d)))
+    parts = written_split(s, d)
+    return e.paired_bootstrap(e.hits(*by_category(s, d, parts)), e.hits(*global_best(s, d, parts)))
 
 
 @split_query("SELECT round(100 * avg((query IN (SELECT item FROM train))::INT), 3) AS queries_seen, round(100 * avg((target IN (SELECT item FROM train))::INT), 3) AS targets_seen FROM cs")
@@ -694,6 +772,28 @@ def q_alerts(s, d):
     return h.alerts(h.latest_metrics(m), h.state_slope(m), h.lag_growing(m, 360, 500), m.agg(F.max("recorded_at")).scalar(), 10000, 0)
 
 
+RULES = h.AlertRules(lag_floor=500, lag_back=21600, lag_for=21600, slow_for=43200, state_slope=0.0005, state_back=5 * 21600, state_for=21600, model_age=2 * 86400, model_for=86400, unusable_for=21600, fallback_back=43200, fallback_for=21600, gap=43200)
+
+
+@query(f"""WITH newest_at AS (SELECT max(recorded_at) AS now FROM lags),
+cond AS (SELECT 'lag_growing' AS alert, query AS series, t, coalesce(lag > {RULES.lag_floor} AND lag > before, FALSE) AS bad, {RULES.lag_for} AS hold FROM (SELECT *, max(lag) OVER (PARTITION BY query ORDER BY t RANGE BETWEEN {2 * RULES.lag_back - 1} PRECEDING AND {RULES.lag_back} PRECEDING) AS before FROM lags)
+  UNION ALL SELECT 'slow_batch', query, t, ms > {RULES.slow_ms}, {RULES.slow_for} FROM lags
+  UNION ALL SELECT 'state_growing', query, t, coalesce(slope > {RULES.state_slope}, FALSE), {RULES.state_for} FROM (SELECT query, t, regr_slope(state, t::DOUBLE) OVER (PARTITION BY query ORDER BY t RANGE BETWEEN {RULES.state_back - 1} PRECEDING AND CURRENT ROW) AS slope FROM lags)
+  UNION ALL SELECT 'model_stale', 'ranker', i * 21600, epoch(recorded_at) - epoch(model_at) > {RULES.model_age}, {RULES.model_for} FROM ranker_log
+  UNION ALL SELECT 'model_unusable', 'ranker', i * 21600, loaded AND NOT usable AND replay_recorded, {RULES.unusable_for} FROM ranker_log
+  UNION ALL SELECT 'model_falling_back', 'ranker', t, usable AND sum(step) OVER (ORDER BY t RANGE BETWEEN {RULES.fallback_back - 1} PRECEDING AND CURRENT ROW) > 0, {RULES.fallback_for}
+    FROM (SELECT usable, i * 21600 AS t, CASE WHEN lag(fallbacks) OVER (ORDER BY i) IS NULL THEN 0 WHEN fallbacks < lag(fallbacks) OVER (ORDER BY i) THEN fallbacks ELSE fallbacks - lag(fallbacks) OVER (ORDER BY i) END AS step FROM ranker_log)),
+marked AS (SELECT *, CASE WHEN bad AND NOT coalesce(lag(bad) OVER w AND t - lag(t) OVER w <= {RULES.gap}, FALSE) THEN t END AS begun FROM cond WINDOW w AS (PARTITION BY alert, series ORDER BY t)),
+states AS (SELECT *, CASE WHEN bad THEN max(begun) OVER (PARTITION BY alert, series ORDER BY t) END AS since FROM marked QUALIFY row_number() OVER (PARTITION BY alert, series ORDER BY t DESC) = 1)
+SELECT alert, series, bad AS breached, make_timestamp(since::BIGINT * 1000000) AS since, coalesce(t - since >= hold, FALSE) AS firing FROM states
+UNION ALL SELECT 'pipeline_stale', 'pipeline', s > {RULES.stale_after}, CASE WHEN s > {RULES.stale_after} THEN last_write + INTERVAL {RULES.stale_after} SECOND END, s >= {RULES.stale_after + RULES.stale_for} FROM (SELECT max(recorded_at) AS last_write, epoch(max(now))::BIGINT - epoch(max(recorded_at))::BIGINT AS s FROM lags, newest_at WHERE query = 'purchase')""")
+def q_alert_states(s, d):
+    """All seven alerts with hold times; the pipeline writes where the purchase query has a record."""
+    m = v.metrics(s, d)
+    writes = m.filter("query = 'purchase'").select(F.col("recorded_at").alias("updated_at"))
+    return h.alert_states(m, v.ranker_log(s, d), writes, m.agg(F.max("recorded_at")).scalar(), RULES)
+
+
 @query("SELECT max(window_start) AS window_start, max(window_end) AS window_end FROM trending, (SELECT max(event_time) AS now FROM clicks) WHERE window_end <= now")
 def q_last_full_window(s, d):
     return h.last_full_window(v.trending_table(s, d), v.clicks(s, d).agg(F.max("event_time")).scalar())

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import event_weight
@@ -103,6 +103,15 @@ def metrics(spark: SparkSession, d: str) -> DataFrame:
     return g.select("query", "recorded_at", F.expr(f"timestampdiff(SECOND, {EPOCH}, recorded_at) div 21600").alias("batch_id"), "input_rows", (F.col("k") * 10).alias("batch_duration_ms"), F.array("input_rows", "u").alias("state_rows"), lag.alias("kafka_lag"))
 
 
+def ranker_log(spark: SparkSession, d: str) -> DataFrame:
+    """A ranker's records, one for each six hours of events: a model every tenth day, and a count of fallbacks (errors) that starts anew each day."""
+    at = F.expr(f"timestampdiff(SECOND, {EPOCH}, event_time) div 21600")
+    g = raw_clicks(spark, d).groupBy(at.alias("i")).agg(F.count_if(F.col("event_type") == "error").alias("errors"), F.sum("product_id").alias("k"))
+    time = lambda i: F.expr(f"timestampadd(SECOND, ({i}) * 21600, {EPOCH})")
+    day = Window.partitionBy(F.floor(F.col("i") / 4)).orderBy("i")
+    return g.select(time("i").alias("recorded_at"), time("i div 40 * 40").alias("model_at"), (F.col("k") % 11 != 0).alias("loaded"), (F.floor(F.col("i") / 6) % 3 != 1).alias("usable"), (F.col("k") % 13 != 0).alias("replay_recorded"), F.sum("errors").over(day).alias("fallbacks"))
+
+
 def written_trending(spark: SparkSession, d: str) -> DataFrame:
     """The trending table with write times: 4 s after a window's end, or before it for products that end in 7."""
     return trending_table(spark, d).withColumn("updated_at", F.expr("timestampadd(SECOND, if(product_id % 10 = 7, -30, 4), window_end)"))
@@ -158,6 +167,8 @@ CTES = {
     "cands": "SELECT query, item, source, row_number() OVER (PARTITION BY query ORDER BY source, rank) - 1 AS place FROM (SELECT * FROM pool QUALIFY row_number() OVER (PARTITION BY query, item ORDER BY source, rank) = 1)",
     "metrics": """SELECT event_type AS query, make_timestamp((epoch(date_trunc('second', event_time))::BIGINT // 21600) * 21600 * 1000000) AS recorded_at, count(*) AS input_rows, sum(product_id)::BIGINT AS k, count(DISTINCT user_id) AS u, max(product_id) AS m FROM raw_clicks GROUP BY ALL""",
     "lags": "SELECT *, greatest((k % 50 * 40)::DOUBLE, CASE WHEN m % 2 = 0 THEN k::DOUBLE END) AS lag, (input_rows + u)::DOUBLE AS state, k * 10 AS ms, epoch(recorded_at)::BIGINT AS t FROM metrics",
+    "ranker_log": """SELECT i, make_timestamp(i * 21600 * 1000000) AS recorded_at, make_timestamp(i // 40 * 40 * 21600 * 1000000) AS model_at, k % 11 <> 0 AS loaded, i // 6 % 3 <> 1 AS usable, k % 13 <> 0 AS replay_recorded, sum(errors) OVER (PARTITION BY i // 4 ORDER BY i)::BIGINT AS fallbacks
+                  FROM (SELECT epoch(date_trunc('second', event_time))::BIGINT // 21600 AS i, count(*) FILTER (event_type = 'error') AS errors, sum(product_id)::BIGINT AS k FROM raw_clicks GROUP BY 1)""",
     "written": "SELECT *, window_end + CASE WHEN product_id % 10 = 7 THEN -30 ELSE 4 END * INTERVAL 1 SECOND AS updated_at FROM trending",
 }
 _USES = {name: [other for other in CTES if other != name and re.search(rf"\b{other}\b", sql)] for name, sql in CTES.items()}
