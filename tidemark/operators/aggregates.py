@@ -41,11 +41,10 @@ def nearby(rows: DataFrame, keys: list[str], stretch: Column, order: str, stretc
     own = rows.withColumn("stretch", stretch)
     named = lambda df, p: df.select(*(F.col(c).alias(c if c in (*keys, "stretch", "salt") else f"{p}_{c}") for c in df.columns))
     hot = own.groupBy(*keys, "stretch").agg(F.count("*").alias("n")).filter(F.col("n") > most)
-    hot = stored(hot.select(*keys, "stretch", F.ceil(F.col("n") / most).cast("int").alias("salts")))
     first = own.withColumn("stretch", F.explode(F.array("stretch", F.col("stretch") + 1)))
     if hot.isEmpty():
         return named(first, "first").join(named(own, "then"), [*keys, "stretch"]).drop("stretch")
-    # hot keys are few: each has over `most` rows
+    hot = stored(hot.select(*keys, "stretch", F.ceil(F.col("n") / most).cast("int").alias("salts")))  # few: each has over `most` rows
     salts = F.coalesce("salts", F.lit(1))
     first = first.join(hot, [*keys, "stretch"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
     then = own.join(hot, [*keys, "stretch"], "left").withColumn("salt", F.pmod(F.xxhash64(order, *(c for c in rows.columns if c not in keys)), salts).cast("int")).drop("salts")
@@ -63,11 +62,11 @@ def co_views(events: DataFrame, gap: str, stretch_rows: int | None = None) -> Da
         named = lambda p: own.select(*(F.col(c).alias(f"{p}_{c}") for c in own.columns))
         within = F.expr(f"low_session = high_session AND low_product < high_product AND high_time BETWEEN low_time - INTERVAL {gap} AND low_time + INTERVAL {gap}")
         return named("low").join(named("high"), within).drop("high_session")
-    width = F.greatest(F.expr(f"unix_micros(timestamp_seconds(0) + INTERVAL {gap})"), F.lit(1))
-    wall = "(datediff(time, DATE'1970-01-01') * 86400L + hour(time) * 3600 + minute(time) * 60) * 1000000 + cast(extract(SECOND FROM time) * 1000000 AS BIGINT)"
-    micros = F.expr(wall) if isinstance(own.schema["time"].dataType, TimestampNTZType) else F.unix_micros("time")
-    known = own.filter("session is not null and time is not null and product is not null")
-    met = nearby(known, ["session"], F.floor(micros / width), "time", stretch_rows)
+    width = F.greatest(F.expr(f"ceil(unix_micros(timestamp_seconds(0) + INTERVAL {gap}) / 1000000)"), F.lit(1))
+    ntz = isinstance(own.schema["time"].dataType, TimestampNTZType)
+    seconds = F.expr("cast(cast(time - timestamp_ntz'1970-01-01' as interval second) as bigint)") if ntz else F.unix_seconds("time")
+    known = own.filter("session is not null and time is not null and product is not null").withColumn("stretch", F.floor(seconds / width))
+    met = nearby(known, ["session"], F.col("stretch"), "time", stretch_rows)
     met = met.filter(F.expr(f"then_time <= first_time + INTERVAL {gap} AND (first_time < then_time AND first_product <> then_product OR first_time = then_time AND first_product < then_product)"))
     lower = F.col("first_product") < F.col("then_product")
     pick = lambda a, b, c, p: F.when(lower, F.col(f"{a}_{c}")).otherwise(F.col(f"{b}_{c}")).alias(f"{p}_{c}")

@@ -235,15 +235,13 @@ def similar_items(vectors: DataFrame, n: int = 30, queries: str = "true", found:
     if not picked:
         return spark.createDataFrame([], "query long, item long, cos double, rank int")
     ids, centres = np.array([r["id"] for r in picked]), np.array([r["v"] for r in picked], float)
-    grouped = stored(v.mapInArrow(_grouped(ids, centres, n), "id long, v array<double>, asks boolean, group int, angle double, floor double"))
-    sizes = grouped.groupBy("group").agg(F.count("*").alias("n")).collect()  # a row a centre
+    grouped = v.mapInArrow(_grouped(ids, centres, n), "id long, v array<double>, asks boolean, group int, angle double, floor double")
+    sizes = grouped.groupBy("group").agg(F.count("*").alias("n"), F.max("angle").alias("radius")).orderBy("group").collect()  # a row a centre
     chunks = {r["group"]: max(1, -(-r["n"] // rows)) for r in sizes}
     parts = F.create_map(*(F.lit(x) for g, c in chunks.items() for x in (g, c)))
     dealt = grouped.withColumn("chunk", F.pmod(F.xxhash64("id"), parts[F.col("group")]).cast("int"))
     packed = stored(dealt.groupBy("group", "chunk").applyInArrow(_packed(n), "group int, chunk int, ids binary, matrix binary, asks binary, floor binary, radius double, least double"))
-    radii = {r["group"]: r["radius"] for r in packed.groupBy("group").agg(F.max("radius").alias("radius")).collect()}
-    groups = np.array(sorted(radii))
-    radius = np.array([radii[g] for g in groups])
+    groups, radius = np.array([r["group"] for r in sizes]), np.array([r["radius"] for r in sizes])
 
     def meets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         between = np.arccos(np.clip(centres @ centres[groups].T, -1, 1))
@@ -256,8 +254,9 @@ def similar_items(vectors: DataFrame, n: int = 30, queries: str = "true", found:
             chunk = np.arange(len(at)) - np.repeat(np.cumsum(parts) - parts, parts)
             yield pa.record_batch([pa.array(x.astype(np.int32)) for x in (g[a][at], batch.column("chunk").to_numpy()[a][at], groups[b][at], chunk)], ["group", "chunk", "group2", "chunk2"])
 
-    pairs = stored(packed.select("group", "chunk", "radius", "least").filter("least < 3").mapInArrow(meets, "group int, chunk int, group2 int, chunk2 int"))
+    pairs = packed.select("group", "chunk", "radius", "least").filter("least < 3").mapInArrow(meets, "group int, chunk int, group2 int, chunk2 int")
     if found is not None:
+        pairs = stored(pairs)
         found |= {"pairs": packed.filter("least < 3").count() * packed.count(), "met": pairs.count()}
     left = packed.select("group", "chunk", "ids", "matrix", "asks", "floor").join(pairs, ["group", "chunk"])
     right = packed.select(F.col("group").alias("group2"), F.col("chunk").alias("chunk2"), F.col("ids").alias("ids2"), F.col("matrix").alias("matrix2"))

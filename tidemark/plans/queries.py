@@ -19,7 +19,7 @@ from tidemark.operators import vectors as vec
 from tidemark.plans import stream_queries
 from tidemark.plans import views as v
 from tidemark.plans.views import sql
-from tidemark.shared import stored
+from tidemark.shared import stored, together
 from tidemark.sources import click_log
 from tidemark.sources.events import invalid_events, parse_events, valid_events
 
@@ -435,10 +435,19 @@ def q_similar_items(s, d):
 
 
 def ranking_inputs(s, d):
-    """Candidates and what they come from. Tables that several operators read are written once."""
-    near, snap, catalog = stored(r.neighbours(pairs := stored(v.pair_table(s, d)))), stored(r.snapshot(stored(v.trending_table(s, d)))), stored(v.click_catalog(s, d))
-    own = vectors(s, d).join(catalog.select("id"), "id", "left_semi")
-    similar, hops = stored(vec.similar_items(own)), stored(r.two_hop(near))
+    """Candidates and what they come from. Tables that several operators read are written once, independent ones beside each other."""
+
+    def of_pairs():
+        pairs = stored(v.pair_table(s, d))
+        near = stored(r.neighbours(pairs))
+        return pairs, near, stored(r.two_hop(near))
+
+    def of_items():
+        catalog = stored(v.click_catalog(s, d))
+        own = vectors(s, d).join(catalog.select("id"), "id", "left_semi")
+        return catalog, own, stored(vec.similar_items(own))
+
+    (pairs, near, hops), (catalog, own, similar), snap = together(of_pairs, of_items, lambda: stored(r.snapshot(stored(v.trending_table(s, d)))))
     found = r.candidates(catalog.select(F.col("id").alias("query")), near, snap, catalog, similar, hops)
     return found, near, snap, r.item_pairs(pairs), catalog, similar, own, hops
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,3 +24,9 @@ def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     path = path or shared_folder(df.sparkSession)
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(*makes: Callable[[], DataFrame]) -> list[DataFrame]:
+    """What each of several functions returns; the jobs that they start run beside each other."""
+    with ThreadPoolExecutor(len(makes)) as pool:
+        return [f.result() for f in [pool.submit(make) for make in makes]]
