@@ -114,3 +114,13 @@ def check_answers(queries: int, unknown: int, answered: int) -> None:
         raise ValueError(f"{unknown} of {queries} queries are unknown to the catalogue")
     if queries and answered * 2 < queries:
         raise ValueError(f"only {answered} of {queries} queries were answered")
+
+
+def evaluated(cases: DataFrame, answers: DataFrame, catalog: DataFrame, k: int = 10) -> DataFrame:
+    """hits(), after a check that the queries are mostly known to the catalogue and mostly answered."""
+    asked = cases.select("query").distinct()
+    known = catalog.select(F.col("id").alias("query"), F.lit(1).alias("known"))
+    got = answers.select("query").distinct().withColumn("got", F.lit(1))
+    n = asked.join(known, "query", "left").join(got, "query", "left").agg(F.count("*").alias("asked"), F.count_if(F.col("known").isNull()).alias("unknown"), F.count("got").alias("answered")).first()
+    check_answers(n["asked"], n["unknown"], n["answered"])
+    return hits(cases, answers, k)

@@ -8,19 +8,43 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import known_max, known_sum
+from tidemark.shared import stored
+
+
+def nearest_ranks(rows: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """keys, and for each name its share's nearest-rank percentile of `value`, nulls left out; null for keys without a value.
+
+    Equal values are counted first; the different ones are sorted in ranges of (keys, value), however many a key has, and a
+    range's first rank comes from the counts of the ranges before it. What remains are the rows that hold a rank.
+    """
+    counted = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
+    ranged = stored(counted.repartitionByRange(*keys, value).withColumn("__part", F.spark_partition_id()))
+    part = ranged.groupBy(*keys, "__part").agg(F.sum("__n").alias("__rows"))
+    of = Window.partitionBy(*keys)
+    before = F.coalesce(F.sum("__rows").over(of.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    part = part.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("__part").alias("__in"), before.alias("__before"), F.sum("__rows").over(of).alias("__total"))
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys] + [F.col("__part") == F.col("__in")]
+    upto = F.sum("__n").over(Window.partitionBy("__part", *keys).orderBy(value))
+    r = ranged.withColumn("__upto", upto).join(part, same).withColumn("__upto", F.col("__upto") + F.col("__before"))
+    holds = lambda p: (F.greatest(F.ceil(F.lit(p) * F.col("__total")), F.lit(1)) <= F.col("__upto")) & (F.greatest(F.ceil(F.lit(p) * F.col("__total")), F.lit(1)) > F.col("__upto") - F.col("__n"))
+    found = r.groupBy(*keys).agg(*(F.max(F.when(holds(p), F.col(value))).alias(name) for name, p in shares.items()))
+    every = rows.select(*(F.col(k).alias(f"__{k}") for k in keys)).distinct() if keys else None
+    if every is None:
+        return found
+    return every.join(found, same[:-1], "left").select(*(F.col(f"__{k}").alias(k) for k in keys), *shares)
 
 
 def percentiles(rows: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
     """Nearest-rank percentiles, nulls left out."""
-    return rows.groupBy(*keys).agg(*(F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {value})").cast(rows.schema[value].dataType).alias(n) for n, p in shares.items()))
+    return nearest_ranks(rows, keys, value, shares)
 
 
 def step_metrics(metrics: DataFrame, keys: list[str]) -> DataFrame:
     m = metrics.withColumns({"lag": known_max(F.col("kafka_lag")), "state": known_sum(F.col("state_rows"))})
-    return m.groupBy(*keys).agg(
-        F.round(F.avg("input_rows"), 3).alias("mean_rows"), F.max("lag").alias("max_lag"), F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY batch_duration_ms)").cast("long").alias("p50_ms"),
-        F.max("batch_duration_ms").alias("max_ms"), F.max("state").alias("max_state"),
-    )
+    out = m.groupBy(*keys).agg(F.round(F.avg("input_rows"), 3).alias("mean_rows"), F.max("lag").alias("max_lag"), F.max("batch_duration_ms").alias("max_ms"), F.max("state").alias("max_state"))
+    half = nearest_ranks(metrics, keys, "batch_duration_ms", {"p50_ms": 0.5})
+    half = half.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("p50_ms").cast("long").alias("p50_ms"))
+    return out.join(half, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]).select(*keys, "mean_rows", "max_lag", "p50_ms", "max_ms", "max_state")
 
 
 def rising_floor(samples: DataFrame, keys: list[str], at: str, value: str) -> DataFrame:
@@ -71,7 +95,8 @@ def probe_latency(sent: DataFrame, written: DataFrame) -> DataFrame:
     """probes, lost, p50, p95 seconds from send (id, sent_at) to the first write (id, updated_at)."""
     first = written.groupBy("id").agg(F.min("updated_at").alias("seen"))
     j = sent.join(first, "id", "left").withColumn("s", F.expr("timestampdiff(SECOND, sent_at, seen)"))
-    return j.agg(F.count("*").alias("probes"), F.count_if(F.col("s").isNull()).alias("lost"), *(F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY s)").cast("long").alias(n) for n, p in (("p50", 0.5), ("p95", 0.95))))
+    counts = j.agg(F.count("*").alias("probes"), F.count_if(F.col("s").isNull()).alias("lost"))
+    return counts.crossJoin(F.broadcast(nearest_ranks(j, [], "s", {"p50": 0.5, "p95": 0.95})))
 
 
 def reconcile(expected: DataFrame, counted: DataFrame) -> DataFrame:

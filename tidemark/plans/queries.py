@@ -649,7 +649,8 @@ def q_hit_rate(s, d):
 @split_query("SELECT 'category' AS model, 'bestsellers' AS baseline, round(CASE WHEN b > 0 THEN a / b END, 6) AS lift FROM (SELECT round(avg(hit::INT), 6) AS a FROM hit), (SELECT round(avg(hit::INT), 6) AS b FROM ghit)")
 def q_model_lift(s, d):
     parts = written_split(s, d)
-    return e.model_lift(e.hit_rate(e.hits(*by_category(s, d, parts)), "category"), e.hit_rate(e.hits(*global_best(s, d, parts)), "bestsellers"))
+    rate = lambda answers, name: e.hit_rate(e.evaluated(*answers, v.click_catalog(s, d)), name)
+    return e.model_lift(rate(by_category(s, d, parts), "category"), rate(global_best(s, d, parts), "bestsellers"))
 
 
 @query(None)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,16 @@ def stream_trending(spark: SparkSession, d: str) -> DataFrame:
     return rows.filter("product_id >= 0").select(_seconds("window_start"), F.col("product_id").cast("long").alias("product_id"), "event_count", "views", "carts", "purchases", "score")
 
 
+def stream_trending_days(spark: SparkSession, d: str) -> DataFrame:
+    """Trending of the stream's last week, from a table partitioned by day of which the other days are not read."""
+    root = shared_folder(spark)
+    jobs.start(fed(spark, d, root), root, PARAMS, once=True, only=("trending",), by_day=True)["trending"].awaitTermination()
+    table = jobs.DayTable(f"{root}/trending", tuple(jobs.TRENDING_KEYS))
+    last = v.clicks(spark, d).agg(F.max("event_time").cast("date").alias("day")).first()["day"]
+    rows = table.read(spark, str(last - timedelta(days=6)), str(last))
+    return rows.select(_seconds("window_start"), F.col("product_id").cast("long").alias("product_id"), "event_count", "score")
+
+
 def stream_pairs(spark: SparkSession, d: str) -> DataFrame:
     rows = jobs.KeyedTable(f"{run(spark, d, "pairs")}/pairs", tuple(jobs.PAIR_KEYS)).read(spark)
     return rows.filter("product_id >= 0 and related_product_id >= 0").select(_seconds("window_start"), F.col("product_id").cast("long").alias("product_id"), F.col("related_product_id").cast("long").alias("related_product_id"), "pair_count", "affinity")
@@ -132,7 +144,7 @@ dealt AS (SELECT g.*, (t - a) * {PARTS} // (z - a + 1) + CASE WHEN event_id % 10
 seen_before AS (SELECT part, max(max(t)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM dealt GROUP BY part),
 judged AS (SELECT d.*, coalesce((t // 86400 + 1) * 86400 <= seen - 86400, FALSE) AS late FROM dealt d JOIN seen_before USING (part))"""
 
-QUERIES = {"stream_accounting": stream_accounting, "stream_late_windows": stream_late_windows, "stream_trending": stream_trending, "stream_pairs": stream_pairs, "stream_dead_letter": stream_dead_letter, "stream_sessions": stream_sessions, "stream_dedupe": stream_dedupe}
+QUERIES = {"stream_trending_days": stream_trending_days, "stream_accounting": stream_accounting, "stream_late_windows": stream_late_windows, "stream_trending": stream_trending, "stream_pairs": stream_pairs, "stream_dead_letter": stream_dead_letter, "stream_sessions": stream_sessions, "stream_dedupe": stream_dedupe}
 SQL = {
     "stream_trending": v.sql(f"SELECT t // 86400 * 86400 AS window_start, product_id, count(*) AS event_count, count(*) FILTER (event_type = 'view') AS views, 0::BIGINT AS carts, count(*) FILTER (event_type = 'purchase') AS purchases, round(sum(weight), 3) AS score FROM {_GOOD} GROUP BY 1, 2"),
     "stream_pairs": v.sql(f"""SELECT window_start, unnest([a, b]) AS product_id, unnest([b, a]) AS related_product_id, pair_count, affinity FROM (
@@ -141,6 +153,7 @@ SQL = {
     "stream_sessions": v.sql(f"""SELECT user_id, min(t) AS started, count(*) AS events FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY t, event_id) AS visit FROM (
   SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY user_id ORDER BY t, event_id) <= 1800 THEN 0 ELSE 1 END AS new FROM {_GOOD})) GROUP BY user_id, visit"""),
     "stream_dedupe": v.sql(f"SELECT event_id::VARCHAR AS event_id, user_id FROM {_GOOD}"),
+    "stream_trending_days": v.sql(f"SELECT t // 86400 * 86400 AS window_start, product_id, count(*) AS event_count, round(sum(weight), 3) AS score FROM {_GOOD}, (SELECT max(event_time)::DATE AS last_day FROM clicks) WHERE t // 86400 >= epoch(last_day)::BIGINT // 86400 - 6 GROUP BY 1, 2"),
     "stream_accounting": v.sql(f"{_LATE} SELECT count(*) AS valid, count(*) FILTER (NOT late) AS counted, count(*) FILTER (late) AS late, (SELECT count(*) FROM raw_clicks) - count(*) AS invalid, 0 AS missing, 0 AS extra FROM judged"),
     "stream_late_windows": v.sql(f"{_LATE} SELECT t // 86400 * 86400 AS window_start, product_id, count(*) AS event_count, count(*) FILTER (event_type = 'view') AS views, 0::BIGINT AS carts, count(*) FILTER (event_type = 'purchase') AS purchases, round(sum(weight), 3) AS score FROM judged WHERE NOT late GROUP BY 1, 2"),
     "stream_dead_letter": v.sql(f"SELECT invalid_reason, count(*) AS n FROM (SELECT {REASON} AS invalid_reason FROM raw_clicks) WHERE invalid_reason IS NOT NULL GROUP BY 1"),

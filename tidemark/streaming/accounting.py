@@ -7,17 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.schema import Params
+from tidemark.shared import path_exists
 from tidemark.sources.events import parse_events
 
 LATE = "late:window_closed"
 SUMS = ("event_count", "views", "carts", "purchases")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def _mark(spark: SparkSession, root: str, epoch: int) -> DataFrame | None:
     """One row: the newest event time of all batches up to `epoch`."""
     path = f"{root}/marks/epoch={epoch}"

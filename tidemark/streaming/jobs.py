@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from tidemark.operators.aggregates import co_occurrence, mirror_pairs, trending
 from tidemark.operators.maintain import latest
 from tidemark.schema import Params
+from tidemark.shared import path_exists, stored
 from tidemark.sources.events import invalid_events, parse_events, valid_events
 
 TRENDING_KEYS = ["window_start", "product_id"]
@@ -42,6 +43,41 @@ class KeyedTable:
         rows.drop("run", "epoch").write.mode("overwrite").parquet(f"{target}/run=0/epoch=0")
 
 
+@dataclass(frozen=True)
+class DayTable:
+    """A Parquet table partitioned by the day of `at`, in which a row replaces the one of its keys.
+
+    A batch is written down, joined with the days that it has rows of, and those days are overwritten by Spark's dynamic
+    partition overwrite. The keys' values are the same after a batch is tried again. Readers filter `day`.
+    """
+
+    path: str
+    keys: tuple[str, ...]
+    at: str = "window_start"
+
+    def writer(self, change: Callable[[DataFrame], DataFrame] = lambda df: df) -> Callable[[DataFrame, int], None]:
+        def write(batch: DataFrame, epoch: int) -> None:
+            spark = batch.sparkSession
+            new = stored(change(batch).withColumns({"updated_at": F.current_timestamp(), "day": F.to_date(self.at)}))
+            days = [r["day"] for r in new.select("day").distinct().collect()]  # days of one batch
+            if not days:
+                return
+            rows = new
+            if path_exists(spark, self.path):
+                old = spark.read.schema(new.schema).parquet(self.path).filter(F.col("day").isin(days))
+                rows = stored(new.unionByName(old.join(new.select(*self.keys), list(self.keys), "left_anti")))
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(self.path)
+
+        return write
+
+    def read(self, spark: SparkSession, first: str | None = None, last: str | None = None) -> DataFrame:
+        """Rows of the days first..last, both included; other days are not read."""
+        rows = spark.read.parquet(self.path)
+        for bound, test in ((first, F.col("day").__ge__), (last, F.col("day").__le__)):
+            rows = rows if bound is None else rows.filter(test(F.lit(bound).cast("date")))
+        return rows.drop("day")
+
+
 def watermarked(events: DataFrame, delay: str) -> DataFrame:
     return events.withWatermark("event_time", delay)
 
@@ -51,16 +87,18 @@ def deduplicated(events: DataFrame) -> DataFrame:
     return events.dropDuplicatesWithinWatermark(["event_id"])
 
 
-def start(raw: DataFrame, root: str, params: Params = Params(), run: int = 0, once: bool = False, only: tuple[str, ...] = ("trending", "pairs", "dead_letter")) -> dict[str, StreamingQuery]:  # noqa: B008
+def start(raw: DataFrame, root: str, params: Params = Params(), run: int = 0, once: bool = False, only: tuple[str, ...] = ("trending", "pairs", "dead_letter"), by_day: bool = False) -> dict[str, StreamingQuery]:  # noqa: B008
     """Starts the trending (update), pairs (append) and dead-letter (append) queries, or some, over a stream of (value).
 
+    by_day writes trending and pairs as DayTables, which suits many batches a day and readers that look back some days.
+
     Each has its own checkpoint and table below `root`; once=True takes what there is and ends.
     """
     parsed = parse_events(raw)
     events = watermarked(valid_events(parsed), params.watermark)
     plans = {
-        "trending": (trending(events, params.window, params.slide), "update", KeyedTable(f"{root}/trending", tuple(TRENDING_KEYS)).writer(run)),
-        "pairs": (co_occurrence(events, params.gap, params.window), "append", KeyedTable(f"{root}/pairs", tuple(PAIR_KEYS)).writer(run, mirror_pairs)),
+        "trending": (trending(events, params.window, params.slide), "update", DayTable(f"{root}/trending", tuple(TRENDING_KEYS)).writer() if by_day else KeyedTable(f"{root}/trending", tuple(TRENDING_KEYS)).writer(run)),
+        "pairs": (co_occurrence(events, params.gap, params.window), "append", DayTable(f"{root}/pairs", tuple(PAIR_KEYS)).writer(mirror_pairs) if by_day else KeyedTable(f"{root}/pairs", tuple(PAIR_KEYS)).writer(run, mirror_pairs)),
         "dead_letter": (invalid_events(parsed), "append", KeyedTable(f"{root}/dead_letter", ()).writer(run)),
     }
     out = {}
