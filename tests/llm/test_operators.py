@@ -342,6 +342,26 @@ def test_own_quartiles_set_the_fences(spark):
     assert all(v for k, v in got.items() if k != 5000) and not got[5000]
 
 
+@pytest.mark.parametrize("kind", ["repeats", "symbols", "lines"])
+@pytest.mark.parametrize("beside", [0, 3])
+@pytest.mark.parametrize("share", [0.02, 0.1, 0.4])
+def test_much_junk_does_not_lift_the_fence(spark, kind, beside, share):
+    """A source with 2 to 40 percent of junk, alone in its language or beside clean ones: no junk stays and no clean text goes."""
+
+    def text(i, junk):
+        words = [f"w{i}x{j}" for j in range(100)]
+        if not junk:
+            return " ".join(words)
+        if kind == "repeats":
+            return " ".join(words[:57] + (["again", "and", "again"] * 20)[:43])
+        return " ".join(words) + (" " + "$" * 90 if kind == "symbols" else "\nsay\nit" * 9)
+
+    n = 500
+    rows = [(i, text(i, i < share * n), "en", "polluted") for i in range(n)] + [(n + i, text(n + i, False), "en", f"clean{i % beside}") for i in range(300 * beside)]
+    got = {r["doc_id"]: r["kept"] for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert {i for i, kept in got.items() if not kept} == set(range(int(share * n)))
+
+
 def test_even_stretches_at_small_fractions(spark):
     """At a fraction of 0.0001 no stretch of the order holds more than a few times its share."""
     u = spark.range(200_000).select(((F.conv(F.substring(F.md5(F.concat(F.lit("mix|"), "id")), 1, 13), 16, 10).cast("long") + 0.5) / float(1 << 52)).alias("u"))

@@ -17,11 +17,13 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 #: metric -> numerator and denominator; metrics are integers, per 10,000.
 METRICS = {"symbols": ("n_symbols", "word_chars"), "repeats": ("n_repeat_words", "n_words"), "dup_lines": ("n_dup_lines", "n_words"), "word_length": ("word_chars", "n_words")}
-#: Percentile of each metric that its fence is measured from: high where clean texts have it now and then, lower where junk alone does.
-PERCENTILE = {"symbols": 85, "repeats": 95, "dup_lines": 98, "word_length": 85}
-#: Fence: percentile + SPREADS * (percentile - median), at least median + ROUNDING (one in a hundred). The percentile is
-#: the end of its bucket and the median the start of its own, so the spread is no less than the sketch can tell.
-SPREADS, ROUNDING = 6, 100
+#: What a fence is measured from: percentiles a and b of each metric and a factor, for a + factor * (a - b). a is high where clean
+#: texts have the metric now and then, lower where junk alone does.
+MEASURES = {"symbols": (85, 50, 6), "repeats": (95, 50, 6), "dup_lines": (98, 50, 6), "word_length": (70, 50, 6)}
+#: A fence lies at least this many units above the median, a unit being what one item makes in a text of its group's median size.
+UNITS = 6
+#: A fence lies no further above its group's median than this many times what is usual among the language's sources.
+USUAL = 2
 #: Documents that the sketches of the language, and of all rows, each weigh in a (lang, source) group's; 1 / PARTS is the least part of one.
 PRIOR, PARTS = 100, 1000
 
@@ -84,9 +86,10 @@ def floor_of(b: Column) -> Column:
 
 
 def sketches(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Quantile sketches of each metric of `rows`: (keys, metric, bucket, n). Adding n up merges sketches."""
+    """Quantile sketches of each metric and of the sizes of `rows`: (keys, metric, bucket, n). Adding n up merges sketches."""
     value = lambda m: F.expr(f"10000 * {METRICS[m][0]} div greatest({METRICS[m][1]}, 1)")
-    long = rows.select(*keys, F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), bucket(value(m)).alias("bucket")) for m in METRICS))).alias("x"))
+    sizes = {size: F.col(size) for size in ("n_words", "word_chars")}
+    long = rows.select(*keys, F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), bucket(v).alias("bucket")) for m, v in ({m: value(m) for m in METRICS} | sizes).items()))).alias("x"))
     return long.groupBy(*keys, "x.metric", "x.bucket").agg(F.count("*").alias("n"))
 
 
@@ -94,7 +97,15 @@ def fences(sketch: DataFrame) -> DataFrame:
     """lang, source, metric, fence from the sketches of (lang, source) groups: the value above which a document is out of its group.
 
     Each group's sketch is merged with its language's and with that of all rows, each scaled to PRIOR
-    documents, so that a small group leans on these and a large one on itself.
+    documents, so that a small group leans on these and a large one on itself. The fence is the least of three bounds, of which
+    a source with much junk can't lift all:
+
+    * by MEASURES, from percentiles; junk lifts it once it has more than the share above the percentile;
+    * the first gap of the upper half: above a value v that half of the texts don't exceed, nothing up to 2 v and UNITS units;
+    * the group's median and USUAL times what the language's median source allows above its own by the first bound.
+
+    It is UNITS units above the median at least. What is told apart in no way: junk that is a third of a language's only source
+    and goes on from its clean texts without a gap.
     """
     groups = sketch.select("lang", "source", "metric").distinct()
 
@@ -108,13 +119,23 @@ def fences(sketch: DataFrame) -> DataFrame:
 
     own = sketch.select("lang", "source", "metric", "bucket", (F.col("n") * PARTS).alias("n"))
     merged = own.unionByName(prior("lang", "metric")).unionByName(prior("metric")).groupBy("lang", "source", "metric", "bucket").agg(F.sum("n").alias("n"))
+    group = Window.partitionBy("lang", "source")
     w = Window.partitionBy("lang", "source", "metric")
     up_to = F.sum("n").over(w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
-    q = merged.withColumns({"total": F.sum("n").over(w), "up_to": up_to})
-    percentile = F.create_map(*(F.lit(x) for item in PERCENTILE.items() for x in item))[F.col("metric")]
+    q = merged.filter("n > 0").withColumns({"total": F.sum("n").over(w), "up_to": up_to, "next": F.lead("bucket").over(w.orderBy("bucket"))})
+    upper = F.col("up_to") * 2 >= F.col("total")
+    size = lambda name: F.greatest(F.min(F.when((F.col("metric") == name) & upper, floor_of(F.col("bucket")))).over(group), F.lit(1))
+    of = F.when(F.col("metric").isin(*(m for m, (_, b) in METRICS.items() if b == "n_words")), size("n_words")).otherwise(size("word_chars"))
+    q = q.withColumn("units", F.floor(UNITS * 10_000 / of)).filter(F.col("metric").isin(*METRICS))
+    gap = F.min(F.when(upper & (floor_of(F.col("next")) > 2 * floor_of(F.col("bucket")) + F.col("units")), 2 * floor_of(F.col("bucket")) + F.col("units")))
     at = lambda p: F.min(F.when(F.col("up_to") * 100 >= F.col("total") * p, F.col("bucket")))
-    q = q.groupBy("lang", "source", "metric").agg(floor_of(at(50)).alias("half"), (floor_of(at(percentile) + 1) - 1).alias("high"))
-    return q.select("lang", "source", "metric", F.greatest(F.col("high") + SPREADS * (F.col("high") - F.col("half")), F.col("half") + ROUNDING).alias("fence"))
+    from_map = lambda k: F.create_map(*(F.lit(x) for m, v in MEASURES.items() for x in (m, v[k])))[F.col("metric")]
+    # the upper percentile is the end of its bucket and the lower one the start of its own, so the spread is no less than the sketch can tell
+    q = q.groupBy("lang", "source", "metric").agg(floor_of(at(50)).alias("half"), (floor_of(at(from_map(0)) + 1) - 1).alias("a"), floor_of(at(from_map(1))).alias("b"), gap.alias("gap"), F.max("units").alias("units"))
+    q = q.withColumn("first", F.greatest(F.col("a") + from_map(2) * (F.col("a") - F.col("b")), F.col("half") + F.col("units")))
+    usual = q.groupBy(F.col("lang").alias("of_lang"), F.col("metric").alias("of_metric")).agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY first - half)").cast("long").alias("usual"))
+    q = q.join(usual, F.col("lang").eqNullSafe(F.col("of_lang")) & (F.col("metric") == F.col("of_metric")))
+    return q.select("lang", "source", "metric", F.greatest(F.least("first", "gap", F.col("half") + USUAL * F.col("usual")), F.col("half") + F.col("units")).alias("fence"))
 
 
 def quality_rules(documents: DataFrame) -> DataFrame:
@@ -123,8 +144,7 @@ def quality_rules(documents: DataFrame) -> DataFrame:
     Words are runs of anything but the six ASCII white-space characters; a null text has none. Documents
     that fail the base rule are rejected. The others set the thresholds: each (lang, source) group has a
     sketch of each metric, merged with its language's and that of all rows at the weight of PRIOR
-    documents each, and a document is rejected if a metric exceeds its group's fence, which percentiles
-    of that sketch set. A null lang or source is a value like any other. Repeated rows are judged alike;
+    documents each, and a document is rejected if a metric exceeds its group's fence, which fences() sets. A null lang or source is a value like any other. Repeated rows are judged alike;
     an empty table gives no rows; columns other than doc_id, text, lang and source are not read.
     """
     d = measured(documents)
@@ -147,10 +167,12 @@ def quality_sql(documents: str) -> str:
     words = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
     value = {m: f"(10000 * {a} // greatest({b}, 1))" for m, (a, b) in METRICS.items()}
     e = "greatest(length(bin(v)) - 5, 0)"
-    metrics = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, {v} AS v FROM d WHERE NOT base_failed" for m, v in value.items())
+    metrics = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, {v} AS v FROM d WHERE NOT base_failed" for m, v in (value | {"n_words": "n_words", "word_chars": "word_chars"}).items())
     low = lambda b: f"CASE WHEN {b} < 32 THEN {b} ELSE ({b} - ({b} // 16 - 1) * 16) * (1::BIGINT << ({b} // 16 - 1)) END"
-    percentile = "CASE metric " + " ".join(f"WHEN '{m}' THEN {v}" for m, v in PERCENTILE.items()) + " END"
+    case = lambda k: "CASE metric " + " ".join(f"WHEN '{m}' THEN {v[k]}" for m, v in MEASURES.items()) + " END"
     at = lambda p: f"min(CASE WHEN up_to * 100 >= total * {p} THEN b END)"
+    size = lambda m: f"greatest(min(CASE WHEN metric = '{m}' AND up_to * 2 >= total THEN {low('b')} END) OVER (PARTITION BY lang, source), 1)"
+    by_words = ", ".join(f"'{m}'" for m, (_, b) in METRICS.items() if b == "n_words")
     return f"""
 WITH w AS (SELECT doc_id, lang, source, text, {words} AS ws FROM {documents}),
 x AS (SELECT doc_id, lang, source, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
@@ -168,10 +190,14 @@ a AS (SELECT metric, b, ({PRIOR * PARTS} * sum(n) // sum(sum(n)) OVER (PARTITION
 e AS (SELECT lang, source, metric, b, sum(n) AS n FROM (
         SELECT lang, source, metric, b, n * {PARTS} AS n FROM k UNION ALL SELECT g.*, l.b, l.n FROM g JOIN l ON g.lang IS NOT DISTINCT FROM l.lang AND g.metric = l.metric
         UNION ALL SELECT g.*, a.b, a.n FROM g JOIN a ON g.metric = a.metric) GROUP BY ALL),
-f AS (SELECT lang, source, metric, greatest(high + {SPREADS} * (high - ({low('half')})), ({low('half')}) + {ROUNDING}) AS fence FROM (SELECT * EXCLUDE high, ({low('(high + 1)')}) - 1 AS high FROM (
-        SELECT lang, source, metric, {at(50)} AS half, {at(percentile)} AS high FROM (
-          SELECT *, sum(n) OVER (PARTITION BY lang, source, metric) AS total, sum(n) OVER (PARTITION BY lang, source, metric ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS up_to FROM e)
-        GROUP BY lang, source, metric))),
+q AS (SELECT *, ({UNITS} * 10000) // CASE WHEN metric IN ({by_words}) THEN {size("n_words")} ELSE {size("word_chars")} END AS units FROM (
+        SELECT *, sum(n) OVER (PARTITION BY lang, source, metric) AS total, lead(b) OVER (PARTITION BY lang, source, metric ORDER BY b) AS nb,
+          sum(n) OVER (PARTITION BY lang, source, metric ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS up_to FROM e WHERE n > 0)),
+h AS (SELECT lang, source, metric, {at(50)} AS half, {at(case(0))} + 1 AS a, {at(case(1))} AS lo, max(units) AS units,
+        min(CASE WHEN up_to * 2 >= total AND {low("nb")} > 2 * ({low("b")}) + units THEN 2 * ({low("b")}) + units END) AS gap FROM q WHERE metric NOT IN ('n_words', 'word_chars') GROUP BY lang, source, metric),
+i AS (SELECT lang, source, metric, {low("half")} AS half, units, gap, greatest(({low("a")}) - 1 + {case(2)} * (({low("a")}) - 1 - ({low("lo")})), ({low("half")}) + units) AS first FROM h),
+u AS (SELECT lang, metric, quantile_disc(first - half, 0.5) AS usual FROM i GROUP BY lang, metric),
+f AS (SELECT i.lang, source, i.metric, greatest(least(first, gap, half + {USUAL} * usual), half + units) AS fence FROM i JOIN u ON i.lang IS NOT DISTINCT FROM u.lang AND i.metric = u.metric),
 o AS (SELECT d.doc_id, bool_and(v.x <= f.fence) AS fine FROM d, LATERAL (VALUES {", ".join(f"('{m}', {v})" for m, v in value.items())}) AS v(metric, x)
       JOIN f ON f.lang IS NOT DISTINCT FROM d.lang AND f.source IS NOT DISTINCT FROM d.source AND f.metric = v.metric GROUP BY d.doc_id)
 SELECT d.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(fine, FALSE) AS kept FROM d LEFT JOIN o USING (doc_id)"""
