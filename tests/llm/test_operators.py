@@ -342,6 +342,25 @@ def test_own_quartiles_set_the_fences(spark):
     assert all(v for k, v in got.items() if k != 5000) and not got[5000]
 
 
+@pytest.mark.parametrize("longest_by_rounds", [1, 3, 100])
+def test_long_units_equal_the_library(longest_by_rounds, monkeypatch):
+    """Words of 200,000 letters, of equal pairs, and of signs without pieces: the same ids whichever way pairs are joined."""
+    import public_tokenizers
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    monkeypatch.setattr(sentencepieces, "LONG_ATOM", longest_by_rounds)
+    rng = random.Random(2)
+    drawn = lambda signs, n: "".join(rng.choice(signs) for _ in range(n))
+    texts = [drawn("abcdefghijklmnop", 200_000), "ab" * 30_000, "a" * 50_001, drawn("éàü漢字abc日本#$", 4000), " ".join(drawn("etaoinshr", rng.randint(1, 60)) for _ in range(300)), "日本語のテキスト" * 300, "one two"]
+    if longest_by_rounds < 100:
+        texts = texts[3:]
+    encoder = sentencepieces.Encoder(path)
+    assert [ids.tolist() for ids in encoder.encode(texts)] == [library.encode(t) for t in texts]
+    assert [encoder.model.decode(ids) for ids in encoder.encode(texts)] == texts
+
+
 @pytest.mark.parametrize("kind", ["repeats", "symbols", "lines"])
 @pytest.mark.parametrize("beside", [0, 3])
 @pytest.mark.parametrize("share", [0.02, 0.1, 0.4])

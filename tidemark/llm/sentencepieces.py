@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import heapq
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +17,8 @@ from tidemark.llm.common import slices, table
 SPACE = "▁"
 #: Units (words with their leading space marks) whose ids a worker keeps.
 KEPT_UNITS = 500_000
+#: Signs from which on an atom's pairs wait on a heap; both ways join the same pairs.
+LONG_ATOM = 100
 #: Piece types of the model file.
 UNKNOWN, BYTE, USABLE = 2, 6, (1, 4)
 
@@ -81,6 +85,32 @@ class PieceModel:
         by = np.argsort(position, kind="stable")
         return position[by], self.length[which][by], self.id[which][by]
 
+    def joined(self, at: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the symbols of one atom, positions first..last - 1, after all joins: best score first, then leftmost.
+
+        Pairs wait on a heap, and a join looks at its two neighbours alone, so n signs take O(n log n) steps.
+        """
+        n = last - first
+        pair = at[first : last - 1, 2]
+        here = np.flatnonzero(pair >= 0)
+        heap = list(zip((-self.score[pair[here]]).tolist(), here.tolist(), (here + 1).tolist(), (here + 2).tolist(), strict=True))
+        heapq.heapify(heap)
+        end, before = array("q", range(1, n + 1)), array("q", range(-1, n))  # of the symbol that starts here; before[n] serves as a stop
+        while heap:
+            _, a, b, z = heapq.heappop(heap)
+            if end[a] != b or end[b] != z:
+                continue  # one of the two has been joined since
+            end[a], end[b] = z, -1
+            before[z] = a
+            for left, right in ((before[a], a), (a, z)):
+                if 0 <= left and right < n and end[right] - left <= self.longest:
+                    piece = at[first + left, end[right] - left]
+                    if piece >= 0:
+                        heapq.heappush(heap, (-float(self.score[piece]), left, right, end[right]))
+        ends = np.frombuffer(end, np.int64)
+        start = np.flatnonzero(ends > 0)
+        return start + first, ends[start] + first
+
     def encode_units(self, units: list[str]) -> list[bytes]:
         """Ids (packed, 16 or 32 bits) of each unit; units are encoded independently of each other."""
         atoms, owner = [], []
@@ -99,9 +129,11 @@ class PieceModel:
         at[position, length] = piece
         atom_of = np.repeat(np.arange(len(size)), size + 1)[: len(text)]
         start = np.flatnonzero(np.r_[text != 0])
-        # symbols: start, end, atom; in every round each atom joins its best pair, the first of equals
+        # symbols: start, end, atom; in every round each short atom joins its best pair, the first of equals; long ones take it off a heap
         end, atom = start + 1, atom_of[start]
-        done = []
+        done = [self.joined(at, int(a), int(a + n)) for a, n in zip(base[size > LONG_ATOM], size[size > LONG_ATOM], strict=True)]
+        short = size[atom] <= LONG_ATOM
+        start, end, atom = start[short], end[short], atom[short]
         while len(start):
             span = end[1:] - start[:-1]
             ok = (atom[1:] == atom[:-1]) & (span <= self.longest)
