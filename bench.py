@@ -30,7 +30,10 @@ def main() -> None:
         began = time.time()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.time() - began, 3)
-    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds, "sf": os.path.basename(folder.rstrip("/"))}))
+    from tidemark.plans.stream_queries import trending_rate
+
+    stream = trending_rate(spark, folder)
+    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds, "sf": os.path.basename(folder.rstrip("/")), "stream": stream}))
     spark.stop()
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,19 @@ def run(spark: SparkSession, d: str, name: str) -> str:
     return root
 
 
+def trending_rate(spark: SparkSession, d: str) -> dict:
+    """Events a second of the trending query alone, over an input written before, and its state rows at the end."""
+    root = shared_folder(spark)
+    stream = fed(spark, d, root)
+    events = v.wire(spark, d).count()
+    began = time.time()
+    query = jobs.start(stream, root, PARAMS, once=True, only=("trending",))["trending"]
+    query.awaitTermination()
+    seconds = time.time() - began
+    states = [sum(o.numRowsTotal for o in p.stateOperators) for p in query.recentProgress if p.stateOperators]
+    return {"events": events, "seconds": round(seconds, 3), "events_per_second": round(events / seconds), "most_state_rows": max(states, default=0)}
+
+
 def _seconds(c: str):
     return F.unix_seconds(c).alias(c)
 
