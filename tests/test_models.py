@@ -187,6 +187,22 @@ def test_visit_pairs_equal_brute_force(spark):
         assert {(r["item_a"], r["item_b"]): r["n"] for r in sessions.visit_pairs(df, 60, most).collect()} == want
 
 
+@pytest.mark.parametrize("stretch", [0.7, 5, 60, 100_000])
+def test_visits_are_the_same_for_any_stretch(spark, stretch):
+    """Visits over many stretches, stretches without a cut, equal times, and a visitor with half of all events."""
+    rng = random.Random(12)
+    rows = [(rng.choice(["robot", "robot", "robot", "a", "b", "c"]), float(t), rng.randrange(5), i) for i, t in enumerate(sorted(rng.choice([rng.randrange(0, 40_000), 60 * rng.randrange(0, 600)]) for _ in range(500)))]
+    want, last = {}, {}
+    for v, t, _, i in sorted(rows, key=lambda r: (r[0], r[1], r[3])):
+        visit, begun, seq, before = last.get(v, (0, t, -1, None))
+        last[v] = (visit, begun, seq + 1, t) if before is not None and t - before <= 120 else (visit + 1, t, 0, t)
+        want[i] = last[v][:3]
+    df = spark.createDataFrame(rows, "visitor string, at double, item int, event_id int").withColumn("extra", F.lit("x"))
+    got = sessions.sessionise(df, 2, stretch)
+    assert got.columns == [*df.columns, "visit", "started_at", "seq", "session"]
+    assert {r["event_id"]: (r["visit"], r["started_at"], r["seq"]) for r in got.collect()} == want
+
+
 # ---- alerts
 
 

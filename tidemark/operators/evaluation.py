@@ -72,14 +72,19 @@ def sample_cases(cases: DataFrame, n: int, seed: int = 7) -> DataFrame:
     return cases.withColumn("h", F.md5(F.concat_ws(":", F.col("case").cast("string"), F.lit(seed).cast("string")))).orderBy("h", "case").limit(n).drop("h")
 
 
+def hit_differences(a: DataFrame, b: DataFrame) -> DataFrame:
+    """d, n: how many cases the first answers hit and the second missed (1), the other way round (-1), or neither (0)."""
+    d = a.select("case", F.col("hit").cast("int").alias("x")).join(b.select("case", F.col("hit").cast("int").alias("y")), "case").select((F.col("x") - F.col("y")).alias("d"))
+    return d.filter("d is not null").groupBy("d").agg(F.count("*").alias("n"))
+
+
 def paired_bootstrap(a: DataFrame, b: DataFrame, draws: int = 1000, seed: int = 7) -> DataFrame:
     """mean difference of hits and a 95 % interval over draws that resample the cases with replacement.
 
     A case's difference is -1, 0 or 1, so a draw of as many cases is a multinomial draw of the three counts:
     the cases themselves are only counted, and the draws are made from one row.
     """
-    d = a.select("case", F.col("hit").cast("int").alias("x")).join(b.select("case", F.col("hit").cast("int").alias("y")), "case").select((F.col("x") - F.col("y")).alias("d"))
-    held = {r["d"]: r["n"] for r in d.filter("d is not null").groupBy("d").agg(F.count("*").alias("n")).collect()}
+    held = {r["d"]: r["n"] for r in hit_differences(a, b).collect()}  # three rows
     counts = np.array([held.get(k, 0) for k in (-1, 0, 1)])
     n, row = int(counts.sum()), (None, None, None)
     if n:

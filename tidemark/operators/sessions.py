@@ -12,14 +12,41 @@ from tidemark.functions.expressions import visit_id
 from tidemark.operators.aggregates import nearby
 
 
-def sessionise(events: DataFrame, gap_minutes: float = 30) -> DataFrame:
-    """Adds visit (number within the visitor), started_at, session and seq; a gap of exactly gap_minutes doesn't cut."""
-    order = Window.partitionBy("visitor").orderBy("at", "event_id")
-    new = F.coalesce((F.col("at") - F.lag("at").over(order) > gap_minutes * 60).cast("int"), F.lit(1))
-    out = events.withColumn("visit", F.sum(new).over(order))
-    inside = Window.partitionBy("visitor", "visit")
-    out = out.withColumns({"started_at": F.min("at").over(inside), "seq": F.row_number().over(inside.orderBy("at", "event_id")) - 1})
-    return out.withColumn("session", visit_id(F.col("visitor"), F.col("started_at")))
+def sessionise(events: DataFrame, gap_minutes: float = 30, stretch_minutes: float = 7 * 24 * 60) -> DataFrame:
+    """Adds visit (number within the visitor), started_at, session and seq; a gap of exactly gap_minutes doesn't cut.
+
+    Events are cut and numbered within stretches of time, so that a visitor's whole history is never one task's. What a
+    stretch needs of those before it - whether its first event goes on with a visit, that visit's start and events so
+    far, and how many visits there were - comes from one row a stretch.
+    """
+    gap = gap_minutes * 60
+    rows = events.withColumn("__stretch", F.floor(F.col("at") / (stretch_minutes * 60)))
+    here = Window.partitionBy("visitor", "__stretch").orderBy("at", "event_id")
+    new = F.coalesce(F.col("at") - F.lag("at").over(here) > gap, F.lit(False))
+    rows = rows.withColumns({"__new": new, "__row": F.row_number().over(here)})
+    k = F.sum(F.col("__new").cast("int")).over(here)
+    rows = rows.withColumns({"__k": k, "__from": F.last(F.when(F.col("__new"), F.struct("at", "__row")), ignorenulls=True).over(here)})
+    one = rows.groupBy("visitor", "__stretch").agg(
+        F.min("at").alias("head"), F.max("at").alias("tail"), F.count("*").alias("n"), F.max("__k").alias("cuts"), F.max(F.struct("__row", "__from"))["__from"].alias("open"),
+    )
+    past = Window.partitionBy("visitor").orderBy("__stretch")
+    starts = F.coalesce(F.col("head") - F.lag("tail").over(past) > gap, F.lit(True))
+    one = one.withColumn("starts", starts)
+    one = one.withColumn("begun", F.when(F.col("cuts") > 0, F.col("open.at")).when(F.col("starts"), F.col("head")))
+    one = one.withColumns({"begun_at": F.last("begun", ignorenulls=True).over(past), "run": F.count("begun").over(past)})
+    held = F.sum(F.when(F.col("cuts") > 0, F.col("n") - F.col("open.__row") + 1).otherwise(F.col("n"))).over(Window.partitionBy("visitor", "run").orderBy("__stretch"))
+    one = one.withColumn("held", held)
+    visits = F.sum(F.col("cuts") + F.col("starts").cast("int")).over(past) - F.col("cuts")  # the one that the stretch's first event is in
+    carried = one.select(
+        F.col("visitor").alias("__visitor"), F.col("__stretch").alias("__of"), visits.alias("__visits"),
+        F.when(F.col("starts"), F.col("head")).otherwise(F.lag("begun_at").over(past)).alias("__begun"), F.when(F.col("starts"), 0).otherwise(F.lag("held").over(past)).alias("__held"),
+    )
+    out = rows.join(carried, F.col("visitor").eqNullSafe(F.col("__visitor")) & F.col("__stretch").eqNullSafe(F.col("__of")))
+    inside = F.col("__k") > 0
+    return out.select(
+        *events.columns, (F.col("__visits") + F.col("__k")).cast("long").alias("visit"), F.when(inside, F.col("__from.at")).otherwise(F.col("__begun")).alias("started_at"),
+        F.when(inside, F.col("__row") - F.col("__from.__row")).otherwise(F.col("__row") - 1 + F.col("__held")).cast("int").alias("seq"),
+    ).withColumn("session", visit_id(F.col("visitor"), F.col("started_at")))
 
 
 def visit_items(visits: DataFrame) -> DataFrame:

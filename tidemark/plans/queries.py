@@ -653,6 +653,12 @@ def q_model_lift(s, d):
     return e.model_lift(rate(by_category(s, d, parts), "category"), rate(global_best(s, d, parts), "bestsellers"))
 
 
+@split_query("SELECT hit.hit::INT - ghit.hit::INT AS d, count(*) AS n FROM hit JOIN ghit USING (k) GROUP BY 1")
+def q_hit_differences(s, d):
+    parts = written_split(s, d)
+    return e.hit_differences(e.hits(*by_category(s, d, parts)), e.hits(*global_best(s, d, parts)))
+
+
 @query(None)
 def q_bootstrap(s, d):
     parts = written_split(s, d)
