@@ -382,13 +382,45 @@ def test_much_junk_does_not_lift_the_fence(spark, kind, beside, share):
 
 
 def test_even_stretches_at_small_fractions(spark):
-    """At a fraction of 0.0001 no stretch of the order holds more than a few times its share."""
-    u = spark.range(200_000).select(((F.conv(F.substring(F.md5(F.concat(F.lit("mix|"), "id")), 1, 13), 16, 10).cast("long") + 0.5) / float(1 << 52)).alias("u"))
-    most = u.groupBy(F.floor(F.col("u") * mixing.STRETCHES)).count().agg(F.max("count")).first()[0]
-    assert most < 60
-    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("one word or more").alias("text"), F.when(F.col("id") < 3, "b").otherwise("a").alias("source"))
+    """Rows without ids and a fraction of 0.0001: their texts tell them apart, and the words taken are near the targets."""
+    rows = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("words and "), "id").alias("text"), F.when(F.col("id") < 3, "b").otherwise("a").alias("source"))
     out = mixing.pareto_mix(rows, weights=(1, 20_000)).groupBy("source_size").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
-    assert all(abs(r["taken"] - r["target"]) <= 2 for r in out)
+    assert len(out) == 2 and all(abs(r["taken"] - r["target"]) <= 2 for r in out)
+
+
+def test_inclusion_by_weight(spark):
+    """Over many seeds a document is taken about min(3, level * weight) times, heavy ones up to three whole copies."""
+    weights, sizes = [1, 1, 1, 2, 2, 3, 5, 9, 40] * 8, [3, 8, 5, 2, 9, 4, 6, 7, 5] * 8
+    rows = [(i, " ".join(["w"] * n), s, w) for i, (w, n) in enumerate(zip(weights, sizes, strict=True)) for s in ("a" if i % 2 else "b",)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, weight long")
+    got, times = Counter(), {}
+    for seed in range(12):
+        for r in mixing.pareto_mix(docs, seed=f"s{seed}", weight=F.col("weight")).collect():
+            got[r["doc_id"]] += r["copies"]
+            times[rows[r["doc_id"]][2]] = r["target"]
+    for s, target in times.items():
+        own = [r for r in rows if r[2] == s]
+        low, high = 0.0, 9.0
+        for _ in range(60):
+            level = (low + high) / 2
+            if sum(min(3, level * w) * sizes[i] for i, _, _, w in own) < target:
+                low = level
+            else:
+                high = level
+        for w in set(weights):
+            ids = [r[0] for r in own if r[3] == w]
+            mean, want = sum(got[i] for i in ids) / 12 / len(ids), min(3, level * w)
+            assert mean == want == 3 or abs(mean - want) < 0.2, (s, w, mean, want)
+            assert all(math.floor(want) * 12 <= got[i] <= math.ceil(want) * 12 for i in ids)
+
+
+def test_mix_of_ties_and_long_texts(spark):
+    """Equal rows, one very long text, null ids and a source without words, against SQL."""
+    rows = [(1, "a b c", "s", 0)] * 5 + [(2, "word " * 300_000, "s", 0), (None, "x y", None, 0), (None, "x y z", None, 0), (None, None, "u", 0), (7, "", "u", 0), (8, "one", "t", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, weight int")
+    c = duck()
+    c.register("documents", docs.toArrow())
+    assert_same(mixing.pareto_mix(docs), c, mixing.mix_sql("documents"))
 
 
 def test_mix_meets_targets(docs):

@@ -25,7 +25,7 @@ def test_run_equals_brute_force(spark, tmp_path):
     ids = set(seen.values())
     c.sql(f"CREATE VIEW documents AS SELECT DISTINCT ON (doc_id) * FROM docs WHERE doc_id IN ({', '.join(map(str, ids))})")
     c.sql(f"CREATE TABLE near AS SELECT d.* FROM documents d JOIN ({ngram_join.SQL['op3_ngram_join']}) n ON d.doc_id = n.doc_id WHERE n.component_id = d.doc_id")
-    copies = dict(c.sql(f"SELECT doc_id, copies FROM ({mixing.mix_sql('near')})").fetchall())
+    copies = dict(c.sql(f"SELECT doc_id, copies FROM ({mixing.mix_sql('near', row='doc_id')})").fetchall())
     encoder = sentencepieces.Encoder(tokenizers_dir.path("piece_bpe_32k.model"))
     want = []
     for i, t in c.sql("SELECT doc_id, text FROM near").fetchall():
