@@ -249,6 +249,26 @@ def test_group_pairs_lose_no_link():
     assert n_link <= pairs.sum() < 6 * n_link
 
 
+@pytest.mark.parametrize("looked_up", [50, 1 << 20])
+def test_only_pairs_that_are_left_are_verified(looked_up, monkeypatch):
+    """Labels within blocks of near copies equal brute force over the pairs of groups given, and over all pairs."""
+    monkeypatch.setattr(ngram_join, "LOOKED_UP", looked_up)
+    rng = np.random.default_rng(8)
+    for _ in range(20):
+        bases = [rng.choice(900, rng.integers(8, 60), replace=False) for _ in range(4)]
+        sets = [np.unique(b[rng.random(len(b)) > 0.06]).astype(np.uint64) for b in (bases[rng.integers(4)] for _ in range(40))]
+        group = rng.integers(0, 12, 40)
+        some = rng.random((12, 12)) < 0.3
+        for pairs in (np.ones((12, 12), bool), some | some.T | np.eye(12, dtype=bool)):
+            links = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if pairs[group[i], group[j]] and 100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b))]
+            want, before = list(range(40)), None
+            while want != before:
+                before = list(want)
+                for i, j in links:
+                    want[i] = want[j] = min(want[i], want[j])
+            assert ngram_join.links_of(sets, 85, group, pairs).tolist() == want
+
+
 def test_null_ids_take_no_class_from_rows_with_ids(spark, docs, tables):
     """Null-id rows whose texts equal those of linked documents: other rows as by SQL, theirs the component of the equal text."""
     near = [r for r in made_rows() if " edit0 " in (r[1] or "")]

@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SLICE_BYTES, WordHashes, beside, slices, split_words, staged, table, windows
+from tidemark.llm.common import SLICE_BYTES, WordHashes, beside, ranges, slices, split_words, staged, table, windows
 from tidemark.llm.components import components
 from tidemark.llm.token_files import decode_values, encode_values
 
@@ -23,8 +23,10 @@ CHUNK_BYTES, CHUNKS_PER_BUCKET = 8_000_000, 4
 COUNTED_BITS, STRETCH = 40, 1 << 16
 #: Documents that are compared in one block; larger lists are compared block by block.
 BLOCK = 2048
-#: Columns of the dense matrix that a block's shingles are multiplied in, and rows that are compared at a time.
+#: Columns of the dense matrix that a block's prefixes are multiplied in, and rows that are compared at a time.
 COLUMNS, TILE = 4096, 512
+#: Elements of other sets that a set is compared with at a time.
+LOOKED_UP = 1 << 20
 
 
 def _sets(texts: list[bytes], size: int, hashes: WordHashes) -> list[np.ndarray]:
@@ -233,18 +235,32 @@ def labelled(link: np.ndarray) -> np.ndarray:
         label = low
 
 
-def links_of(sets: list[np.ndarray], percent: int, group: np.ndarray | None = None, pairs: np.ndarray | None = None) -> np.ndarray:
-    """Label of each set: the first of those it is connected to by links within the block. With `group` (each set's
-    number) and `pairs` (of groups that may link), only members of one group or of such pairs are compared."""
-    n, sizes = len(sets), np.array([len(s) for s in sets], np.int64)
-    owner, number = incidence(sets)
-    link = np.zeros((n, n), bool)
-    for t in tiles(n):
-        common = shared(owner, number, n, t).astype(np.int64)
-        link[t] = 100 * common >= percent * (sizes[t, None] + sizes[None, :] - common)
-        if group is not None:
-            link[t] &= pairs[group[t]][:, group]
-    return labelled(link)
+def links_of(sets: list[np.ndarray], percent: int, group: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Label of each set: the first of those it is connected to by links within the block.
+
+    Only members of one group, or of two groups (`group` has each set's number) that `pairs` says may link, are
+    compared, and of these no two that are connected already. A set marks its elements and counts the marked
+    ones of those it is compared with, about LOOKED_UP at a time.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    ends, number = np.cumsum(sizes), np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
+    marked, label = np.zeros(int(number.max(initial=-1)) + 1, bool), np.arange(len(sets))
+    for i, size in enumerate(sizes[:-1].tolist()):
+        others = i + 1 + np.flatnonzero(pairs[group[i], group[i + 1 :]] & (label[i + 1 :] != label[i]))
+        others = others[100 * np.minimum(size, sizes[others]) >= percent * np.maximum(size, sizes[others])]
+        if not size or not len(others):
+            continue
+        own = number[ends[i] - size : ends[i]]
+        marked[own] = True
+        met = [i]
+        for part in np.split(others, np.flatnonzero(np.diff(np.cumsum(sizes[others]) // LOOKED_UP)) + 1):
+            n = sizes[part]
+            common = np.add.reduceat(marked[number[ranges(ends[part] - n, n)]], np.cumsum(n) - n, dtype=np.int64)
+            met += part[100 * common >= percent * (size + n - common)].tolist()
+        marked[own] = False
+        joined = np.unique(label[met])
+        label[np.isin(label, joined)] = joined[0]
+    return label
 
 
 def _verified(size: int, percent: int):
