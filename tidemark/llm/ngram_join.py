@@ -25,8 +25,8 @@ COUNTED_BITS, STRETCH = 40, 1 << 16
 BLOCK = 2048
 #: Columns of the dense matrix that a block's prefixes are multiplied in, and rows that are compared at a time.
 COLUMNS, TILE = 4096, 512
-#: Elements of other sets that a set is compared with at a time.
-LOOKED_UP = 1 << 20
+#: Cells that are multiplied in the time of one look-up.
+LOOK_UP = 30
 
 
 def _sets(texts: list[bytes], size: int, hashes: WordHashes) -> list[np.ndarray]:
@@ -240,26 +240,44 @@ def links_of(sets: list[np.ndarray], percent: int, group: np.ndarray, pairs: np.
 
     Only members of one group, or of two groups (`group` has each set's number) that `pairs` says may link, are
     compared, and of these no two that are connected already. A set marks its elements and counts the marked
-    ones of those it is compared with, about LOOKED_UP at a time.
+    ones of those it is compared with. Once a tile of sets has looked up so many that multiplying the rest of it would have
+    taken as long, that rest is multiplied: either way has the same labels, and takes twice the cheaper one's time at most.
     """
-    sizes = np.array([len(s) for s in sets], np.int64)
+    sizes, label = np.array([len(s) for s in sets], np.int64), np.arange(len(sets))
     ends, number = np.cumsum(sizes), np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
-    marked, label = np.zeros(int(number.max(initial=-1)) + 1, bool), np.arange(len(sets))
-    for i, size in enumerate(sizes[:-1].tolist()):
-        others = i + 1 + np.flatnonzero(pairs[group[i], group[i + 1 :]] & (label[i + 1 :] != label[i]))
-        others = others[100 * np.minimum(size, sizes[others]) >= percent * np.maximum(size, sizes[others])]
-        if not size or not len(others):
-            continue
-        own = number[ends[i] - size : ends[i]]
-        marked[own] = True
-        met = [i]
-        for part in np.split(others, np.flatnonzero(np.diff(np.cumsum(sizes[others]) // LOOKED_UP)) + 1):
-            n = sizes[part]
-            common = np.add.reduceat(marked[number[ranges(ends[part] - n, n)]], np.cumsum(n) - n, dtype=np.int64)
-            met += part[100 * common >= percent * (size + n - common)].tolist()
-        marked[own] = False
+    width, held = int((np.bincount(number) > 1).sum()), None
+    marked = np.zeros(int(number.max(initial=-1)) + 1, bool)
+
+    def join(met: np.ndarray) -> None:
         joined = np.unique(label[met])
-        label[np.isin(label, joined)] = joined[0]
+        if len(joined) > 1:
+            label[np.isin(label, joined)] = joined[0]
+
+    def compared(i: int) -> np.ndarray:
+        others = i + 1 + np.flatnonzero(pairs[group[i], group[i + 1 :]] & (label[i + 1 :] != label[i]))
+        return others[100 * np.minimum(sizes[i], sizes[others]) >= percent * np.maximum(sizes[i], sizes[others])] if sizes[i] else others[:0]
+
+    for t in tiles(len(sets)):
+        looked_up = 0
+        for i in range(t.start, t.stop):
+            others = compared(i)
+            if not len(others):
+                continue
+            n = sizes[others]
+            looked_up += int(n.sum())
+            if looked_up * LOOK_UP > (t.stop - i) * len(sets) * width:
+                rest = slice(i, t.stop)
+                held = held or incidence(sets)
+                common = shared(*held, len(sets), rest).astype(np.int64)
+                link = pairs[group[rest]][:, group] & (100 * common >= percent * (sizes[rest, None] + sizes[None, :] - common))
+                for k in range(i, t.stop):
+                    join(np.r_[k, np.flatnonzero(link[k - i])])
+                break
+            own = number[ends[i] - sizes[i] : ends[i]]
+            marked[own] = True
+            common = np.add.reduceat(marked[number[ranges(ends[others] - n, n)]], np.cumsum(n) - n, dtype=np.int64)
+            marked[own] = False
+            join(np.r_[i, others[100 * common >= percent * (sizes[i] + n - common)]])
     return label
 
 
