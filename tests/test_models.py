@@ -88,6 +88,25 @@ def test_model_table_scores_as_trained(spark, tmp_path):
         assert abs(r["score"] - score(r)) < 1e-12
 
 
+def repeated_cases(spark, cases):
+    """(cases, candidates): cases that share eight queries of ten candidates, some with a target that isn't among them."""
+    rng = random.Random(5)
+    rows = ranking_rows(spark, 8, 5).select("query", "item", "origin", *ranking.FEATURES)
+    made = [(f"c{i}", rng.randrange(9), min(rng.randrange(12), rng.randrange(12))) for i in range(cases)]
+    return spark.createDataFrame(made, "case string, query int, target int"), rows
+
+
+def test_lists_train_as_their_cases(spark):
+    """One list a query, whose labels count the targets, gives the nodes and gains that all cases give."""
+    found, rows = repeated_cases(spark, 400)
+    p = boosted.Boosting(rounds=2, depth=2, rate=0.3, bins=16, least_rows=20)
+    nodes = lambda rows: sorted(boosted.train(rows, p).collect(), key=lambda r: (r["tree"], r["node"]))
+    lists = ranking.training_lists(found, rows)
+    got = nodes(lists)
+    assert lists.count() == 80 and len(got) > 6
+    assert got == nodes(ranking.training_rows(found, rows))
+
+
 def test_models_that_do_not_fit(spark):
     rows = ranking_rows(spark, 5, 4)
     empty = boosted.train(rows.limit(0), boosted.Boosting(rounds=2))

@@ -136,6 +136,16 @@ def training_rows(cases: DataFrame, rows: DataFrame) -> DataFrame:
     return j.join(j.filter("label = 1").select("case"), "case", "left_semi")
 
 
+def training_lists(cases: DataFrame, rows: DataFrame) -> DataFrame:
+    """Candidates of each query once, as one list (case, item, label, features) for all its cases: label is how many have the item as target.
+
+    A case's rows depend on its query alone, so lists grow with queries and not with cases. Queries without a target among their candidates go.
+    """
+    times = cases.groupBy("query", F.col("target").alias("item")).agg(F.count("*").alias("label"))
+    j = rows.join(times, ["query", "item"], "left").select(F.col("query").alias("case"), "item", F.coalesce("label", F.lit(0)).alias("label"), *FEATURES)
+    return j.join(j.filter("label > 0").select("case").distinct(), "case", "left_semi")
+
+
 def feature_difference(model: DataFrame, code: DataFrame) -> DataFrame:
     """missing, unexpected, same_order between two tables of (position, name)."""
     names = lambda df: df.agg(F.transform(F.array_sort(F.collect_list(F.struct("position", "name"))), lambda s: s["name"]).alias("names"))
