@@ -2,6 +2,7 @@
 
 import json
 import math
+import os
 import random
 
 import numpy as np
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import aggregates, boosted, health, ranking, sessions, vectors
+from tidemark.plans import queries
 from tidemark.schema import Params
 from tidemark.sources.events import text_events
 from tidemark.streaming import accounting, jobs
@@ -107,6 +109,19 @@ def test_lists_train_as_their_cases(spark):
     assert got == nodes(ranking.training_rows(found, rows))
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no tables")
+def test_ranker_model_trains_on_lists(spark, monkeypatch):
+    """What the query trains on are the candidates of each query once, though there are more rows of cases, and it counts every case."""
+    seen = {}
+    monkeypatch.setattr(boosted, "train", lambda rows, p, version: seen.update(rows=rows) or spark.createDataFrame([], boosted.MODEL))
+    folder = "/root/testdata/sf0.001"
+    queries.QUERIES["ranker_model"](spark, folder)
+    lists = seen["rows"].count()
+    cases = queries.QUERIES["training_rows"](spark, folder)
+    assert lists == cases.select("query", "item").distinct().count() < cases.count()
+    assert seen["rows"].agg(F.sum("label")).first()[0] == cases.select("case").distinct().count()
+
+
 def test_models_that_do_not_fit(spark):
     rows = ranking_rows(spark, 5, 4)
     empty = boosted.train(rows.limit(0), boosted.Boosting(rounds=2))
