@@ -4,6 +4,7 @@ import json
 import math
 import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -191,6 +192,23 @@ def test_neighbours_equal_brute_force(spark, clusters, monkeypatch):
     assert found["met"] < 0.3 * found["pairs"] if clusters else found["pairs"] > 100
 
 
+def test_only_queries_are_sent_to_chunks(spark, monkeypatch):
+    """Few queries, many chunks that nothing rules out: what is shuffled is a few times the vectors, not the vectors times the chunks."""
+    monkeypatch.setattr(vectors, "chunk_rows", lambda count: 50)
+    rng = np.random.default_rng(3)
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(2000, 32)))], "id long, vector array<double>")
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def shuffled():
+        time.sleep(1)  # the store is told with some delay
+        found = store.executorList(True)
+        return sum(found.apply(i).totalShuffleWrite() for i in range(found.size()))
+
+    began, found = shuffled(), {}
+    assert vectors.similar_items(rows, 5, "id % 50 = 0", found).count() == 200
+    assert found["met"] > 500 and shuffled() - began < 10 * 2000 * 32 * 8
+
+
 # ---- pairs
 
 
